@@ -1,93 +1,89 @@
-"""Cleaning rules as column expressions. All stay inside whole-stage code generation."""
+"""Cleaning rules as SQL expressions.
+
+Each rule takes the SQL text of a value, usually a column name, and returns SQL text, so rules nest
+and a wide table is one ``selectExpr``. All of them stay inside generated code.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from revisit.sources.literals import sql_list, sql_literal
 
 MISSING_MARKERS = ("?", "")
 
 
-def null_if_marker(text: Column, markers: Sequence[str] = MISSING_MARKERS) -> Column:
+def null_if_marker(text: str, markers: Sequence[str] = MISSING_MARKERS) -> str:
     """Trimmed text, or NULL where it is one of the missing markers."""
-    trimmed = F.trim(text)
-    return F.when(~trimmed.isin(*markers), trimmed)
+    return f"CASE WHEN trim({text}) NOT IN {sql_list(markers)} THEN trim({text}) END"
 
 
-def label_if_marker(text: Column, label: str, markers: Sequence[str]) -> Column:
+def label_if_marker(text: str, label: str, markers: Sequence[str]) -> str:
     """Trimmed text, with the markers turned into a category. NULL stays NULL."""
-    trimmed = F.trim(text)
-    return F.when(trimmed.isin(*markers), F.lit(label)).otherwise(trimmed)
+    return f"CASE WHEN trim({text}) IN {sql_list(markers)} THEN {sql_literal(label)} ELSE trim({text}) END"
 
 
-def keep_allowed(text: Column, allowed: Iterable[str]) -> Column:
+def keep_allowed(text: str, allowed: Iterable[str]) -> str:
     """Trimmed text where it belongs to the domain, else NULL."""
-    trimmed = F.trim(text)
-    return F.when(trimmed.isin(*allowed), trimmed)
+    return f"CASE WHEN trim({text}) IN {sql_list(allowed)} THEN trim({text}) END"
 
 
-def relabel(text: Column, names: Mapping[str, str]) -> Column:
+def relabel(text: str, names: Mapping[str, str]) -> str:
     """Replace whole values by their standard label; others pass through."""
-    result = text
-    for old, new in names.items():
-        result = F.when(text == old, F.lit(new)).otherwise(result)
-    return result
+    cases = " ".join(f"WHEN {sql_literal(old)} THEN {sql_literal(new)}" for old, new in names.items())
+    return f"CASE {text} {cases} ELSE {text} END"
 
 
-def strip_interval(text: Column) -> Column:
+def strip_interval(text: str) -> str:
     """``[70-80)`` to ``70-80``."""
-    return F.replace(F.replace(text, F.lit("["), F.lit("")), F.lit(")"), F.lit(""))
+    return f"replace(replace({text}, '[', ''), ')', '')"
 
 
-def interval(text: Column) -> Column:
+def interval(text: str) -> str:
     """As :func:`strip_interval`, but text that is not written ``[...)`` becomes NULL."""
-    trimmed = F.trim(text)
-    return F.when(trimmed.like("[%)"), strip_interval(trimmed))
+    return f"CASE WHEN trim({text}) LIKE '[%)' THEN {strip_interval(f'trim({text})')} END"
+
+
+def interval_middle(text: str, half_width: int) -> str:
+    """Lower bound of ``low-high`` plus half the width; NULL where the bound is not a number."""
+    return f"try_cast(split_part({text}, '-', 1) AS INT) + {half_width}"
 
 
-def whole_number(text: Column, kind: str = "int") -> Column:
+def whole_number(text: str, kind: str = "INT") -> str:
     """Tolerant cast: what is not a whole number becomes NULL."""
-    return text.try_cast(kind)
+    return f"try_cast({text} AS {kind})"
 
 
-def plain_decimal(text: Column) -> Column:
+def plain_decimal(text: str) -> str:
     """Digits with an optional fraction as DOUBLE; suffixes such as ``1d`` or ``1e3`` become NULL."""
-    trimmed = F.trim(text)
-    return F.when(trimmed.rlike(r"^[0-9]+(\.[0-9]+)?$"), trimmed.try_cast("double"))
+    return f"CASE WHEN trim({text}) RLIKE '^[0-9]+([.][0-9]+)?$' THEN try_cast(trim({text}) AS DOUBLE) END"
 
 
-def two_way_flag(text: Column, yes: str, no: str) -> Column:
+def two_way_flag(text: str, yes: str, no: str) -> str:
     """1 for ``yes``, 0 for ``no``, NULL for anything else."""
-    trimmed = F.trim(text)
-    return F.when(trimmed == yes, 1).when(trimmed == no, 0)
+    return f"CASE trim({text}) WHEN {sql_literal(yes)} THEN 1 WHEN {sql_literal(no)} THEN 0 END"
 
 
-def flag(condition: Column) -> Column:
+def flag(condition: str) -> str:
     """1 where the condition holds, 0 where it does not or is unknown."""
-    return F.when(condition, 1).otherwise(0)
+    return f"CASE WHEN {condition} THEN 1 ELSE 0 END"
 
 
-def band(value: Column, bands: Sequence[tuple[int, str]], beyond: str) -> Column:
+def band(value: str, bands: Sequence[tuple[int, str]], beyond: str) -> str:
     """Label of the first ``(upper bound, label)`` that holds the value. NULL falls into ``beyond``."""
-    chain = F
-    for upper, label in bands:
-        chain = chain.when(value <= upper, F.lit(label))
-    return chain.otherwise(F.lit(beyond))
+    cases = " ".join(f"WHEN {value} <= {upper} THEN {sql_literal(label)}" for upper, label in bands)
+    return f"CASE {cases} ELSE {sql_literal(beyond)} END"
 
 
-def exact_band(value: Column, values: Sequence[int], beyond: str) -> Column:
+def exact_band(value: str, values: Sequence[int], beyond: str) -> str:
     """The number as text for the listed values, ``beyond`` for all others and NULL."""
-    return F.when(value.isin(*values), value.cast("string")).otherwise(F.lit(beyond))
+    return f"CASE WHEN {value} IN {sql_list(values)} THEN CAST({value} AS STRING) ELSE {sql_literal(beyond)} END"
 
 
-def tail_band(value: Column, top: int) -> Column:
+def tail_band(value: str, top: int) -> str:
     """The number as text, with ``top`` and more pooled as ``'<top>+'``. NULL stays NULL."""
-    return F.when(value >= top, F.lit(f"{top}+")).otherwise(value.cast("string"))
+    return f"CASE WHEN {value} >= {top} THEN '{top}+' ELSE CAST({value} AS STRING) END"
 
 
 @dataclass(frozen=True)
@@ -101,33 +97,28 @@ class CodeRange:
 
 
 def code_group(
-    code: Column,
+    code: str,
+    number: str,
     prefixes: Sequence[tuple[str, str]],
     ranges: Sequence[CodeRange],
     missing: str,
     other: str,
-) -> Column:
-    """Group of a code: missing, then text prefixes, then number ranges; the first match wins."""
-    number = plain_decimal(code)
-    chain = F.when(code.isNull(), F.lit(missing))
-    for prefix, label in prefixes:
-        chain = chain.when(code.startswith(prefix), F.lit(label))
+) -> str:
+    """Group of a code: missing, then text prefixes, then ranges of its number; the first match wins."""
+    cases = [f"WHEN {code} IS NULL THEN {sql_literal(missing)}"]
+    cases += [f"WHEN startswith({code}, {sql_literal(p)}) THEN {sql_literal(label)}" for p, label in prefixes]
     for rule in ranges:
-        inside = (number >= rule.low) & (number < rule.high)
-        if rule.symptom is not None:
-            inside = inside | (F.floor(number) == rule.symptom)
-        chain = chain.when(inside, F.lit(rule.label))
-    return chain.otherwise(F.lit(other))
+        symptom = "" if rule.symptom is None else f" OR floor({number}) = {rule.symptom}"
+        cases.append(f"WHEN {number} >= {rule.low} AND {number} < {rule.high}{symptom} THEN {sql_literal(rule.label)}")
+    return f"CASE {' '.join(cases)} ELSE {sql_literal(other)} END"
 
 
-def count_in(columns: Iterable[Column], values: Sequence[str]) -> Column:
+def count_in(columns: Iterable[str], values: Sequence[str]) -> str:
     """How many of the columns hold one of the values; NULL counts as no."""
-    return reduce(add, [flag(column.isin(*values)) for column in columns])
+    return " + ".join(flag(f"{column} IN {sql_list(values)}") for column in columns)
 
 
-def id_group(identifier: Column, groups: Mapping[str, Sequence[int]], other: str) -> Column:
+def id_group(identifier: str, groups: Mapping[str, Sequence[int]], other: str) -> str:
     """Label of the id set that holds the id."""
-    chain = F
-    for label, ids in groups.items():
-        chain = chain.when(identifier.isin(*ids), F.lit(label))
-    return chain.otherwise(F.lit(other))
+    cases = " ".join(f"WHEN {identifier} IN {sql_list(ids)} THEN {sql_literal(label)}" for label, ids in groups.items())
+    return f"CASE {cases} ELSE {sql_literal(other)} END"

@@ -13,13 +13,14 @@ BLOCK_BITS = 20
 
 
 def keep_first(df: DataFrame, key: str, prefer: Sequence[Column]) -> DataFrame:
-    """One row per non-null key: the first in ``prefer`` order, remaining columns breaking ties.
+    """One row per non-null key: the first in ``prefer`` order, then by a hash of the other columns.
 
-    Spark limits each key to one row before the shuffle as well as after it, so a key with very
-    many copies never gathers in one task.
+    The hash makes the choice among equally preferred copies repeatable. Spark limits each key to
+    one row before the shuffle as well as after it, so a key with very many copies never gathers
+    in one task.
     """
-    rest = [F.col(name).asc_nulls_first() for name in df.columns if name != key]
-    by_key = W.partitionBy(key).orderBy(*prefer, *rest)
+    rest = [name for name in df.columns if name != key]
+    by_key = W.partitionBy(key).orderBy(*prefer, F.xxhash64(*rest))
     return (
         df.where(F.col(key).isNotNull())
         .withColumn("_place", F.row_number().over(by_key))

@@ -11,24 +11,19 @@ from pyspark.sql import functions as F
 BLOCK_BITS = 16
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """``(name, p, value)``: linearly interpolated quantiles of 32-bit whole-number columns, NULL ignored.
-
-    The table shrinks to one count per distinct value. Values are pooled in blocks of 65,536; the
-    block that holds a wanted rank is found first, then the value inside it. No task therefore
-    orders more than 65,536 rows per column and wanted rank, whatever the number of distinct values.
-    """
-    wide = [f for f in df.select(*columns).schema.fields if f.dataType.typeName() not in ("integer", "short", "byte")]
+def _rank_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """``(name, p, place, end, value)``: the values at the ranks just below and above each wanted place."""
+    wide = [f.name for f in df.select(*columns).schema.fields if f.dataType.typeName() not in ("integer", "short", "byte")]
     if wide:
-        raise TypeError(f"quantiles need INT columns, got {[f.name for f in wide]}")
+        raise TypeError(f"quantiles need INT columns, got {wide}")
     counts = (
         df.select(*[F.col(c).cast("int").alias(c) for c in columns])
         .unpivot([], list(columns), "name", "value")
-        .where(F.col("value").isNotNull())
+        .where("value IS NOT NULL")
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("block", F.shiftright("value", BLOCK_BITS))
     )
-    counts = counts.withColumn("block", F.shiftright("value", BLOCK_BITS))
     blocks = counts.groupBy("name", "block").agg(F.sum("n").alias("n"))
     up_to = W.partitionBy("name").orderBy("block")
     blocks = blocks.select(
@@ -38,26 +33,37 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
         F.sum("n").over(up_to).alias("through"),
         F.sum("n").over(W.partitionBy("name")).alias("total"),
     )
-    wanted = blocks.select(
-        "name", "block", "before", "through", "total", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")
-    ).withColumn("place", F.col("p") * (F.col("total") - 1))
-    ends = F.array(
-        F.struct(F.lit("low").alias("end"), F.floor("place").alias("rank")),
-        F.struct(F.lit("high").alias("end"), F.ceil("place").alias("rank")),
-    )
-    wanted = wanted.select("name", "block", "before", "through", "p", "place", F.inline(ends)).where(
-        (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("through"))
+    places = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")
+    wanted = (
+        blocks.select("*", places)
+        .withColumn("place", F.expr("p * (total - 1)"))
+        .selectExpr("*", "inline(array(struct('low' AS end, floor(place) AS rank), struct('high' AS end, ceil(place) AS rank)))")
+        .where("rank >= before AND rank < through")
+        .select("name", "block", "before", "p", "place", "end", "rank")
     )
     # Two ranks per column and probability: a handful of rows.
     inside = counts.join(F.broadcast(wanted), ["name", "block"])
     running = F.sum("n").over(W.partitionBy("name", "p", "end").orderBy("value")) + F.col("before")
-    hits = inside.withColumn("running", running).where(
-        (F.col("rank") < F.col("running")) & (F.col("rank") >= F.col("running") - F.col("n"))
-    )
-    at = lambda end: F.max(F.when(F.col("end") == end, F.col("value")))
-    found = hits.groupBy("name", "p").agg(at("low").alias("low"), at("high").alias("high"), F.max("place").alias("place"))
-    value = F.col("low") + (F.col("high") - F.col("low")) * (F.col("place") - F.floor("place"))
-    return found.select("name", "p", value.cast("double").alias("value"))
+    return inside.withColumn("running", running).where("rank < running AND rank >= running - n")
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """``(name, p, value)``: linearly interpolated quantiles of 32-bit whole-number columns, NULL ignored.
+
+    The table shrinks to one count per distinct value. Values are pooled in blocks of 65,536; the
+    block that holds a wanted rank is found first, then the value inside it. No task therefore
+    orders more than 65,536 rows per column and wanted rank, whatever the number of distinct values.
+    """
+    ends = _rank_values(df, columns, probabilities)
+    return ends.groupBy("name", "p").agg(_between(F.lit(True)).alias("value"))
+
+
+def _between(condition: Column) -> Column:
+    """Interpolation between the two rank values of the rows that meet the condition."""
+    low = F.max(F.when(condition & (F.col("end") == "low"), F.col("value")))
+    high = F.max(F.when(condition & (F.col("end") == "high"), F.col("value")))
+    place = F.max(F.when(condition, F.col("place")))
+    return low + (high - low) * (place - F.floor(place))
 
 
 def approximate_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
@@ -74,16 +80,13 @@ def approximate_quantiles(df: DataFrame, columns: Sequence[str], probabilities:
 
 def upper_fences(df: DataFrame, columns: Sequence[str], reach: float = 3.0, exact: bool = True) -> DataFrame:
     """One row: for each column ``q1``, ``q3`` and the fence ``q3 + reach * (q3 - q1)``."""
-    find = quantiles if exact else approximate_quantiles
-    long = find(df, columns, [0.25, 0.75])
-    at = lambda c, p: F.max(F.when((F.col("name") == c) & (F.col("p") == p), F.col("value")))
-    row = long.agg(*[at(c, p).alias(f"{c}_{q}") for c in columns for q, p in (("q1", 0.25), ("q3", 0.75))])
-    for c in columns:
-        q1, q3 = F.col(f"{c}_q1"), F.col(f"{c}_q3")
-        row = row.withColumn(f"{c}_fence", q3 + reach * (q3 - q1))
-    return row
-
-
-def above_fence(value: Column, fence: Column) -> Column:
-    """Outlier flag; NULL on either side gives 0 and the row is kept."""
-    return F.when(value > fence, 1).otherwise(0)
+    quarters = {"q1": 0.25, "q3": 0.75}
+    find = _rank_values if exact else approximate_quantiles
+    long = find(df, columns, list(quarters.values()))
+
+    def quarter(column: str, p: float) -> Column:
+        own = (F.col("name") == column) & (F.col("p") == p)
+        return _between(own) if exact else F.max(F.when(own, F.col("value")))
+
+    row = long.agg(*[quarter(c, p).alias(f"{c}_{q}") for c in columns for q, p in quarters.items()])
+    return row.selectExpr("*", *[f"{c}_q3 + {reach} * ({c}_q3 - {c}_q1) AS {c}_fence" for c in columns])

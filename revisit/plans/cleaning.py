@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from revisit.functions import cleaning as C
 from revisit.operators.keys import keep_first, sequence
-from revisit.operators.quantiles import above_fence, upper_fences
+from revisit.operators.quantiles import upper_fences
 from revisit.operators.reshape import to_long
 from revisit.plans import vocabulary as V
+from revisit.sources.literals import sql_list
 
 MARKED = ["payer_code", "medical_specialty", "diag_1", "diag_2", "diag_3"]
 WHOLE = [
@@ -34,24 +35,23 @@ CLEAN_COLUMNS = [
 
 def typed(raw: DataFrame) -> DataFrame:
     """Missing markers to NULL, tolerant casts, standard labels. One projection, no shuffle."""
-    col = F.col
-    columns: dict[str, Column] = {
-        "encounter_id": C.whole_number(col("encounter_id"), "bigint"),
-        "patient_nbr": C.whole_number(col("patient_nbr"), "bigint"),
-        "race": C.relabel(C.null_if_marker(col("race")), V.RACE_NAMES),
-        "gender": C.keep_allowed(col("gender"), V.GENDERS),
-        "age_group": C.interval(col("age")),
-        "weight_band": C.strip_interval(C.null_if_marker(col("weight"))),
+    rules = {
+        "encounter_id": C.whole_number("encounter_id", "BIGINT"),
+        "patient_nbr": C.whole_number("patient_nbr", "BIGINT"),
+        "race": C.relabel(C.null_if_marker("race"), V.RACE_NAMES),
+        "gender": C.keep_allowed("gender", V.GENDERS),
+        "age_group": C.interval("age"),
+        "weight_band": C.strip_interval(C.null_if_marker("weight")),
     }
-    columns |= {name: C.whole_number(col(name)) for name in WHOLE}
-    columns |= {name: C.null_if_marker(col(name)) for name in MARKED}
-    columns["max_glu_serum"] = C.label_if_marker(col("max_glu_serum"), V.NOT_MEASURED, V.NOT_MEASURED_MARKERS)
-    columns["a1c_result"] = C.label_if_marker(col("A1Cresult"), V.NOT_MEASURED, V.NOT_MEASURED_MARKERS)
-    columns |= {med: C.keep_allowed(col(name), V.DOSES) for name, med in MED_COLUMNS.items()}
-    columns["med_change_flag"] = C.two_way_flag(col("change"), "Ch", "No")
-    columns["diabetes_med_flag"] = C.two_way_flag(col("diabetesMed"), "Yes", "No")
-    columns["readmitted"] = C.keep_allowed(col("readmitted"), V.READMITTED)
-    return raw.select(*[column.alias(name) for name, column in columns.items()])
+    rules |= {name: C.whole_number(name) for name in WHOLE}
+    rules |= {name: C.null_if_marker(name) for name in MARKED}
+    rules["max_glu_serum"] = C.label_if_marker("max_glu_serum", V.NOT_MEASURED, V.NOT_MEASURED_MARKERS)
+    rules["a1c_result"] = C.label_if_marker("A1Cresult", V.NOT_MEASURED, V.NOT_MEASURED_MARKERS)
+    rules |= {med: C.keep_allowed(name, V.DOSES) for name, med in MED_COLUMNS.items()}
+    rules["med_change_flag"] = C.two_way_flag("change", "Ch", "No")
+    rules["diabetes_med_flag"] = C.two_way_flag("diabetesMed", "Yes", "No")
+    rules["readmitted"] = C.keep_allowed("readmitted", V.READMITTED)
+    return raw.selectExpr(*[f"{rule} AS {name}" for name, rule in rules.items()])
 
 
 def preference() -> list[Column]:
@@ -88,65 +88,75 @@ def fences(keys: DataFrame, exact: bool = True) -> DataFrame:
     return upper_fences(keys, OUTLIER_COLUMNS, reach=3.0, exact=exact)
 
 
-def diagnosis_group(code: Column) -> Column:
-    return C.code_group(code, V.DIAGNOSIS_PREFIXES, V.DIAGNOSIS_RANGES, V.DIAGNOSIS_MISSING, V.DIAGNOSIS_OTHER)
+def with_code_numbers(rows: DataFrame) -> DataFrame:
+    """The numeric part of the diagnosis codes, parsed once for all range tests; NULL for V and E codes."""
+    return rows.selectExpr("*", *[f"{C.plain_decimal(f'diag_{i}')} AS diag_{i}_num" for i in (1, 2, 3)])
 
 
-def derived() -> dict[str, Column]:
-    """Bands, groups, counts and flags that depend on the row alone."""
-    col = F.col
-    meds = [col(med) for med in MED_COLUMNS.values()]
-    visits = ["number_outpatient", "number_emergency", "number_inpatient"]
-    columns = {
-        "age_mid": F.split_part("age_group", F.lit("-"), F.lit(1)).try_cast("int") + 5,
-        "los_band": C.band(col("time_in_hospital"), V.LOS_BANDS, V.LOS_LONGEST),
-        "prior_inpatient_band": C.exact_band(col("number_inpatient"), [0, 1, 2], "3+"),
-        "prior_visits_total": col(visits[0]) + col(visits[1]) + col(visits[2]),
+def diagnosis_group(i: int) -> str:
+    return C.code_group(
+        f"diag_{i}", f"diag_{i}_num", V.DIAGNOSIS_PREFIXES, V.DIAGNOSIS_RANGES, V.DIAGNOSIS_MISSING, V.DIAGNOSIS_OTHER
+    )
+
+
+def derived() -> dict[str, str]:
+    """Bands, groups, counts and flags, from typed columns, code numbers, patient order and fences."""
+    meds = list(MED_COLUMNS.values())
+    rules = {
+        "is_first_encounter": C.flag("patient_encounter_seq = 1"),
+        "age_mid": C.interval_middle("age_group", 5),
+        "los_band": C.band("time_in_hospital", V.LOS_BANDS, V.LOS_LONGEST),
+        "prior_inpatient_band": C.exact_band("number_inpatient", [0, 1, 2], "3+"),
+        "prior_visits_total": "number_outpatient + number_emergency + number_inpatient",
         "n_diabetes_meds": C.count_in(meds, V.PRESCRIBED),
         "n_meds_changed": C.count_in(meds, V.DOSE_CHANGED),
-        "insulin_flag": C.flag(col("med_insulin").isin(*V.PRESCRIBED)),
-        "readmit_30d_flag": C.flag(col("readmitted") == "<30"),
-        "readmit_any_flag": C.flag(col("readmitted").isin("<30", ">30")),
-        "is_readmit_eligible": F.when(col("discharge_disposition_id").isin(*V.NOT_ELIGIBLE_DISCHARGES), 0).otherwise(1),
-        "dq_missing_weight": col("weight_band").isNull().cast("int"),
-        "dq_missing_race": col("race").isNull().cast("int"),
+        "insulin_flag": C.flag(f"med_insulin IN {sql_list(V.PRESCRIBED)}"),
+        "readmit_30d_flag": C.flag("readmitted = '<30'"),
+        "readmit_any_flag": C.flag("readmitted IN ('<30', '>30')"),
+        "is_readmit_eligible": eligible("discharge_disposition_id"),
+        "is_num_meds_outlier": C.flag("num_medications > fence.num_medications_fence"),
+        "is_num_labs_outlier": C.flag("num_lab_procedures > fence.num_lab_procedures_fence"),
+        "dq_missing_weight": C.flag("weight_band IS NULL"),
+        "dq_missing_race": C.flag("race IS NULL"),
     }
-    columns |= {f"diag_{i}_group": diagnosis_group(col(f"diag_{i}")) for i in (1, 2, 3)}
-    return columns
+    return rules | {f"diag_{i}_group": diagnosis_group(i) for i in (1, 2, 3)}
+
 
+def eligible(discharge: str) -> str:
+    """0 after a discharge that rules out readmission, else 1; an unknown id counts as eligible."""
+    return f"CASE WHEN {discharge} IN {sql_list(V.NOT_ELIGIBLE_DISCHARGES)} THEN 0 ELSE 1 END"
 
-def integrity() -> Column:
+
+def integrity() -> str:
     """Rows that can be analysed: known patient, outcome, gender, age and ids, stay of 1 to 14 days."""
     needed = [
         "patient_nbr", "readmitted", "gender", "age_group",
         "admission_type_id", "discharge_disposition_id", "admission_source_id",
     ]
-    rule = F.col("time_in_hospital").between(*V.STAY_DAYS)
-    for name in needed:
-        rule = rule & F.col(name).isNotNull()
-    return rule
+    low, high = V.STAY_DAYS
+    return " AND ".join([*[f"{name} IS NOT NULL" for name in needed], f"time_in_hospital BETWEEN {low} AND {high}"])
 
 
 def rejected(types: DataFrame) -> DataFrame:
     """Kept copies that fail the integrity rule; an unknown value fails it."""
-    return deduplicated(types).where(~F.coalesce(integrity(), F.lit(False)))
+    return deduplicated(types).where(f"NOT coalesce({integrity()}, false)")
 
 
-def clean_encounters(types: DataFrame, keys: DataFrame, exact: bool = True, **limits: int) -> DataFrame:
+def clean_encounters(types: DataFrame, order: DataFrame, fence: DataFrame) -> DataFrame:
     """One row per analysable encounter.
 
-    The wide rows are shuffled once, by encounter; the patient order joins back on that same
-    partitioning. Order and fences come from ``keys``, that is from before the integrity filter.
+    ``order`` and ``fence`` come from :func:`patient_sequence` and :func:`fences`, that is from
+    before the integrity filter. The wide rows are shuffled once, by encounter; the order joins on
+    that same partitioning, and the one-row fences arrive as a scalar.
     """
-    kept = deduplicated(types).where(integrity())
-    limit = fences(keys, exact).select(F.struct(*[f"{c}_fence" for c in OUTLIER_COLUMNS])).scalar()
-    order = patient_sequence(keys, **limits).select("encounter_id", "patient_encounter_seq")
-    columns = derived() | {
-        "is_first_encounter": F.when(F.col("patient_encounter_seq") == 1, 1).otherwise(0),
-        "is_num_meds_outlier": above_fence(F.col("num_medications"), limit["num_medications_fence"]),
-        "is_num_labs_outlier": above_fence(F.col("num_lab_procedures"), limit["num_lab_procedures_fence"]),
-    }
-    return kept.join(order, "encounter_id").withColumns(columns).select(*CLEAN_COLUMNS)
+    kept = with_code_numbers(deduplicated(types).where(integrity()))
+    limits = fence.select(F.struct(*[f"{c}_fence" for c in OUTLIER_COLUMNS])).scalar()
+    rules = derived()
+    return (
+        kept.join(order.select("encounter_id", "patient_encounter_seq"), "encounter_id")
+        .withColumn("fence", limits)
+        .selectExpr(*[f"{rules[name]} AS {name}" if name in rules else name for name in CLEAN_COLUMNS])
+    )
 
 
 def medications_long(clean: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -98,7 +98,7 @@ def rate_view(tables: Mapping[str, DataFrame], keys: Iterable[str]) -> DataFrame
             "los_days": F.col("time_in_hospital"),
             "diabetes_med": F.when(F.col("diabetes_med_flag") == 1, "On diabetes med").otherwise("No diabetes med"),
             "med_change": F.when(F.col("med_change_flag") == 1, "Changed").otherwise("Not changed"),
-            "n_diabetes_meds": tail_band(F.col("n_diabetes_meds"), 3),
+            "n_diabetes_meds": F.expr(tail_band("n_diabetes_meds", 3)),
         }
     )
     wanted = set(keys)
@@ -199,7 +199,7 @@ def by_medication(tables: Mapping[str, DataFrame], min_rows: int = V.MEDICATION_
 
 def patient_utilisation(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Patients by their number of encounters, five and more pooled."""
-    banded = tables["dim_patient"].withColumn("encounters_per_patient", tail_band(F.col("n_encounters"), 5))
+    banded = tables["dim_patient"].withColumn("encounters_per_patient", F.expr(tail_band("n_encounters", 5)))
     return R.rate_by(banded, ["encounters_per_patient"], UTILISATION_MEASURES)
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revisit.plans import cleaning, kpis, ledgers, star
 from revisit.plans.staging import staged_encounters, staged_lookups
-from revisit.session import fresh_folder, write_table
-from revisit.sources.writers import replace_table
+from revisit.session import fresh_folder, wide_rows, write_table
+from revisit.sources.writers import replace_tables, write_tables
 
 STAR_TABLES = [
     "fact_encounter", "fact_encounter_medication", "dim_patient", "dim_age_group", "dim_diagnosis_group",
@@ -33,55 +33,53 @@ COMPARED_TABLES = {
 Tables = dict[str, DataFrame]
 
 
-def _put(tables: Tables, root: str, name: str, df: DataFrame) -> None:
-    tables[name] = replace_table(df, root, name)
+SEEDED: Mapping[str, Callable[[SparkSession], DataFrame]] = {
+    "dim_admission_type": star.dim_admission_type,
+    "dim_discharge_disposition": star.dim_discharge_disposition,
+    "dim_admission_source": star.dim_admission_source,
+    "dim_medication": star.dim_medication,
+}
 
 
 def stage(spark: SparkSession, encounters: str, lookups: str, root: str) -> Tables:
-    tables: Tables = {}
-    _put(tables, root, "stg_encounters", staged_encounters(spark, encounters))
-    _put(tables, root, "stg_ids_mapping", staged_lookups(spark, lookups))
-    return tables
+    return replace_tables(
+        {"stg_encounters": staged_encounters(spark, encounters), "stg_ids_mapping": staged_lookups(spark, lookups)}, root
+    )
 
 
 def clean(tables: Tables, root: str) -> None:
     spark = tables["stg_encounters"].sparkSession
+    scratch = fresh_folder(spark)
     types = cleaning.typed(tables["stg_encounters"])
-    keys = write_table(cleaning.encounter_keys(types), f"{fresh_folder(spark)}/encounter_keys")
-    _put(tables, root, "cln_encounters", cleaning.clean_encounters(types, keys))
-    _put(tables, root, "cln_encounter_medications", cleaning.medications_long(tables["cln_encounters"]))
+    keys = write_table(cleaning.encounter_keys(types), f"{scratch}/encounter_keys")
+    parts = write_tables({"order": cleaning.patient_sequence(keys), "fence": cleaning.fences(keys)}, scratch)
+    with wide_rows(spark):
+        rows = cleaning.clean_encounters(types, parts["order"], parts["fence"])
+        tables |= replace_tables({"cln_encounters": rows}, root)
+    tables |= replace_tables({"cln_encounter_medications": cleaning.medications_long(tables["cln_encounters"])}, root)
 
 
 def model(tables: Tables, root: str) -> None:
-    spark, rows = tables["cln_encounters"].sparkSession, tables["cln_encounters"]
-    for name, build in SEEDED.items():
-        _put(tables, root, name, build(spark))
-    _put(tables, root, "dim_age_group", star.dim_age_group(rows))
-    _put(tables, root, "dim_diagnosis_group", star.dim_diagnosis_group(rows))
-    _put(tables, root, "dim_patient", star.dim_patient(rows))
-    _put(
-        tables, root, "fact_encounter", star.fact_encounter(rows, tables["dim_age_group"], tables["dim_diagnosis_group"])
-    )
-    _put(tables, root, "fact_encounter_medication", star.fact_encounter_medication(rows, tables["dim_medication"]))
-
-
-SEEDED: Mapping[str, Callable[[SparkSession], DataFrame]] = {
-    "dim_admission_type": star.dim_admission_type,
-    "dim_discharge_disposition": star.dim_discharge_disposition,
-    "dim_admission_source": star.dim_admission_source,
-    "dim_medication": star.dim_medication,
-}
+    rows = tables["cln_encounters"]
+    dims = {name: build(rows.sparkSession) for name, build in SEEDED.items()}
+    dims["dim_age_group"] = star.dim_age_group(rows)
+    dims["dim_diagnosis_group"] = star.dim_diagnosis_group(rows)
+    dims["dim_patient"] = star.dim_patient(rows)
+    tables |= replace_tables(dims, root)
+    facts = {
+        "fact_encounter": star.fact_encounter(rows, tables["dim_age_group"], tables["dim_diagnosis_group"]),
+        "fact_encounter_medication": star.fact_encounter_medication(rows, tables["dim_medication"]),
+    }
+    tables |= replace_tables(facts, root)
 
 
 def analyse(tables: Tables, root: str) -> None:
-    for name, df in kpis.all_tables(tables).items():
-        _put(tables, root, name, df)
+    tables |= replace_tables(kpis.all_tables(tables), root)
 
 
 def check(tables: Tables, root: str) -> None:
     builders = [ledgers.row_counts, ledgers.null_rates, ledgers.issues, ledgers.assertions]
-    for name, build in zip(QUALITY_TABLES, builders):
-        _put(tables, root, name, build(tables))
+    tables |= replace_tables({name: build(tables) for name, build in zip(QUALITY_TABLES, builders)}, root)
 
 
 STAGES: Mapping[str, Callable[[Tables, str], None]] = {

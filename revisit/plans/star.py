@@ -9,8 +9,8 @@ from revisit.functions.cleaning import id_group
 from revisit.operators.keys import first_per_entity, surrogate_key
 from revisit.operators.reshape import pooled_distinct
 from revisit.plans import vocabulary as V
-from revisit.plans.cleaning import medications_long
-from revisit.sources.readers import values_table
+from revisit.plans.cleaning import eligible, medications_long
+from revisit.sources.literals import values_table
 
 FACT_FLAGS = ("readmit_30d_flag", "readmit_any_flag", "is_readmit_eligible")
 FACT_COLUMNS = [
@@ -31,17 +31,17 @@ def dim_admission_type(spark: SparkSession) -> DataFrame:
 
 
 def dim_discharge_disposition(spark: SparkSession) -> DataFrame:
-    key = F.col("discharge_disposition_id")
+    key = "discharge_disposition_id"
     return values_table(spark, ["discharge_disposition_id", "description"], V.DISCHARGES).withColumns(
         {
-            "discharge_group": id_group(key, V.DISCHARGE_GROUPS, V.DISCHARGE_OTHER),
-            "is_readmit_eligible": F.when(key.isin(*V.NOT_ELIGIBLE_DISCHARGES), 0).otherwise(1),
+            "discharge_group": F.expr(id_group(key, V.DISCHARGE_GROUPS, V.DISCHARGE_OTHER)),
+            "is_readmit_eligible": F.expr(eligible(key)),
         }
     )
 
 
 def dim_admission_source(spark: SparkSession) -> DataFrame:
-    group = id_group(F.col("admission_source_id"), V.SOURCE_GROUPS, V.SOURCE_OTHER)
+    group = F.expr(id_group("admission_source_id", V.SOURCE_GROUPS, V.SOURCE_OTHER))
     return values_table(spark, ["admission_source_id", "description"], V.ADMISSION_SOURCES).withColumn(
         "admission_source_group", group
     )

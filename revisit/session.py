@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +55,18 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def wide_rows(spark: SparkSession) -> Iterator[None]:
+    """Settings for stages that project many computed columns, put back afterwards.
+
+    The JVM does not compile methods above 8,000 bytes. Without this limit the whole projection
+    becomes one such method and runs interpreted, three times slower.
+    """
+    name, before = "spark.sql.codegen.hugeMethodLimit", spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

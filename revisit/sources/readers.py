@@ -48,20 +48,6 @@ def rename_to_end(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.select(*kept, *[F.col(f"`{old}`").alias(new) for old, new in names.items()])
 
 
-def sql_literal(value: object) -> str:
-    if value is None:
-        return "NULL"
-    if isinstance(value, str):
-        return "'" + value.replace("'", "''") + "'"
-    return str(value)
-
-
-def values_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence[object]]) -> DataFrame:
-    """Literal rows as a relation, known to the planner by size."""
-    body = ", ".join("(" + ", ".join(sql_literal(v) for v in row) + ")" for row in rows)
-    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
-
-
 def modulus_sample(df: DataFrame, key: str, modulus: int, remainder: int) -> DataFrame:
     """Repeatable sample: rows whose numeric key leaves the given remainder, values verbatim, by key."""
     number = F.col(key).cast("bigint")

@@ -3,19 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from fnmatch import fnmatchcase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from revisit.session import write_table
 
 
-def replace_table(df: DataFrame, root: str, name: str) -> DataFrame:
+def write_tables(tables: Mapping[str, DataFrame], root: str, at_once: int = 8) -> dict[str, DataFrame]:
+    """Write several independent tables. Their jobs run side by side, so small ones do not queue."""
+    spark = next(iter(tables.values())).sparkSession
+    write = inheritable_thread_target(spark)(write_table)
+    with ThreadPoolExecutor(at_once) as pool:
+        jobs = {name: pool.submit(write, df, f"{root}/{name}") for name, df in tables.items()}
+        return {name: job.result() for name, job in jobs.items()}
+
+
+def replace_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Create or replace ``<root>/<name>`` and the view of that name; running it again gives the same."""
-    table = write_table(df, f"{root}/{name}")
-    table.createOrReplaceTempView(name)
-    return table
+    written = write_tables(tables, root)
+    for name, table in written.items():
+        table.createOrReplaceTempView(name)
+    return written
 
 
 def sort_order(df: DataFrame) -> list[Column]:
