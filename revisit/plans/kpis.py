@@ -138,12 +138,15 @@ def rate_parts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def rate_table_from_parts(parts: DataFrame, name: str) -> DataFrame:
-    """The same table as :func:`rate_table`, from the shared parts."""
+    """The same table as :func:`rate_table`, from the shared parts.
+
+    Parts are split by eligibility, so a table over eligible encounters takes its groups as they
+    are, and only a table over all encounters adds the two halves up.
+    """
     spec = RATE_TABLES[name]
     own = _known(parts.where(F.col("table") == name), spec)
-    if spec.eligible_only:
-        own = own.where(ELIGIBLE)
-    return _arrange(R.pool_parts(own, spec.keys, spec.measures), spec)
+    own = own.where(ELIGIBLE) if spec.eligible_only else R.pool_parts(own, spec.keys, spec.measures)
+    return _arrange(own, spec)
 
 
 def headline(fact: DataFrame) -> DataFrame:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from revisit.plans import cleaning, kpis, ledgers, star
 from revisit.plans.staging import staged_encounters, staged_lookups
 from revisit.session import fresh_folder, wide_rows, write_table
-from revisit.sources.writers import replace_tables, write_tables
+from revisit.sources.writers import register, replace_tables, write_tables
 
 STAR_TABLES = [
     "fact_encounter", "fact_encounter_medication", "dim_patient", "dim_age_group", "dim_diagnosis_group",
@@ -42,44 +43,66 @@ SEEDED: Mapping[str, Callable[[SparkSession], DataFrame]] = {
 
 
 def stage(spark: SparkSession, encounters: str, lookups: str, root: str) -> Tables:
-    return replace_tables(
-        {"stg_encounters": staged_encounters(spark, encounters), "stg_ids_mapping": staged_lookups(spark, lookups)}, root
-    )
+    builds = {
+        "stg_encounters": lambda: staged_encounters(spark, encounters),
+        "stg_ids_mapping": lambda: staged_lookups(spark, lookups),
+    }
+    return replace_tables(spark, builds, root)
 
 
 def clean(tables: Tables, root: str) -> None:
+    """Order and fences first, from four narrow columns; then the wide rows in one pass."""
     spark = tables["stg_encounters"].sparkSession
     scratch = fresh_folder(spark)
     types = cleaning.typed(tables["stg_encounters"])
     keys = write_table(cleaning.encounter_keys(types), f"{scratch}/encounter_keys")
-    parts = write_tables({"order": cleaning.patient_sequence(keys), "fence": cleaning.fences(keys)}, scratch)
+    narrow = {
+        f"{scratch}/order": lambda: cleaning.patient_sequence(keys),
+        f"{scratch}/fence": lambda: cleaning.fences(keys),
+    }
+    order, fence = write_tables(spark, narrow).values()
     with wide_rows(spark):
-        rows = cleaning.clean_encounters(types, parts["order"], parts["fence"])
-        tables |= replace_tables({"cln_encounters": rows}, root)
-    tables |= replace_tables({"cln_encounter_medications": cleaning.medications_long(tables["cln_encounters"])}, root)
+        tables |= replace_tables(spark, {"cln_encounters": lambda: cleaning.clean_encounters(types, order, fence)}, root)
 
 
 def model(tables: Tables, root: str) -> None:
+    """Everything that reads the clean encounters alone, then the fact that needs two dimensions."""
     rows = tables["cln_encounters"]
-    dims = {name: build(rows.sparkSession) for name, build in SEEDED.items()}
-    dims["dim_age_group"] = star.dim_age_group(rows)
-    dims["dim_diagnosis_group"] = star.dim_diagnosis_group(rows)
-    dims["dim_patient"] = star.dim_patient(rows)
-    tables |= replace_tables(dims, root)
-    facts = {
-        "fact_encounter": star.fact_encounter(rows, tables["dim_age_group"], tables["dim_diagnosis_group"]),
-        "fact_encounter_medication": star.fact_encounter_medication(rows, tables["dim_medication"]),
+    spark = rows.sparkSession
+    builds = {name: partial(build, spark) for name, build in SEEDED.items()}
+    builds |= {
+        "cln_encounter_medications": lambda: cleaning.medications_long(rows),
+        "fact_encounter_medication": lambda: star.fact_encounter_medication(rows, star.dim_medication(spark)),
+        "dim_age_group": lambda: star.dim_age_group(rows),
+        "dim_diagnosis_group": lambda: star.dim_diagnosis_group(rows),
+        "dim_patient": lambda: star.dim_patient(rows),
     }
-    tables |= replace_tables(facts, root)
+    tables |= replace_tables(spark, builds, root)
+    fact = {
+        "fact_encounter": lambda: star.fact_encounter(rows, tables["dim_age_group"], tables["dim_diagnosis_group"]),
+    }
+    tables |= replace_tables(spark, fact, root)
 
 
 def analyse(tables: Tables, root: str) -> None:
-    tables |= replace_tables(kpis.all_tables(tables), root)
+    """The shared parts next to the tables that do not use them, then the tables made from the parts."""
+    spark = tables["fact_encounter"].sparkSession
+    path = f"{fresh_folder(spark)}/rate_parts"
+    alone = [name for name in kpis.TABLES if name not in kpis.RATE_TABLES]
+    builds = {path: lambda: kpis.rate_parts(tables)}
+    builds |= {f"{root}/{name}": partial(kpis.kpi_table, tables, name) for name in alone}
+    written = write_tables(spark, builds)
+    parts = written.pop(path)
+    register(tables, {name: written[f"{root}/{name}"] for name in alone})
+    tables |= replace_tables(
+        spark, {name: partial(kpis.rate_table_from_parts, parts, name) for name in kpis.RATE_TABLES}, root
+    )
 
 
 def check(tables: Tables, root: str) -> None:
+    spark = tables["fact_encounter"].sparkSession
     builders = [ledgers.row_counts, ledgers.null_rates, ledgers.issues, ledgers.assertions]
-    tables |= replace_tables({name: build(tables) for name, build in zip(QUALITY_TABLES, builders)}, root)
+    tables |= replace_tables(spark, {name: partial(build, tables) for name, build in zip(QUALITY_TABLES, builders)}, root)
 
 
 STAGES: Mapping[str, Callable[[Tables, str], None]] = {

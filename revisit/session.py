@@ -13,13 +13,18 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def local_session(cores: int | str = "*", app_name: str = "revisit") -> SparkSession:
-    """A single-machine session for tests and the benchmark; a cluster brings its own."""
+    """A single-machine session for tests and the benchmark; a cluster brings its own.
+
+    A refresh compiles a few hundred pieces of generated code. The default cache holds 100, so that
+    every run would compile them again; this is a start-up setting worth having on a cluster too.
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()

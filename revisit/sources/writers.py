@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from fnmatch import fnmatchcase
 
@@ -13,21 +13,29 @@ from pyspark.util import inheritable_thread_target
 from revisit.session import write_table
 
 
-def write_tables(tables: Mapping[str, DataFrame], root: str, at_once: int = 8) -> dict[str, DataFrame]:
-    """Write several independent tables. Their jobs run side by side, so small ones do not queue."""
-    spark = next(iter(tables.values())).sparkSession
-    write = inheritable_thread_target(spark)(write_table)
+Build = Callable[[], DataFrame]
+
+
+def write_tables(spark: SparkSession, builds: Mapping[str, Build], at_once: int = 8) -> dict[str, DataFrame]:
+    """Plan and write independent tables by path. Their jobs run side by side, so small ones do not queue."""
+    write = inheritable_thread_target(spark)(lambda path: write_table(builds[path](), path))
     with ThreadPoolExecutor(at_once) as pool:
-        jobs = {name: pool.submit(write, df, f"{root}/{name}") for name, df in tables.items()}
-        return {name: job.result() for name, job in jobs.items()}
+        return dict(zip(builds, pool.map(write, builds)))
 
 
-def replace_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+def replace_tables(spark: SparkSession, builds: Mapping[str, Build], root: str) -> dict[str, DataFrame]:
     """Create or replace ``<root>/<name>`` and the view of that name; running it again gives the same."""
-    written = write_tables(tables, root)
+    written = write_tables(spark, {f"{root}/{name}": build for name, build in builds.items()})
+    tables: dict[str, DataFrame] = {}
+    register(tables, dict(zip(builds, written.values())))
+    return tables
+
+
+def register(tables: dict[str, DataFrame], written: Mapping[str, DataFrame]) -> None:
+    """Add written tables to a set and name a view after each."""
+    tables.update(written)
     for name, table in written.items():
         table.createOrReplaceTempView(name)
-    return written
 
 
 def sort_order(df: DataFrame) -> list[Column]:
