@@ -674,7 +674,7 @@ def _snapshot_sql() -> str:
 'readmit_30d_pct_by_los_band': {rates_of('a_readmit_by_los_band', 'los_band', 'los_band')},
 'readmit_30d_pct_by_prior_inpatient': {rates_of('a_readmit_by_prior_inpatient', 'prior_inpatient_band', 'prior_inpatient_band')},
 'top_diagnosis_groups': (SELECT list({group} ORDER BY encounters DESC, primary_diagnosis_group)[1:5] FROM ({k['a_readmit_by_diagnosis']}) r),
-'medications_by_readmit_30d_pct': (SELECT list({drug} ORDER BY readmit_30d_pct DESC, medication) FROM ({k['a_readmit_by_medication']}) r),
+'medications_by_readmit_30d_pct': (SELECT coalesce(list({drug} ORDER BY readmit_30d_pct DESC, medication), []) FROM ({k['a_readmit_by_medication']}) r),
 'assertions_passed': (SELECT count(*) FILTER (WHERE status = 'PASS') FROM ({O.ASSERTIONS}) a),
 'assertions_total': (SELECT count(*) FROM ({O.ASSERTIONS}) a)}}) AS VARCHAR) AS document
 FROM ({k['a_kpi_headline']}) h"""
