@@ -471,6 +471,20 @@ on_tables(
     O.sql(f"{DRUGS_SQL} AND encounter_id IN (SELECT encounter_id FROM fact WHERE time_in_hospital >= 8) GROUP BY medication"),
     lambda t: reports.drug_measures(t, F.col("time_in_hospital") >= 8),
 )
+on_tables(
+    "drug_bar",
+    O.sql(f"{DRUGS_SQL} GROUP BY medication HAVING count(*) >= 500"),
+    lambda t: reports.drug_measures(t, min_rows=V.MEDICATION_MIN_ROWS),
+)
+on_tables(
+    "overview_cards",
+    O.sql(f"""SELECT encounters, patients, readmit_30d_rate, readmit_any_rate, avg_los_days, on_insulin_rate
+FROM (SELECT {MEASURES} FROM fact JOIN dim_patient p USING (patient_nbr) JOIN dim_age USING (age_key)
+WHERE p.gender = 'Male' AND p.race = 'Caucasian' AND age_group = '60-70') m"""),
+    lambda t: reports.overview_cards(
+        t, F.col("age_group") == "60-70", (F.col("gender") == "Male") & (F.col("race") == "Caucasian")
+    ),
+)
 on_tables(
     "encounters_on_insulin",
     O.sql("SELECT * FROM fact WHERE insulin_status IN ('Steady', 'Up', 'Down')"),

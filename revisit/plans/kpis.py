@@ -149,8 +149,11 @@ def rate_table_from_parts(parts: DataFrame, name: str) -> DataFrame:
     return _arrange(own, spec)
 
 
-def headline(fact: DataFrame) -> DataFrame:
-    """Sixteen headline numbers in one pass. Rates are over eligible encounters, shares over all."""
+def headline(fact: DataFrame, exact: bool = True) -> DataFrame:
+    """Sixteen headline numbers in one pass. Rates are over eligible encounters, shares over all.
+
+    ``exact=False`` estimates the number of patients and so needs no shuffle by patient.
+    """
 
     def ones(flag: str, condition: str | None = None) -> Column:
         return F.sum(flag) if condition is None else F.sum(F.when(F.expr(condition), F.col(flag)).otherwise(0))
@@ -158,7 +161,7 @@ def headline(fact: DataFrame) -> DataFrame:
     first = f"{ELIGIBLE} AND is_first_encounter = 1"
     parts = fact.agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_distinct("patient_nbr").alias("patients"),
+        (F.count_distinct if exact else F.approx_count_distinct)("patient_nbr").alias("patients"),
         ones("is_readmit_eligible").alias("eligible"),
         ones("readmit_30d_flag", ELIGIBLE).alias("eligible_30d"),
         ones("readmit_any_flag", ELIGIBLE).alias("eligible_any"),

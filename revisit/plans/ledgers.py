@@ -118,6 +118,7 @@ def issues(tables: Tables) -> DataFrame:
         repeat_patients.scalar().alias("repeat_patients"),
     )
     raw_rows = F.col("raw.raw_rows")
+    # The check names of the issue ledger.
     found = {
         "encounters: duplicate encounter_id (extras dropped)": raw_rows - F.col("raw.distinct_keys"),
         "encounters: gender Unknown/Invalid (dropped)": F.col("raw.bad_gender"),
@@ -166,6 +167,7 @@ def assertions(tables: Tables) -> DataFrame:
         filled(count_if(col("readmit_30d_flag") > col("readmit_any_flag"))).alias("flags"),
         filled(count_if(negative)).alias("negative"),
     )
+    # Fixed values below: the check names of the twelve assertions.
     keys = {
         "patient_nbr": "dim_patient",
         "admission_type_id": "dim_admission_type",

@@ -91,8 +91,11 @@ def measures(
     return against_overall(rated, F.col("readmit_30d_rate"), overall_rate(tables), "readmit_30d_vs_overall")
 
 
-def drug_measures(tables: Tables, encounter_where: Column | None = None) -> DataFrame:
-    """Drug measures by drug; a filter on encounters reaches the drugs through the shared key."""
+def drug_measures(tables: Tables, encounter_where: Column | None = None, min_rows: int = 0) -> DataFrame:
+    """Drug measures by drug; a filter on encounters reaches the drugs through the shared key.
+
+    ``min_rows`` is the visual filter of the drug bar.
+    """
     rows = tables["fact_encounter_medication"].where(F.col("is_readmit_eligible") == 1)
     if encounter_where is not None:
         rows = related_rows(rows, tables["fact_encounter"].where(encounter_where), "encounter_id")
@@ -103,7 +106,7 @@ def drug_measures(tables: Tables, encounter_where: Column | None = None) -> Data
         .agg(F.count(F.lit(1)).alias("drug_encounters"), count_if(F.col("readmit_30d_flag") == 1).alias("readmits"))
     )
     rate = fraction(F.col("readmits"), F.col("drug_encounters")).alias("drug_readmit_30d_rate")
-    return sums.select("medication", "drug_encounters", rate)
+    return sums.where(F.col("drug_encounters") >= min_rows).select("medication", "drug_encounters", rate)
 
 
 def encounters_on_drug(tables: Tables, drug: str) -> DataFrame:
@@ -197,6 +200,14 @@ def cards(kpi: DataFrame) -> DataFrame:
     return kpi.select(F.inline(F.array(*cells)))
 
 
+OVERVIEW = ["encounters", "patients", "readmit_30d_rate", "readmit_any_rate", "avg_los_days", "on_insulin_rate"]
+
+
+def overview_cards(tables: Tables, where: Column | None = None, patient_where: Column | None = None) -> DataFrame:
+    """The overview cards from the measures, so that slicers apply to them."""
+    return measures(tables, where=where, patient_where=patient_where).select(*OVERVIEW)
+
+
 def diagnosis_chart(kpi: DataFrame) -> DataFrame:
     """Diagnosis groups by falling rate, without the missing ones."""
     return dataset(kpi.where(F.col("primary_diagnosis_group") != V.DIAGNOSIS_MISSING), "diagnosis")
