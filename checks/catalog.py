@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks import oracle as O
 from checks.build import built, raw_files, table
 from checks.versions import COMPARED, KEY, left_version, right_version, sql_versions
-from revisit.functions.cleaning import tail_band
+from revisit.functions.cleaning import count_in, tail_band
 from revisit.operators import quality, quantiles, rates, reconcile, reshape
 from revisit.operators.keys import group_size, sequence
 from revisit.plans import cleaning, documents, kpis, ledgers, refresh, reports, star
@@ -215,9 +215,19 @@ on_tables(
 FROM kept {' '.join(f'LEFT JOIN codes c{i} ON diag_{i} = c{i}.code' for i in (1, 2, 3))}"""),
     code_groups,
 )
+def row_counts_of(t: Tables) -> DataFrame:
+    """Drug counts over the wide columns, next to those that cleaning takes from the packed text."""
+    meds = list(cleaning.MED_COLUMNS.values())
+    wide = {"wide_diabetes_meds": count_in(meds, V.PRESCRIBED), "wide_meds_changed": count_in(meds, V.DOSE_CHANGED)}
+    return t["cln_encounters"].selectExpr(*ROW_COLUMNS, *[f"{rule} AS {name}" for name, rule in wide.items()])
+
+
 ROW_COLUMNS = ["encounter_id", "n_diabetes_meds", "n_meds_changed", "age_mid", "prior_visits_total", "los_band", "prior_inpatient_band"]
 on_tables(
-    "clean_row_counts", O.sql(f"SELECT {', '.join(ROW_COLUMNS)} FROM clean"), lambda t: t["cln_encounters"].select(*ROW_COLUMNS)
+    "clean_row_counts",
+    O.sql(f"""SELECT {', '.join(ROW_COLUMNS)}, n_diabetes_meds AS wide_diabetes_meds, n_meds_changed AS wide_meds_changed
+FROM clean"""),
+    row_counts_of,
 )
 on_tables("clean_encounters", O.sql("SELECT * FROM clean"), lambda t: t["cln_encounters"])
 on_tables(

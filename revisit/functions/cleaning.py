@@ -118,6 +118,24 @@ def count_in(columns: Iterable[str], values: Sequence[str]) -> str:
     return " + ".join(flag(f"{column} IN {sql_list(values)}") for column in columns)
 
 
+def pack(columns: Iterable[str], letters: Mapping[str, str], absent: str = "-") -> str:
+    """Many columns over one small domain as one text, a letter per column; anything else is ``absent``."""
+    cases = " ".join(f"WHEN {sql_literal(value)} THEN '{letter}'" for value, letter in letters.items())
+    return "concat(" + ", ".join(f"CASE trim({column}) {cases} ELSE '{absent}' END" for column in columns) + ")"
+
+
+def unpack(packed: str, position: int, letters: Mapping[str, str]) -> str:
+    """The value at a position (from 1) of packed text, or NULL."""
+    cases = " ".join(f"WHEN '{letter}' THEN {sql_literal(value)}" for value, letter in letters.items())
+    return f"CASE substring({packed}, {position}, 1) {cases} END"
+
+
+def count_packed(packed: str, values: Sequence[str], letters: Mapping[str, str], absent: str = "-") -> str:
+    """How many packed columns hold one of the values."""
+    others = absent + "".join(letter for value, letter in letters.items() if value not in values)
+    return f"length(translate({packed}, '{others}', ''))"
+
+
 def id_group(identifier: str, groups: Mapping[str, Sequence[int]], other: str) -> str:
     """Label of the id set that holds the id."""
     cases = " ".join(f"WHEN {identifier} IN {sql_list(ids)} THEN {sql_literal(label)}" for label, ids in groups.items())

@@ -20,6 +20,7 @@ WHOLE = [
 ]
 OUTLIER_COLUMNS = ["num_medications", "num_lab_procedures"]
 MED_COLUMNS = {name: f"med_{name}" for name in V.DRUG_NAMES}
+DOSE_LETTERS = {"No": "N", "Steady": "S", "Up": "U", "Down": "D"}
 
 CLEAN_COLUMNS = [
     "encounter_id", "patient_nbr", "patient_encounter_seq", "is_first_encounter", "race", "gender", "age_group",
@@ -33,8 +34,12 @@ CLEAN_COLUMNS = [
 ]
 
 
-def typed(raw: DataFrame) -> DataFrame:
-    """Missing markers to NULL, tolerant casts, standard labels. One projection, no shuffle."""
+def compact(raw: DataFrame) -> DataFrame:
+    """Missing markers to NULL, tolerant casts, standard labels. One projection, no shuffle.
+
+    The 23 drug columns travel as one text with a letter per drug, in ``doses``. That halves the
+    width of the rows that are sorted and shuffled, and the drug counts become text lengths.
+    """
     rules = {
         "encounter_id": C.whole_number("encounter_id", "BIGINT"),
         "patient_nbr": C.whole_number("patient_nbr", "BIGINT"),
@@ -47,13 +52,26 @@ def typed(raw: DataFrame) -> DataFrame:
     rules |= {name: C.null_if_marker(name) for name in MARKED}
     rules["max_glu_serum"] = C.label_if_marker("max_glu_serum", V.NOT_MEASURED, V.NOT_MEASURED_MARKERS)
     rules["a1c_result"] = C.label_if_marker("A1Cresult", V.NOT_MEASURED, V.NOT_MEASURED_MARKERS)
-    rules |= {med: C.keep_allowed(name, V.DOSES) for name, med in MED_COLUMNS.items()}
+    rules["doses"] = C.pack(V.DRUG_NAMES, DOSE_LETTERS)
     rules["med_change_flag"] = C.two_way_flag("change", "Ch", "No")
     rules["diabetes_med_flag"] = C.two_way_flag("diabetesMed", "Yes", "No")
     rules["readmitted"] = C.keep_allowed("readmitted", V.READMITTED)
     return raw.selectExpr(*[f"{rule} AS {name}" for name, rule in rules.items()])
 
 
+def unpacked() -> dict[str, str]:
+    """Rules for the drug columns from ``doses``."""
+    return {med: C.unpack("doses", i, DOSE_LETTERS) for i, med in enumerate(MED_COLUMNS.values(), start=1)}
+
+
+def typed(raw: DataFrame) -> DataFrame:
+    """As :func:`compact`, with one column per drug."""
+    rows = compact(raw)
+    meds = [f"{rule} AS {med}" for med, rule in unpacked().items()]
+    at = rows.columns.index("doses")
+    return rows.selectExpr(*rows.columns[:at], *meds, *rows.columns[at + 1 :])
+
+
 def preference() -> list[Column]:
     """Which copy of an encounter stays: known patient first, then the smallest values."""
     return [F.col("patient_nbr").isNull(), F.col("patient_nbr"), *[F.col(c).asc_nulls_first() for c in OUTLIER_COLUMNS]]
@@ -101,16 +119,15 @@ def diagnosis_group(i: int) -> str:
 
 def derived() -> dict[str, str]:
     """Bands, groups, counts and flags, from typed columns, code numbers, patient order and fences."""
-    meds = list(MED_COLUMNS.values())
-    rules = {
+    rules = unpacked() | {
         "is_first_encounter": C.flag("patient_encounter_seq = 1"),
         "age_mid": C.interval_middle("age_group", 5),
         "los_band": C.band("time_in_hospital", V.LOS_BANDS, V.LOS_LONGEST),
         "prior_inpatient_band": C.exact_band("number_inpatient", [0, 1, 2], "3+"),
         "prior_visits_total": "number_outpatient + number_emergency + number_inpatient",
-        "n_diabetes_meds": C.count_in(meds, V.PRESCRIBED),
-        "n_meds_changed": C.count_in(meds, V.DOSE_CHANGED),
-        "insulin_flag": C.flag(f"med_insulin IN {sql_list(V.PRESCRIBED)}"),
+        "n_diabetes_meds": C.count_packed("doses", V.PRESCRIBED, DOSE_LETTERS),
+        "n_meds_changed": C.count_packed("doses", V.DOSE_CHANGED, DOSE_LETTERS),
+        "insulin_flag": C.flag(f"{unpacked()['med_insulin']} IN {sql_list(V.PRESCRIBED)}"),
         "readmit_30d_flag": C.flag("readmitted = '<30'"),
         "readmit_any_flag": C.flag("readmitted IN ('<30', '>30')"),
         "is_readmit_eligible": eligible("discharge_disposition_id"),
@@ -142,14 +159,14 @@ def rejected(types: DataFrame) -> DataFrame:
     return deduplicated(types).where(f"NOT coalesce({integrity()}, false)")
 
 
-def clean_encounters(types: DataFrame, order: DataFrame, fence: DataFrame) -> DataFrame:
-    """One row per analysable encounter.
+def clean_encounters(rows: DataFrame, order: DataFrame, fence: DataFrame) -> DataFrame:
+    """One row per analysable encounter, from :func:`compact` rows.
 
     ``order`` and ``fence`` come from :func:`patient_sequence` and :func:`fences`, that is from
     before the integrity filter. The wide rows are shuffled once, by encounter; the order joins on
     that same partitioning, and the one-row fences arrive as a scalar.
     """
-    kept = with_code_numbers(deduplicated(types).where(integrity()))
+    kept = with_code_numbers(deduplicated(rows).where(integrity()))
     limits = fence.select(F.struct(*[f"{c}_fence" for c in OUTLIER_COLUMNS])).scalar()
     rules = derived()
     return (

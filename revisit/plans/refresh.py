@@ -54,15 +54,15 @@ def clean(tables: Tables, root: str) -> None:
     """Order and fences first, from four narrow columns; then the wide rows in one pass."""
     spark = tables["stg_encounters"].sparkSession
     scratch = fresh_folder(spark)
-    types = cleaning.typed(tables["stg_encounters"])
-    keys = write_table(cleaning.encounter_keys(types), f"{scratch}/encounter_keys")
+    compact = cleaning.compact(tables["stg_encounters"])
+    keys = write_table(cleaning.encounter_keys(compact), f"{scratch}/encounter_keys")
     narrow = {
         f"{scratch}/order": lambda: cleaning.patient_sequence(keys),
         f"{scratch}/fence": lambda: cleaning.fences(keys),
     }
     order, fence = write_tables(spark, narrow).values()
     with wide_rows(spark):
-        tables |= replace_tables(spark, {"cln_encounters": lambda: cleaning.clean_encounters(types, order, fence)}, root)
+        tables |= replace_tables(spark, {"cln_encounters": lambda: cleaning.clean_encounters(compact, order, fence)}, root)
 
 
 def model(tables: Tables, root: str) -> None:

@@ -75,7 +75,7 @@ def test_code_groups(spark):
 
 
 def clean(spark, cases):
-    types = cleaning.typed(staged(spark, cases))
+    types = cleaning.compact(staged(spark, cases))
     keys = cleaning.encounter_keys(types)
     done = cleaning.clean_encounters(types, cleaning.patient_sequence(keys), cleaning.fences(keys))
     return {r.encounter_id: r for r in done.collect()}
@@ -150,7 +150,7 @@ def test_outliers_are_flagged_and_kept(spark):
 
 
 def test_medications_long(spark):
-    types = cleaning.typed(staged(spark, [{"metformin": "Up", "insulin": "Steady"}, {}]))
+    types = cleaning.compact(staged(spark, [{"metformin": "Up", "insulin": "Steady"}, {}]))
     keys = cleaning.encounter_keys(types)
     rows = cleaning.clean_encounters(types, cleaning.patient_sequence(keys), cleaning.fences(keys))
     long = cleaning.medications_long(rows)

@@ -22,7 +22,7 @@ CASES = [
 @pytest.fixture(scope="module")
 def tables(spark):
     t = {"stg_encounters": staged(spark, CASES), "stg_ids_mapping": lookups(spark)}
-    types = cleaning.typed(t["stg_encounters"])
+    types = cleaning.compact(t["stg_encounters"])
     keys = cleaning.encounter_keys(types)
     rows = cleaning.clean_encounters(types, cleaning.patient_sequence(keys), cleaning.fences(keys))
     t["cln_encounters"] = write_table(rows, f"{fresh_folder(spark)}/cln_encounters")

@@ -43,7 +43,7 @@ def test_all_rate_tables_share_one_fact_scan(tables):
 
 
 def test_wide_rows_are_shuffled_once(spark, tables):
-    types = cleaning.typed(tables["stg_encounters"])
+    types = cleaning.compact(tables["stg_encounters"])
     order = tables["cln_encounters"].select("encounter_id", "patient_encounter_seq")
     rows = cleaning.clean_encounters(types, order, cleaning.fences(cleaning.encounter_keys(types)))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
