@@ -9,7 +9,7 @@ from checks.encounters import lookup_lines, raw_sql
 from revisit.plans import refresh
 from revisit.session import fresh_folder
 
-_BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_BUILT: dict[tuple[str, str], Built] = {}
 _RAW: dict[tuple[str, str], tuple[str, str]] = {}
 
 
@@ -45,13 +45,27 @@ def raw_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return _RAW[key]
 
 
-def built(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Staged, cleaned and modelled tables."""
+class Built(dict[str, DataFrame]):
+    """Tables of one folder; asking for one runs the refresh up to the stage that makes it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        super().__init__()
+        self.spark, self.sf_dir, self.root = spark, sf_dir, fresh_folder(spark)
+
+    def __missing__(self, name: str) -> DataFrame:
+        if "stg_encounters" not in self:
+            self.update(refresh.stage(self.spark, *raw_files(self.spark, self.sf_dir), self.root))
+        for last, step in (("cln_encounters", refresh.clean), ("fact_encounter", refresh.model)):
+            if name not in self and last not in self:
+                step(self, self.root)
+        if name not in self:
+            raise KeyError(name)
+        return self[name]
+
+
+def built(spark: SparkSession, sf_dir: str) -> Built:
+    """Staged, cleaned and modelled tables, made once per application and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILT:
-        root = fresh_folder(spark)
-        tables = refresh.stage(spark, *raw_files(spark, sf_dir), root)
-        refresh.clean(tables, root)
-        refresh.model(tables, root)
-        _BUILT[key] = tables
-    return dict(_BUILT[key])
+        _BUILT[key] = Built(spark, sf_dir)
+    return _BUILT[key]

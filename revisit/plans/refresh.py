@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
 from revisit.plans import cleaning, kpis, ledgers, star
 from revisit.plans.staging import staged_encounters, staged_lookups
@@ -114,8 +116,15 @@ STAGES: Mapping[str, Callable[[Tables, str], None]] = {
 
 
 def refresh(spark: SparkSession, encounters: str, lookups: str, root: str) -> Tables:
-    """All 32 tables below ``root``; running it again replaces them with the same content."""
+    """All 32 tables below ``root``; running it again replaces them with the same content.
+
+    Analysis and quality both read the model and not each other, so they run side by side.
+    """
     tables = stage(spark, encounters, lookups, root)
-    for step in STAGES.values():
-        step(tables, root)
-    return tables
+    clean(tables, root)
+    model(tables, root)
+    results = [dict(tables), dict(tables)]
+    last = inheritable_thread_target(spark)(lambda step, own: step(own, root))
+    with ThreadPoolExecutor(len(results)) as pool:
+        list(pool.map(last, [analyse, check], results))
+    return results[0] | results[1]

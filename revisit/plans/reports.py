@@ -47,13 +47,18 @@ RATIOS = {
 COUNTS = ["encounters", "patients", "eligible_encounters", "readmits_30d", "readmits_any"]
 
 
-def with_labels(tables: Tables, diagnosis_key: str = "primary_diag_group_key") -> DataFrame:
-    """The encounter fact with age and diagnosis labels.
+def with_labels(tables: Tables, wanted: set[str] | None, diagnosis_key: str) -> DataFrame:
+    """The encounter fact with the age and diagnosis labels that are wanted; ``None`` wants all.
 
     ``diagnosis_key`` chooses which of the two roles of the diagnosis dimension is active.
     """
-    diagnoses = tables["dim_diagnosis_group"].select(F.col("diag_group_key").alias(diagnosis_key), "diag_group")
-    return tables["fact_encounter"].join(tables["dim_age_group"], "age_key").join(diagnoses, diagnosis_key)
+    view = tables["fact_encounter"]
+    if wanted is None or wanted & {"age_group", "age_mid"}:
+        view = view.join(tables["dim_age_group"], "age_key")
+    if wanted is None or "diag_group" in wanted:
+        diagnoses = tables["dim_diagnosis_group"].select(F.col("diag_group_key").alias(diagnosis_key), "diag_group")
+        view = view.join(diagnoses, diagnosis_key)
+    return view
 
 
 def overall_rate(tables: Tables) -> DataFrame:
@@ -68,8 +73,8 @@ def measures(
     tables: Tables,
     keys: Sequence[str] = (),
     patient_keys: Sequence[str] = (),
-    where: Column | None = None,
-    patient_where: Column | None = None,
+    where: Column | str | None = None,
+    patient_where: Column | str | None = None,
     diagnosis_key: str = "primary_diag_group_key",
 ) -> DataFrame:
     """All encounter measures by fact keys and patient attributes, under slicers on either."""
@@ -77,7 +82,7 @@ def measures(
     sliced = patients if patient_where is None else patients.where(patient_where)
     needs_patients = bool(patient_keys) or patient_where is not None
     sums = additive_by(
-        with_labels(tables, diagnosis_key),
+        with_labels(tables, set(keys) if where is None else None, diagnosis_key),
         keys,
         {name: F.expr(sql) for name, sql in SUMS.items()},
         "patient_nbr",
@@ -91,7 +96,7 @@ def measures(
     return against_overall(rated, F.col("readmit_30d_rate"), overall_rate(tables), "readmit_30d_vs_overall")
 
 
-def drug_measures(tables: Tables, encounter_where: Column | None = None, min_rows: int = 0) -> DataFrame:
+def drug_measures(tables: Tables, encounter_where: Column | str | None = None, min_rows: int = 0) -> DataFrame:
     """Drug measures by drug; a filter on encounters reaches the drugs through the shared key.
 
     ``min_rows`` is the visual filter of the drug bar.
@@ -203,7 +208,7 @@ def cards(kpi: DataFrame) -> DataFrame:
 OVERVIEW = ["encounters", "patients", "readmit_30d_rate", "readmit_any_rate", "avg_los_days", "on_insulin_rate"]
 
 
-def overview_cards(tables: Tables, where: Column | None = None, patient_where: Column | None = None) -> DataFrame:
+def overview_cards(tables: Tables, where: Column | str | None = None, patient_where: Column | str | None = None) -> DataFrame:
     """The overview cards from the measures, so that slicers apply to them."""
     return measures(tables, where=where, patient_where=patient_where).select(*OVERVIEW)
 

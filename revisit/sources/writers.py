@@ -85,3 +85,12 @@ def use_namespace(spark: SparkSession, name: str) -> None:
     """Create the database where it is missing and make it current."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
     spark.catalog.setCurrentDatabase(name)
+
+
+def publish_tables(spark: SparkSession, names: Iterable[str], root: str, namespace: str) -> None:
+    """Make written tables known in a database by their location; their files stay where they are."""
+    use_namespace(spark, namespace)
+    for name in names:
+        spark.catalog.dropTempView(name)
+        spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
+        spark.catalog.createTable(f"{namespace}.{name}", path=f"{root}/{name}", source="parquet")

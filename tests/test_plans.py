@@ -5,7 +5,7 @@ import os
 import pytest
 
 from checks.build import built
-from revisit.plans import cleaning, kpis, ledgers, star
+from revisit.plans import cleaning, kpis, ledgers, reports, star
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are missing")
@@ -60,3 +60,18 @@ def test_no_cross_joins(tables):
     frames += [build(tables) for build in (ledgers.row_counts, ledgers.null_rates, ledgers.issues, ledgers.assertions)]
     for df in frames:
         assert "CartesianProduct" not in plan(df) and "BroadcastNestedLoopJoin" not in plan(df)
+
+
+def test_a_hot_patient_is_summed_before_the_patient_join(spark, tables):
+    fact = tables["fact_encounter"]
+    hot = fact.withColumn("patient_nbr", fact.patient_nbr * 0)
+    rows = reports.measures({**tables, "fact_encounter": hot}, ["los_band"]).collect()
+    assert sum(r.encounters for r in rows) == fact.count() and {r.patients for r in rows} == {1}
+    text = plan(reports.measures(tables, ["los_band"], ["race"]))
+    assert text.count("Join") == 1  # no label is asked for, so only the patients are joined
+    assert text.index("Join [patient_nbr") < text.index("HashAggregate(keys=[patient_nbr")
+
+
+def test_fences_need_no_wide_rows(tables):
+    text = plan(cleaning.encounter_keys(cleaning.compact(tables["stg_encounters"])))
+    assert "ReadSchema: struct<encounter_id:string,patient_nbr:string,num_lab_procedures:string,num_medications:string>" in text

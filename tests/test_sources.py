@@ -71,10 +71,14 @@ def test_find_tables():
     assert writers.find_tables(["a_x", "dq_y", "ab", "dim_z"], "a_*", "dq_*") == ["a_x", "dq_y"]
 
 
-def test_namespace(spark):
+def test_namespace(spark, tmp_path):
+    writers.replace_tables(spark, {"a_one": lambda: spark.range(5).toDF("id")}, str(tmp_path))
     try:
-        writers.use_namespace(spark, "readmissions_test")
+        for _ in range(2):
+            writers.publish_tables(spark, ["a_one"], str(tmp_path), "readmissions_test")
         assert spark.catalog.currentDatabase() == "readmissions_test"
+        assert writers.find_tables([t.name for t in spark.catalog.listTables("readmissions_test")], "a_*") == ["a_one"]
+        assert spark.table("readmissions_test.a_one").count() == 5
     finally:
         spark.catalog.setCurrentDatabase("default")
         spark.sql("DROP DATABASE IF EXISTS readmissions_test CASCADE")
