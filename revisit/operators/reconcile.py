@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +65,24 @@ def compare_rows(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataF
     )
 
 
+IN_BOTH = "left_rows > 0 AND right_rows > 0"
+PROBLEMS = {
+    "missing_left": "left_rows = 0",
+    "missing_right": "right_rows = 0",
+    "repeated_key": "left_rows > 1 OR right_rows > 1",
+}
+
+
+def _cell_tests(left: DataFrame, key: Sequence[str], tolerance: float) -> dict[str, Column]:
+    """Per column: do the two rows of a key differ in it?"""
+    return {
+        f.name: F.expr(IN_BOTH)
+        & ~_same(F.col("left_row")[f.name], F.col("right_row")[f.name], isinstance(f.dataType, NUMERIC), tolerance)
+        for f in left.schema.fields
+        if f.name not in key
+    }
+
+
 def cell_differences(left: DataFrame, right: DataFrame, key: Sequence[str], tolerance: float = 1e-6) -> DataFrame:
     """Every difference: ``(key…, column_name, left_value, right_value, problem)``.
 
@@ -70,33 +90,25 @@ def cell_differences(left: DataFrame, right: DataFrame, key: Sequence[str], tole
     row counts as values) and ``value`` (one row per differing cell). Numbers are equal within
     ``tolerance * max(1, |right|)``, two NULLs are equal, anything else compares as is.
     """
-    types = {f.name: f.dataType for f in left.schema.fields}
-    values = [c for c in left.columns if c not in key]
-    rows = compare_rows(left, right, key)
-    in_left, in_right = F.col("left_rows"), F.col("right_rows")
-    text = lambda column: column.cast("string")
     nothing = F.lit(None).cast("string")
 
     def entry(name: Column, x: Column, y: Column, problem: str) -> Column:
         return F.struct(
-            name.alias("column_name"), x.alias("left_value"), y.alias("right_value"), F.lit(problem).alias("problem")
+            name.alias("column_name"),
+            x.cast("string").alias("left_value"),
+            y.cast("string").alias("right_value"),
+            F.lit(problem).alias("problem"),
         )
 
-    cells = [
-        F.when(
-            (in_left > 0)
-            & (in_right > 0)
-            & ~_same(F.col("left_row")[c], F.col("right_row")[c], isinstance(types[c], NUMERIC), tolerance),
-            entry(F.lit(c), text(F.col("left_row")[c]), text(F.col("right_row")[c]), "value"),
-        )
-        for c in values
+    found = [
+        F.when(differs, entry(F.lit(c), F.col("left_row")[c], F.col("right_row")[c], "value"))
+        for c, differs in _cell_tests(left, key, tolerance).items()
     ]
-    whole = [
-        F.when(in_left == 0, entry(nothing, nothing, nothing, "missing_left")),
-        F.when(in_right == 0, entry(nothing, nothing, nothing, "missing_right")),
-        F.when((in_left > 1) | (in_right > 1), entry(nothing, text(in_left), text(in_right), "repeated_key")),
-    ]
-    return rows.select(*key, F.inline(F.array_compact(F.array(*whole, *cells))))
+    for problem, condition in PROBLEMS.items():
+        counts = (F.col("left_rows"), F.col("right_rows")) if problem == "repeated_key" else (nothing, nothing)
+        found.append(F.when(F.expr(condition), entry(nothing, *counts, problem)))
+    rows = compare_rows(left, right, key)
+    return rows.select(*key, F.inline(F.array_compact(F.array(*found))))
 
 
 def first_differences(differences: DataFrame, key: Sequence[str], n: int = 50) -> DataFrame:
@@ -110,17 +122,15 @@ def reconcile_cells(
     """Per table: rows on both sides and the number of differing cells, missing rows and repeated keys."""
 
     def summary(name: str) -> DataFrame:
-        found = cell_differences(left[name], right[name], keys[name], tolerance)
-        number = lambda problem: F.count(F.when(F.col("problem") == problem, 1)).alias(problem)
-        totals = found.agg(*[number(p) for p in ("value", "missing_left", "missing_right", "repeated_key")])
-        return totals.select(
+        tests = _cell_tests(left[name], keys[name], tolerance)
+        differing = reduce(add, [F.when(differs, 1).otherwise(0) for differs in tests.values()])
+        number = lambda column: F.coalesce(F.sum(column), F.lit(0)).cast("bigint")
+        return compare_rows(left[name], right[name], keys[name]).agg(
             F.lit(name).alias("table_name"),
-            left[name].agg(F.count(F.lit(1))).scalar().alias("left_rows"),
-            right[name].agg(F.count(F.lit(1))).scalar().alias("right_rows"),
-            F.col("value").alias("cell_diffs"),
-            "missing_left",
-            "missing_right",
-            "repeated_key",
+            number("left_rows").alias("left_rows"),
+            number("right_rows").alias("right_rows"),
+            number(differing).alias("cell_diffs"),
+            *[F.count_if(F.expr(condition)).alias(problem) for problem, condition in PROBLEMS.items()],
         )
 
     return union_all([summary(name) for name in keys])
