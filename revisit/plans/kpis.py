@@ -6,7 +6,7 @@ from one scan with :func:`all_tables`.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -75,25 +75,35 @@ TABLES = [
 ]
 
 
-# Labels that come from a dimension: dimension, fact key, dimension key, {label: dimension column}.
-DIMENSION_LABELS = [
-    ("dim_age_group", "age_key", "age_key", {"age_group": "age_group", "age_mid": "age_mid"}),
-    ("dim_diagnosis_group", "primary_diag_group_key", "diag_group_key", {"primary_diagnosis_group": "diag_group"}),
-    ("dim_admission_type", "admission_type_id", "admission_type_id", {"admission_type": "admission_type"}),
-    (
-        "dim_discharge_disposition",
-        "discharge_disposition_id",
-        "discharge_disposition_id",
-        {"discharge_group": "discharge_group"},
+@dataclass(frozen=True)
+class Label:
+    """A label from a dimension, and the fact key that stands for it until the groups are made."""
+
+    dimension: str
+    fact_key: str
+    key: str
+    column: str
+
+
+LABELS = {
+    "age_group": Label("dim_age_group", "age_key", "age_key", "age_group"),
+    "age_mid": Label("dim_age_group", "age_key", "age_key", "age_mid"),
+    "primary_diagnosis_group": Label("dim_diagnosis_group", "primary_diag_group_key", "diag_group_key", "diag_group"),
+    "admission_type": Label("dim_admission_type", "admission_type_id", "admission_type_id", "admission_type"),
+    "discharge_group": Label(
+        "dim_discharge_disposition", "discharge_disposition_id", "discharge_disposition_id", "discharge_group"
     ),
-]
-# A group whose label is unknown does not show: its key is not in the dimension, or there is no code.
-REQUIRED = {"age_group", "primary_diagnosis_group", "admission_type", "discharge_group", "diag_1"}
+}
+
 
+def fact_keys(spec: RateTable) -> list[str]:
+    """The columns of the fact that a table is grouped by before labels are looked up."""
+    return list(dict.fromkeys(LABELS[k].fact_key if k in LABELS else k for k in spec.keys))
 
-def rate_view(tables: Mapping[str, DataFrame], keys: Iterable[str]) -> DataFrame:
-    """The encounter fact with the labels asked for; only the dimensions they need are joined."""
-    view = tables["fact_encounter"].withColumns(
+
+def rate_view(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The encounter fact with the labels that come from its own columns."""
+    return tables["fact_encounter"].withColumns(
         {
             "los_days": F.col("time_in_hospital"),
             "diabetes_med": F.when(F.col("diabetes_med_flag") == 1, "On diabetes med").otherwise("No diabetes med"),
@@ -101,52 +111,57 @@ def rate_view(tables: Mapping[str, DataFrame], keys: Iterable[str]) -> DataFrame
             "n_diabetes_meds": F.expr(tail_band("n_diabetes_meds", 3)),
         }
     )
-    wanted = set(keys)
-    for name, fact_key, dim_key, labels in DIMENSION_LABELS:
-        if wanted & set(labels):
-            columns = [F.col(column).alias(label) for label, column in labels.items()]
-            view = view.join(tables[name].select(F.col(dim_key).alias(fact_key), *columns), fact_key, "left")
-    return view
-
 
-def _known(df: DataFrame, spec: RateTable) -> DataFrame:
-    for key in spec.keys:
-        if key in REQUIRED:
-            df = df.where(F.col(key).isNotNull())
-    return df
 
+def _with_labels(tables: Mapping[str, DataFrame], parts: DataFrame, spec: RateTable) -> DataFrame:
+    """Dimension labels for grouped parts, added up over keys that share a label.
 
-def _arrange(parts: DataFrame, spec: RateTable) -> DataFrame:
-    table = R.finish(parts, spec.keys, spec.measures)
-    return R.top_n(table, [F.col("encounters").desc(), *[F.col(k) for k in spec.keys]], spec.first) if spec.first else table
+    The facts are grouped by key first, so the join sees one row per key. A key that is not in its
+    dimension drops out here.
+    """
+    wanted: dict[str, dict[str, Label]] = {}
+    for key in spec.keys:
+        if key in LABELS:
+            wanted.setdefault(LABELS[key].dimension, {})[key] = LABELS[key]
+    for dimension, labels in wanted.items():
+        any_label = next(iter(labels.values()))
+        columns = [F.col(label.column).alias(name) for name, label in labels.items()]
+        names = tables[dimension].select(F.col(any_label.key).alias(any_label.fact_key), *columns)
+        parts = parts.join(names, any_label.fact_key)
+    return R.pool_parts(parts, spec.keys, spec.measures)
+
+
+def _arrange(tables: Mapping[str, DataFrame], parts: DataFrame, spec: RateTable) -> DataFrame:
+    """Finished table from the parts of its fact keys; both halves are added up where needed."""
+    if not spec.eligible_only or set(spec.keys) & set(LABELS):
+        parts = _with_labels(tables, parts, spec)
+    if not spec.first:
+        return R.finish(parts, spec.keys, spec.measures)
+    known = parts.where(" AND ".join(f"{key} IS NOT NULL" for key in spec.keys))
+    order = [F.col("encounters").desc(), *[F.col(k) for k in spec.keys]]
+    return R.top_n(R.finish(known, spec.keys, spec.measures), order, spec.first)
 
 
 def rate_table(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     """One rate table from its own scan."""
     spec = RATE_TABLES[name]
-    view = rate_view(tables, spec.keys)
-    rows = _known(view.where(ELIGIBLE) if spec.eligible_only else view, spec)
-    return _arrange(rows.groupBy(*spec.keys).agg(*R.part_aggregates(spec.measures)), spec)
+    view = rate_view(tables)
+    rows = view.where(ELIGIBLE) if spec.eligible_only else view
+    return _arrange(tables, rows.groupBy(*fact_keys(spec)).agg(*R.part_aggregates(spec.measures)), spec)
 
 
 def rate_parts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Parts of all rate tables from one scan of the fact, split by eligibility."""
-    sets = {name: (*spec.keys, "is_readmit_eligible") for name, spec in RATE_TABLES.items()}
+    """Parts of all rate tables from one scan of the fact, by fact keys and eligibility."""
+    sets = {name: (*fact_keys(spec), "is_readmit_eligible") for name, spec in RATE_TABLES.items()}
     measures = {m.name: m for spec in RATE_TABLES.values() for m in spec.measures}.values()
-    view = rate_view(tables, {key for spec in RATE_TABLES.values() for key in spec.keys})
-    return R.parts_by_sets(view, sets, list(measures))
+    return R.parts_by_sets(rate_view(tables), sets, list(measures))
 
 
-def rate_table_from_parts(parts: DataFrame, name: str) -> DataFrame:
-    """The same table as :func:`rate_table`, from the shared parts.
-
-    Parts are split by eligibility, so a table over eligible encounters takes its groups as they
-    are, and only a table over all encounters adds the two halves up.
-    """
+def rate_table_from_parts(tables: Mapping[str, DataFrame], parts: DataFrame, name: str) -> DataFrame:
+    """The same table as :func:`rate_table`, from the shared parts."""
     spec = RATE_TABLES[name]
-    own = _known(parts.where(F.col("table") == name), spec)
-    own = own.where(ELIGIBLE) if spec.eligible_only else R.pool_parts(own, spec.keys, spec.measures)
-    return _arrange(own, spec)
+    own = parts.where(F.col("table") == name)
+    return _arrange(tables, own.where(ELIGIBLE) if spec.eligible_only else own, spec)
 
 
 def headline(fact: DataFrame, exact: bool = True) -> DataFrame:
@@ -225,5 +240,5 @@ def all_tables(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     spark = tables["fact_encounter"].sparkSession
     parts = write_table(rate_parts(tables), f"{fresh_folder(spark)}/rate_parts")
     return {
-        name: rate_table_from_parts(parts, name) if name in RATE_TABLES else kpi_table(tables, name) for name in TABLES
+        name: rate_table_from_parts(tables, parts, name) if name in RATE_TABLES else kpi_table(tables, name) for name in TABLES
     }

@@ -97,7 +97,7 @@ def analyse(tables: Tables, root: str) -> None:
     parts = written.pop(path)
     register(tables, {name: written[f"{root}/{name}"] for name in alone})
     tables |= replace_tables(
-        spark, {name: partial(kpis.rate_table_from_parts, parts, name) for name in kpis.RATE_TABLES}, root
+        spark, {name: partial(kpis.rate_table_from_parts, tables, parts, name) for name in kpis.RATE_TABLES}, root
     )
 
 

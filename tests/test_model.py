@@ -65,7 +65,7 @@ def test_change_rate_ignores_unknown_flags(tables):
 @pytest.mark.parametrize("name", list(kpis.RATE_TABLES))
 def test_shared_scan_equals_single_scan(tables, name):
     parts = kpis.rate_parts(tables)
-    shared, single = kpis.rate_table_from_parts(parts, name), kpis.rate_table(tables, name)
+    shared, single = kpis.rate_table_from_parts(tables, parts, name), kpis.rate_table(tables, name)
     assert shared.columns == single.columns and sorted(map(str, shared.collect())) == sorted(map(str, single.collect()))
 
 

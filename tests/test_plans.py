@@ -39,7 +39,13 @@ def test_a_rate_table_reads_its_columns_only(tables):
 
 
 def test_all_rate_tables_share_one_fact_scan(tables):
-    assert plan(kpis.rate_parts(tables)).count("Expand") == 1
+    text = plan(kpis.rate_parts(tables))
+    assert text.count("Expand") == 1 and text.count("FileScan") == 1 and "Join" not in text
+
+
+def test_labels_are_joined_after_grouping(tables):
+    text = plan(kpis.rate_table(tables, "a_readmit_by_discharge"))
+    assert text.index("Join [discharge_disposition_id") < text.index("HashAggregate(keys=[discharge_disposition_id")
 
 
 def test_wide_rows_are_shuffled_once(spark, tables):
