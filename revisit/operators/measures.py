@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revisit.functions.rounding import fraction
-
 
 def additive_by(
     fact: DataFrame,
@@ -49,5 +47,3 @@ def related_rows(df: DataFrame, filtered: DataFrame, key: str) -> DataFrame:
     """Rows whose key survives a filter on the other table, without multiplying them."""
     return df.join(filtered.select(key), key, "left_semi")
 
-
-__all__ = ["additive_by", "against_overall", "fraction", "matrix", "related_rows"]

@@ -40,6 +40,7 @@ MISSING_RULES = [
 
 
 def raw_counts(tables: Tables) -> DataFrame:
+    """One row about the staged encounters. Two ledgers need it, and its distinct count is a large shuffle."""
     return tables["stg_encounters"].agg(
         F.count(F.lit(1)).alias("raw_rows"),
         F.count_distinct("encounter_id").alias("distinct_keys"),
@@ -47,9 +48,10 @@ def raw_counts(tables: Tables) -> DataFrame:
     )
 
 
-def row_counts(tables: Tables) -> DataFrame:
+def row_counts(tables: Tables, raw: DataFrame | None = None) -> DataFrame:
     """Rows per table, with raw rows and distinct raw keys for the encounters."""
-    first = raw_counts(tables).select(
+    raw = raw_counts(tables) if raw is None else raw
+    first = raw.select(
         F.lit("encounters").alias("entity"),
         "raw_rows",
         "distinct_keys",
@@ -98,7 +100,7 @@ def null_rates(tables: Tables) -> DataFrame:
     )
 
 
-def issues(tables: Tables) -> DataFrame:
+def issues(tables: Tables, raw: DataFrame | None = None) -> DataFrame:
     """What cleaning found, as counts of affected rows: one pass over each table."""
     discharge = "discharge_disposition_id"
     clean = tables["cln_encounters"].agg(
@@ -111,7 +113,8 @@ def issues(tables: Tables) -> DataFrame:
     )
     unresolved = orphan_rows(tables["cln_encounters"], discharge, tables["dim_discharge_disposition"])
     repeat_patients = tables["dim_patient"].agg(filled(count_if(F.col("n_encounters") > 1)).alias("n"))
-    one = raw_counts(tables).select(
+    raw = raw_counts(tables) if raw is None else raw
+    one = raw.select(
         F.struct("*").alias("raw"),
         clean.select(F.struct("*")).scalar().alias("clean"),
         unresolved.scalar().alias("unresolved"),

@@ -102,9 +102,17 @@ def analyse(tables: Tables, root: str) -> None:
 
 
 def check(tables: Tables, root: str) -> None:
+    """Raw counts next to the ledgers that do not use them, then the two that do."""
     spark = tables["fact_encounter"].sparkSession
-    builders = [ledgers.row_counts, ledgers.null_rates, ledgers.issues, ledgers.assertions]
-    tables |= replace_tables(spark, {name: partial(build, tables) for name, build in zip(QUALITY_TABLES, builders)}, root)
+    path = f"{fresh_folder(spark)}/raw_counts"
+    alone = {"dq_null_rates": ledgers.null_rates, "dq_assertions": ledgers.assertions}
+    builds = {path: lambda: ledgers.raw_counts(tables)}
+    builds |= {f"{root}/{name}": partial(build, tables) for name, build in alone.items()}
+    written = write_tables(spark, builds)
+    raw = written.pop(path)
+    register(tables, {name: written[f"{root}/{name}"] for name in alone})
+    counted = {"dq_row_counts": ledgers.row_counts, "dq_issues": ledgers.issues}
+    tables |= replace_tables(spark, {name: partial(build, tables, raw) for name, build in counted.items()}, root)
 
 
 STAGES: Mapping[str, Callable[[Tables, str], None]] = {

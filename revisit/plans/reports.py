@@ -7,8 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revisit.operators.measures import additive_by, against_overall, fraction, matrix, related_rows
+from revisit.functions.rounding import fraction
+from revisit.operators.measures import additive_by, against_overall, matrix, related_rows
 from revisit.operators.quality import count_if
+from revisit.operators.rates import rate_by
 from revisit.plans import kpis
 from revisit.plans import vocabulary as V
 
@@ -141,7 +143,7 @@ def admission_by_stay_matrix(tables: Tables) -> DataFrame:
 def a1c_by_change(tables: Tables) -> DataFrame:
     """HbA1c result by medication change."""
     keys = ["a1c_result", "med_change_flag"]
-    return kpis.R.rate_by(tables["fact_encounter"], keys, [kpis.COUNT, kpis.RATE_30D], kpis.ELIGIBLE)
+    return rate_by(tables["fact_encounter"], keys, [kpis.COUNT, kpis.RATE_30D], kpis.ELIGIBLE)
 
 
 # Report datasets: KPI table, columns, order.

@@ -4,8 +4,8 @@ import json
 
 import pytest
 
-from revisit.plans import cleaning, documents, kpis, ledgers, refresh, reports, star
 from revisit.operators.quality import pass_summary
+from revisit.plans import cleaning, documents, kpis, ledgers, refresh, reports, star
 from revisit.session import fresh_folder, write_table
 from tests.encounters import lookups, staged
 
@@ -110,7 +110,7 @@ def test_measures_count_each_patient_once(tables):
 def test_encounter_filter_reaches_the_drugs_and_back(tables):
     drugs = {r.medication: r.drug_encounters for r in reports.drug_measures(tables).collect()}
     assert drugs == {"metformin": 1, "insulin": 1}
-    some = reports.drug_measures(tables, reports.F.col("discharge_disposition_id") == 31).collect()
+    some = reports.drug_measures(tables, "discharge_disposition_id = 31").collect()
     assert [(r.medication, r.drug_readmit_30d_rate) for r in some] == [("insulin", 1.0)]
     assert [r.encounter_id for r in reports.encounters_on_drug(tables, "metformin").collect()] == [1]
 
