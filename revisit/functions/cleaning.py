@@ -47,7 +47,7 @@ def interval(text: str) -> str:
 
 def interval_middle(text: str, half_width: int) -> str:
     """Lower bound of ``low-high`` plus half the width; NULL where the bound is not a number."""
-    return f"try_cast(split_part({text}, '-', 1) AS INT) + {half_width}"
+    return f"try_cast(substring_index({text}, '-', 1) AS INT) + {half_width}"
 
 
 def whole_number(text: str, kind: str = "INT") -> str:
@@ -55,9 +55,9 @@ def whole_number(text: str, kind: str = "INT") -> str:
     return f"try_cast({text} AS {kind})"
 
 
-def plain_decimal(text: str) -> str:
-    """Digits with an optional fraction as DOUBLE; suffixes such as ``1d`` or ``1e3`` become NULL."""
-    return f"CASE WHEN trim({text}) RLIKE '^[0-9]+([.][0-9]+)?$' THEN try_cast(trim({text}) AS DOUBLE) END"
+def decimal_number(text: str) -> str:
+    """Tolerant cast to DOUBLE. Text must end in a digit or a point: Spark would read ``1d`` as 1.0."""
+    return f"CASE WHEN right(trim({text}), 1) BETWEEN '.' AND '9' THEN try_cast({text} AS DOUBLE) END"
 
 
 def two_way_flag(text: str, yes: str, no: str) -> str:
@@ -132,8 +132,11 @@ def unpack(packed: str, position: int, letters: Mapping[str, str]) -> str:
 
 def count_packed(packed: str, values: Sequence[str], letters: Mapping[str, str], absent: str = "-") -> str:
     """How many packed columns hold one of the values."""
-    others = absent + "".join(letter for value, letter in letters.items() if value not in values)
-    return f"length(translate({packed}, '{others}', ''))"
+    others = [absent, *[letter for value, letter in letters.items() if value not in values]]
+    kept = packed
+    for letter in others:
+        kept = f"replace({kept}, '{letter}', '')"
+    return f"length({kept})"
 
 
 def id_group(identifier: str, groups: Mapping[str, Sequence[int]], other: str) -> str:

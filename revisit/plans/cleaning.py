@@ -108,7 +108,7 @@ def fences(keys: DataFrame, exact: bool = True) -> DataFrame:
 
 def with_code_numbers(rows: DataFrame) -> DataFrame:
     """The numeric part of the diagnosis codes, parsed once for all range tests; NULL for V and E codes."""
-    return rows.selectExpr("*", *[f"{C.plain_decimal(f'diag_{i}')} AS diag_{i}_num" for i in (1, 2, 3)])
+    return rows.selectExpr("*", *[f"{C.decimal_number(f'diag_{i}')} AS diag_{i}_num" for i in (1, 2, 3)])
 
 
 def diagnosis_group(i: int) -> str:

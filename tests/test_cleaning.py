@@ -34,9 +34,10 @@ def test_whole_number_is_tolerant(spark):
     assert evaluate(spark, C.whole_number, ["12", " 12 ", "12.5", "abc", "", "1d", None]) == [12, 12, None, None, None, None, None]
 
 
-def test_plain_decimal_rejects_suffixes(spark):
-    values = ["250.83", " 428 ", "1d", "1e3", "V45", "-5", "", None]
-    assert evaluate(spark, C.plain_decimal, values) == [250.83, 428.0, None, None, None, None, None, None]
+def test_decimal_number_rejects_suffixes(spark):
+    values = ["250.83", " 428 ", "5.", ".5", "-5", "1e3", "1d", "2f", "V45", "E909", ".", "", None]
+    expected = [250.83, 428.0, 5.0, 0.5, -5.0, 1000.0] + [None] * 7
+    assert evaluate(spark, C.decimal_number, values) == expected
 
 
 def test_flags(spark):
