@@ -10,8 +10,9 @@ g follows the set's size by powers of two, and sets near the next power are inde
 Equal sets are one set from the start. A token that only one set has can't be in common, so counts decide
 what is kept, and two sets' overlap can be read from their tokens that other sets have too.
 
-Candidates that share a key are not expanded into all pairs: first all sets of a key meet the key's first
-set, then its last one. What these links connect needs no further comparison; only sets that share a key
+Candidates that share a key are not expanded into all pairs: first all sets of a key meet the key's most
+ordinary set, the one with the fewest tokens of its own, then another one. A pair is a candidate only if
+its sizes and the number of tokens each has in common with any other set allow the similarity. What these links connect needs no further comparison; only sets that share a key
 and still lie in different components are compared one by one, so no link between components is lost.
 
 Tokens travel in blocks of bytes, dealt by ranges of hash into as many buckets as the corpus needs.
@@ -217,7 +218,7 @@ def indexed_sets(docs: DataFrame, text_col: str, total: int, size: int = SHINGLE
         keys, sizes, tokens, rank = keys[order], sizes[order], tokens[order], rank[order]
         starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         ends = np.append(starts[1:], len(keys))
-        got: tuple[list, list, list, list] = ([], [], [], [])
+        got: tuple[list, list, list, list, list] = ([], [], [], [], [])
         for a, b in zip(starts.tolist(), ends.tolist()):
             n = int(sizes[a])
             found = index_keys(n, n - (b - a), tokens[a:b], rank[a:b])
@@ -226,18 +227,20 @@ def indexed_sets(docs: DataFrame, text_col: str, total: int, size: int = SHINGLE
                 got[1].append(n)
                 got[2].append(found.view(np.int64))
                 got[3].append(np.sort(tokens[a:b]).tobytes())
+                got[4].append(b - a)
         lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(x) for x in got[2]]))).astype(np.int32), np.concatenate([*got[2], np.zeros(0, np.int64)]))
-        return pa.table({"key": pa.array(got[0], pa.int64()), "n": pa.array(got[1], pa.int32()), "keys": lists, "tokens": pa.array(got[3], pa.binary())})
+        return pa.table({"key": pa.array(got[0], pa.int64()), "n": pa.array(got[1], pa.int32()), "c": pa.array(got[4], pa.int32()), "keys": lists, "tokens": pa.array(got[3], pa.binary())})
 
     return (
         docs.select(text_col).mapInArrow(deal, "bucket int, block binary")
         .groupBy("bucket").applyInArrow(count, "home int, block binary")
-        .groupBy("home").applyInArrow(index, "key long, n int, keys array<long>, tokens binary")
+        .groupBy("home").applyInArrow(index, "key long, n int, c int, keys array<long>, tokens binary")
     )
 
 
-def _size_fits(a: str, b: str) -> Column:
-    return F.least(F.col(a), F.col(b)) * 100 >= F.greatest(F.col(a), F.col(b)) * PERCENT
+def _can_link(n_a: str, c_a: str, n_b: str, c_b: str) -> Column:
+    """An overlap of at most the smaller c reaches the similarity of sets of these sizes."""
+    return F.least(c_a, c_b).cast("long") * (100 + PERCENT) >= (F.col(n_a).cast("long") + F.col(n_b)) * PERCENT
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -286,12 +289,13 @@ def components(links: DataFrame) -> DataFrame:
 def linked_sets(docs: DataFrame, text_col: str, total: int, size: int = SHINGLE) -> DataFrame:
     """node, component for the distinct sets that link with another one."""
     sets = stored(indexed_sets(docs, text_col, total, size))
-    keyed = sets.select("key", "n", F.explode("keys").alias("k"))
-    shared = keyed.groupBy("k").agg(F.min(F.struct("key", "n")).alias("first"), F.max(F.struct("key", "n")).alias("last")).where("first.key != last.key")
+    keyed = sets.select("key", "n", "c", F.explode("keys").alias("k"))
+    ordinary, other = F.struct((F.col("n") - F.col("c")).alias("own"), "key", "n", "c"), F.struct("key", "n", "c")
+    shared = keyed.groupBy("k").agg(F.min(ordinary).alias("first"), F.max(other).alias("last"), F.min("key").alias("low")).where("low != last.key").drop("low")
     lists = stored(keyed.join(shared, "k"))  # sets under keys that several sets have
 
     def star(hub: str, where: DataFrame) -> DataFrame:
-        rows = where.where((F.col("key") != F.col(f"{hub}.key"))).withColumn("hub_n", F.col(f"{hub}.n")).where(_size_fits("n", "hub_n"))
+        rows = where.where((F.col("key") != F.col(f"{hub}.key")) & _can_link("n", "c", f"{hub}.n", f"{hub}.c"))
         return rows.select(F.least("key", f"{hub}.key").alias("a"), F.greatest("key", f"{hub}.key").alias("b")).distinct()
 
     links = stored(verified(star("first", lists), sets))
@@ -303,9 +307,9 @@ def linked_sets(docs: DataFrame, text_col: str, total: int, size: int = SHINGLE)
         if step == "last":
             more = star("last", open_)
         else:
-            open_ = stored(open_.select("k", "key", "n", "component"))
-            other = open_.select("k", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("other"))
-            more = open_.join(other, "k").where((F.col("component") != F.col("other")) & (F.col("key") < F.col("b")) & _size_fits("n", "n_b"))
+            open_ = stored(open_.select("k", "key", "n", "c", "component"))
+            other = open_.select("k", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"), F.col("component").alias("other"))
+            more = open_.join(other, "k").where((F.col("component") != F.col("other")) & (F.col("key") < F.col("b")) & _can_link("n", "c", "n_b", "c_b"))
             more = more.select(F.col("key").alias("a"), "b").distinct()
         links = stored(links.unionByName(verified(more, sets)))
     return components(links)
