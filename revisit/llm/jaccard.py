@@ -243,23 +243,23 @@ def _can_link(n_a: str, c_a: str, n_b: str, c_b: str) -> Column:
     return F.least(c_a, c_b).cast("long") * (100 + PERCENT) >= (F.col(n_a).cast("long") + F.col(n_b)) * PERCENT
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets that reach the similarity."""
+def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets with the size of their intersection and whether they link."""
     left = sets.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
     right = sets.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, dtype=bool)
+            shared, linked = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows, dtype=bool)
             for i, (n_a, n_b, t_a, t_b) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4, 5)))):
                 both = np.concatenate((np.frombuffer(t_a, dtype=np.uint64), np.frombuffer(t_b, dtype=np.uint64)))
                 both.sort(kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                keep[i] = 100 * shared >= PERCENT * (n_a + n_b - shared)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
+                same = int((both[1:] == both[:-1]).sum())
+                shared[i], linked[i] = same, 100 * same >= PERCENT * (n_a + n_b - same)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared), pa.array(linked)], names=["a", "b", "shared", "linked"])
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "t_a", "t_b")
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(run, "a long, b long, shared int, linked boolean")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -296,9 +296,10 @@ def linked_sets(docs: DataFrame, text_col: str, total: int, size: int = SHINGLE)
 
     def star(hub: str, where: DataFrame) -> DataFrame:
         rows = where.where((F.col("key") != F.col(f"{hub}.key")) & _can_link("n", "c", f"{hub}.n", f"{hub}.c"))
-        return rows.select(F.least("key", f"{hub}.key").alias("a"), F.greatest("key", f"{hub}.key").alias("b")).distinct()
+        return rows.select(F.col("key").alias("a"), F.col(f"{hub}.key").alias("b")).distinct()
 
-    links = stored(verified(star("first", lists), sets))
+    met = stored(measured(star("first", lists), sets))
+    links = met.where("linked").select("a", "b")
     for step in ("last", "every"):
         found = components(links)
         named = lists.join(found.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
@@ -307,14 +308,29 @@ def linked_sets(docs: DataFrame, text_col: str, total: int, size: int = SHINGLE)
         if step == "last":
             more = star("last", open_)
         else:
-            open_ = stored(open_.select("k", "key", "n", "c", "component"))
-            other = open_.select("k", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"), F.col("component").alias("other"))
-            more = open_.join(other, "k").where((F.col("component") != F.col("other")) & (F.col("key") < F.col("b")) & _can_link("n", "c", "n_b", "c_b"))
-            more = more.select(F.col("key").alias("a"), "b").distinct()
-        links = stored(links.unionByName(verified(more, sets)))
+            more = across(open_, met)
+        links = stored(links.unionByName(measured(more, sets).where("linked").select("a", "b")))
     return components(links)
 
 
+def across(open_: DataFrame, met: DataFrame) -> DataFrame:
+    """Pairs of sets in different components that share a key and may link.
+
+    What two sets have in common lies in the key's first set or outside it. Where both have met that set,
+    the smaller overlap with it and the smaller rest of what each has in common with others bound theirs.
+    """
+    hub = F.col("first.key")
+    known = met.select(F.col("a").alias("key"), F.col("b").alias("hub"), "shared")
+    rows = open_.select("k", "key", "n", "c", "component", hub.alias("hub")).join(known, ["key", "hub"], "left")
+    rows = stored(rows.withColumn("shared", F.when(F.col("key") == F.col("hub"), F.col("c")).otherwise(F.col("shared"))))
+    other = rows.select("k", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "c", "component", "shared")])
+    bound = F.least("shared", "shared_b") + F.least(F.col("c") - F.col("shared"), F.col("c_b") - F.col("shared_b"))
+    enough = bound.cast("long") * (100 + PERCENT) >= (F.col("n").cast("long") + F.col("n_b")) * PERCENT
+    apart = (F.col("component") != F.col("component_b")) & (F.col("key") < F.col("key_b"))
+    pairs = rows.join(other, (rows["k"] == other["k"]) & apart & _can_link("n", "c", "n_b", "c_b") & F.coalesce(enough, F.lit(True)))
+    return pairs.select(F.col("key").alias("a"), F.col("key_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row's id, n_shingles and component_id, the smallest id that links of at least 75 % reach.
 
