@@ -1,7 +1,7 @@
-"""Percentages and means rounded half up to two decimals, exact because they stay in integers.
+"""Percentages and means rounded half away from zero to two decimals, exact because they stay decimal.
 
-``round`` on doubles depends on the engine at ties (1.005); integer division does not. Numerators
-and denominators are counts or sums of non-negative integers.
+``round`` on doubles depends on the engine at ties (1.005); whole-number division does not. Numerators
+are whole numbers or decimals of up to six places, of any sign; denominators are counts.
 """
 
 from __future__ import annotations
@@ -9,11 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+EXACT = "decimal(38,6)"
+
 
 def _half_up(numerator: Column, denominator: Column, scale: int) -> Column:
-    num, den = numerator.cast("bigint"), denominator.cast("bigint")
-    twice = F.nullif(den * 2, F.lit(0).cast("bigint"))
-    return F.call_function("div", num * (2 * scale) + den, twice) / F.lit(100.0)
+    num, den = numerator.cast(EXACT), denominator.cast("decimal(20,0)")
+    twice = F.nullif(den * 2, F.lit(0).cast("decimal(21,0)"))
+    size = F.call_function("div", (F.abs(num) * F.lit(2 * scale)).cast(EXACT) + den, twice)
+    return F.when(num < 0, -size).otherwise(size) / F.lit(100.0)
 
 
 def percent(numerator: Column, denominator: Column) -> Column:

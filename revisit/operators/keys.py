@@ -8,19 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from revisit.session import fresh_folder, write_table
+
 HOT_ROWS = 1_000_000
 BLOCK_BITS = 20
 
 
-def keep_first(df: DataFrame, key: str, prefer: Sequence[Column]) -> DataFrame:
-    """One row per non-null key: the first in ``prefer`` order, then by a hash of the other columns.
+def keep_first(df: DataFrame, key: str, prefer: Sequence[Column], tie: Column | None = None) -> DataFrame:
+    """One row per non-null key: the first in ``prefer`` order, then by ``tie``.
 
-    The hash makes the choice among equally preferred copies repeatable. Spark limits each key to
+    ``tie`` defaults to a hash of the other columns, which makes the choice among equally preferred
+    copies repeatable; frames that hold the same rows in different columns need a common one. Spark limits each key to
     one row before the shuffle as well as after it, so a key with very many copies never gathers
     in one task.
     """
     rest = [name for name in df.columns if name != key]
-    by_key = W.partitionBy(key).orderBy(*prefer, F.xxhash64(*rest))
+    by_key = W.partitionBy(key).orderBy(*prefer, F.xxhash64(*rest) if tie is None else tie)
     return (
         df.where(F.col(key).isNotNull())
         .withColumn("_place", F.row_number().over(by_key))
@@ -44,7 +47,7 @@ def _block_starts(hot: DataFrame, entity: str, bits: int) -> DataFrame:
     block_start = F.sum("_rows").over(earlier.partitionBy(entity, "_area").orderBy("_block"))
     return (
         blocks.select(entity, "_area", "_block", F.coalesce(block_start, F.lit(0)).alias("_in_area"))
-        .join(areas, [entity, "_area"])
+        .join(areas.select(F.col(entity).alias("_of"), F.col("_area").alias("_in"), "_area_start"), F.col(entity).eqNullSafe(F.col("_of")) & (F.col("_area") == F.col("_in")))
         .select(entity, "_block", (F.col("_area_start") + F.col("_in_area")).alias("_start"))
     )
 
@@ -62,7 +65,7 @@ def sequence(
     An entity of more than ``hot_rows`` rows is cut into blocks of ``2**block_bits`` consecutive
     order values. Order values are unique, so a block holds at most that many rows, and no task
     ever sorts more than ``max(hot_rows, 2**block_bits)`` rows of one entity. There are at most
-    ``rows / hot_rows`` hot entities, which bounds the broadcast.
+    ``rows / hot_rows`` hot entities, which bounds the broadcast. NULL is an entity like any other.
     """
     hot = (
         df.groupBy(entity)
@@ -70,15 +73,18 @@ def sequence(
         .where(F.col("_rows") > hot_rows)
         .select(entity, F.lit(True).alias("_hot"))
     )
-    placed = df.join(F.broadcast(hot), entity, "left").withColumn(
+    hot = hot.withColumnRenamed(entity, "_hot_entity")
+    placed = df.join(F.broadcast(hot), F.col(entity).eqNullSafe(F.col("_hot_entity")), "left").drop("_hot_entity").withColumn(
         "_block",
         F.when(F.col("_hot"), F.shiftright(F.col(order).cast("bigint"), block_bits)).otherwise(F.lit(0).cast("bigint")),
     )
     within = F.row_number().over(W.partitionBy(entity, "_block").orderBy(order))
     starts = _block_starts(placed.where(F.col("_hot")), entity, block_bits)
+    starts = starts.select(F.col(entity).alias("_start_entity"), F.col("_block").alias("_start_block"), "_start")
+    same_block = F.col(entity).eqNullSafe(F.col("_start_entity")) & (F.col("_block") == F.col("_start_block"))
     return (
         placed.withColumn("_within", within)
-        .join(starts, [entity, "_block"], "left")
+        .join(starts, same_block, "left")
         .select(*df.columns, (F.col("_within") + F.coalesce("_start", F.lit(0))).cast("bigint").alias(name))
     )
 
@@ -94,18 +100,26 @@ def first_per_entity(df: DataFrame, entity: str, order: str, columns: Sequence[s
 
 
 def group_size(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Every row with the number of rows of its key: counted map-side, then joined back."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
-    return df.join(sizes, key)
+    """Every row with the number of rows of its key, NULL keys included: counted map-side, then joined back."""
+    sizes = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias(name))
+    return df.join(sizes, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
-def surrogate_key(labels: DataFrame, name: str, order: Sequence[str], limit: int = 100_000) -> DataFrame:
-    """Dense keys 1..n over a set of distinct labels.
+def surrogate_key(labels: DataFrame, name: str, order: Sequence[str], kind: str = "int") -> DataFrame:
+    """Dense keys 1..n over a set of distinct labels, in ``order`` and then in that of all columns.
 
-    Numbering runs in one task, so it is for label domains; a domain above ``limit`` stops the run.
+    Labels are written in ranges of their order. A window numbers each range by itself, and what is
+    counted in one task is a row per range.
     """
-    number = F.row_number().over(W.orderBy(*[F.col(c).asc_nulls_last() for c in order]))
-    too_many = F.raise_error(F.lit(f"{name}: more than {limit} labels")).cast("int")
-    return labels.withColumn("_n", number).select(
-        F.when(F.col("_n") <= limit, F.col("_n")).otherwise(too_many).alias(name), *labels.columns
+    every = [F.col(c).asc_nulls_last() for c in dict.fromkeys([*order, *labels.columns])]
+    ranged = labels.repartitionByRange(*every).withColumn("_range", F.spark_partition_id())
+    ranged = write_table(ranged, fresh_folder(labels.sparkSession))
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select(F.col("_range").alias("_of"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    number = F.row_number().over(W.partitionBy("_range").orderBy(*every))
+    return (
+        ranged.withColumn("_n", number)
+        .join(starts, F.col("_range") == F.col("_of"))
+        .select((F.col("_start") + F.col("_n")).cast(kind).alias(name), *labels.columns)
     )

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revisit.functions.rounding import mean, percent
 
@@ -68,11 +69,32 @@ def share_of_total(name: str, column: str) -> Measure:
     return Measure(name, {part: f"sum({column})"}, lambda: percent(F.col(part), F.sum(part).over(W.partitionBy())))
 
 
-def part_aggregates(measures: Sequence[Measure]) -> list[Column]:
+def part_aggregates(df: DataFrame, measures: Sequence[Measure]) -> list[Column]:
+    """The measures' parts as aggregates that are exact: whole numbers, or decimals for other numbers.
+
+    Doubles are added up as decimals of six places; one that has more stops the run, as its sum
+    would depend on the order of the rows.
+    """
     needed: dict[str, str] = {}
     for measure in measures:
         needed.update(measure.parts)
-    return [F.expr(sql).cast("bigint").alias(part) for part, sql in needed.items()]
+    kinds = {f.name: f.dataType for f in df.agg(*[F.expr(sql).alias(part) for part, sql in needed.items()]).schema}
+    return [_exact(sql, kinds[part]).alias(part) for part, sql in needed.items()]
+
+
+def _exact(sql: str, kind: T.DataType) -> Column:
+    if isinstance(kind, T.IntegralType):
+        return F.expr(sql).cast("bigint")
+    if isinstance(kind, T.DecimalType):
+        if kind.scale > 6:
+            raise TypeError(f"{sql}: more than six decimal places can't be averaged exactly")
+        return F.expr(sql)
+    if isinstance(kind, T.FractionalType) and sql.startswith("sum(") and sql.endswith(")"):
+        value = F.expr(sql[4:-1])
+        decimal = value.cast("decimal(28,6)")
+        inexact = F.raise_error(F.lit(f"{sql}: a value has more than six decimal places")).cast("decimal(28,6)")
+        return F.sum(F.when(value.isNull() | (decimal.cast("double") == value), decimal).otherwise(inexact))
+    raise TypeError(f"{sql}: {kind.simpleString()} can't be added up exactly")
 
 
 def pool_parts(parts: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
@@ -97,7 +119,8 @@ def rate_by(
 ) -> DataFrame:
     """One row per key with the declared measures; without keys, one row for the whole table."""
     source = df if where is None else df.where(where)
-    return finish(source.groupBy(*keys).agg(*part_aggregates(measures)), keys, measures, min_rows)
+    counted = [*measures, rows("rows")] if min_rows is not None else measures
+    return finish(source.groupBy(*keys).agg(*part_aggregates(source, counted)), keys, measures, min_rows)
 
 
 def parts_by_sets(df: DataFrame, key_sets: Mapping[str, Sequence[str]], measures: Sequence[Measure]) -> DataFrame:
@@ -107,13 +130,15 @@ def parts_by_sets(df: DataFrame, key_sets: Mapping[str, Sequence[str]], measures
     group rows only.
     """
     keys = list(dict.fromkeys(key for key_set in key_sets.values() for key in key_set))
-    grouped = df.groupingSets([[F.col(k) for k in key_set] for key_set in key_sets.values()], *[F.col(k) for k in keys])
-    parts = grouped.agg(F.grouping_id().alias("_set"), *part_aggregates(measures))
-    label = F
+    sets: dict[int, list[str]] = {}  # tables by the grouping id of their keys; tables may share keys
     for name, key_set in key_sets.items():
         absent = sum(1 << (len(keys) - 1 - i) for i, key in enumerate(keys) if key not in key_set)
-        label = label.when(F.col("_set") == absent, F.lit(name))
-    return parts.withColumn("table", label.otherwise(F.lit(None).cast("string"))).drop("_set")
+        sets.setdefault(absent, []).append(name)
+    wanted = [[F.col(k) for i, k in enumerate(keys) if not absent >> (len(keys) - 1 - i) & 1] for absent in sets]
+    grouped = df.groupingSets(wanted, *[F.col(k) for k in keys])
+    parts = grouped.agg(F.grouping_id().alias("_set"), *part_aggregates(df, measures))
+    names = F.create_map(*[F.lit(x).cast("bigint") if isinstance(x, int) else F.array(*[F.lit(n) for n in x]) for pair in sets.items() for x in pair])
+    return parts.withColumn("table", F.explode(names[F.col("_set")])).drop("_set")
 
 
 def top_n(df: DataFrame, by: Sequence[Column], n: int) -> DataFrame:

@@ -8,12 +8,9 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from revisit.operators.quality import union_all
 
-NUMERIC = (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DoubleType, T.FloatType, T.DecimalType)
-
 
 def reconcile_counts(left: Mapping[str, DataFrame], right: Mapping[str, DataFrame]) -> DataFrame:
     """``(table_name, left_rows, right_rows, is_match)`` for every table of both sides."""
@@ -33,12 +30,11 @@ def all_counts_match(counts: DataFrame) -> DataFrame:
     return counts.agg(F.every("is_match").alias("all_match"))
 
 
-def _same(left: Column, right: Column, numeric: bool, tolerance: float) -> Column:
-    if not numeric:
-        return left.eqNullSafe(right)
-    x, y = left.cast("double"), right.cast("double")
+def _same(left: Column, right: Column, tolerance: float) -> Column:
+    """Both NULL, numbers within the tolerance where both sides read as numbers, or the same text."""
+    x, y = left.try_cast("double"), right.try_cast("double")
     near = F.abs(x - y) <= tolerance * F.greatest(F.lit(1.0), F.abs(y))
-    return left.eqNullSafe(right) | F.coalesce(near, F.lit(False))
+    return left.cast("string").eqNullSafe(right.cast("string")) | F.coalesce(near, F.lit(False))
 
 
 def compare_rows(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -48,23 +44,34 @@ def compare_rows(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataF
     key collapse before the shuffle and can never pair up with each other. A key is expected once
     per side; the counts show where it is not, and then the smallest row of each side is compared.
     """
-    values = [c for c in left.columns if c not in key]
+    kinds = dict(left.dtypes)
 
     def side(df: DataFrame, mark: int) -> DataFrame:
-        return df.select(*key, F.lit(mark).alias("_side"), F.struct(*values).alias("_row"))
+        keys = [F.col(k) if dict(df.dtypes)[k] == kinds[k] else F.col(k).try_cast(kinds[k]).alias(k) for k in key]
+        return df.select(*keys, F.lit(mark).alias("_side"), F.struct(*_values(df, key)).alias(f"_row{mark}"))
 
     def of(mark: int, column: Column) -> Column:
         return F.when(F.col("_side") == mark, column)
 
-    tagged = side(left, 0).unionByName(side(right, 1))
+    tagged = side(left, 0).unionByName(side(right, 1), allowMissingColumns=True)
     return tagged.groupBy(*key).agg(
         F.count(of(0, F.lit(1))).alias("left_rows"),
         F.count(of(1, F.lit(1))).alias("right_rows"),
-        F.min(of(0, F.col("_row"))).alias("left_row"),
-        F.min(of(1, F.col("_row"))).alias("right_row"),
+        F.min("_row0").alias("left_row"),
+        F.min("_row1").alias("right_row"),
     )
 
 
+def _values(df: DataFrame, key: Sequence[str]) -> list[str]:
+    return [c for c in df.columns if c not in key]
+
+
+def one_sided(left: DataFrame, right: DataFrame, key: Sequence[str]) -> dict[str, str]:
+    """Columns that one side alone has, with the problem this is."""
+    a, b = _values(left, key), _values(right, key)
+    return {c: "column_missing_right" for c in a if c not in b} | {c: "column_missing_left" for c in b if c not in a}
+
+
 IN_BOTH = "left_rows > 0 AND right_rows > 0"
 PROBLEMS = {
     "missing_left": "left_rows = 0",
@@ -73,13 +80,13 @@ PROBLEMS = {
 }
 
 
-def _cell_tests(left: DataFrame, key: Sequence[str], tolerance: float) -> dict[str, Column]:
+def _cell_tests(left: DataFrame, right: DataFrame, key: Sequence[str], tolerance: float) -> dict[str, Column]:
     """Per column: do the two rows of a key differ in it?"""
     return {
-        f.name: F.expr(IN_BOTH)
-        & ~_same(F.col("left_row")[f.name], F.col("right_row")[f.name], isinstance(f.dataType, NUMERIC), tolerance)
-        for f in left.schema.fields
-        if f.name not in key
+        c: F.expr(IN_BOTH)
+        & ~_same(F.col("left_row")[c], F.col("right_row")[c], tolerance)
+        for c in _values(left, key)
+        if c in right.columns
     }
 
 
@@ -87,8 +94,9 @@ def cell_differences(left: DataFrame, right: DataFrame, key: Sequence[str], tole
     """Every difference: ``(key…, column_name, left_value, right_value, problem)``.
 
     Problems are ``missing_left``, ``missing_right``, ``repeated_key`` (one row per key, with the two
-    row counts as values) and ``value`` (one row per differing cell). Numbers are equal within
-    ``tolerance * max(1, |right|)``, two NULLs are equal, anything else compares as is.
+    row counts as values), ``value`` (one row per differing cell), ``column_missing_left`` and
+    ``column_missing_right`` (one row without a key per column). Values that both read as numbers are equal
+    within ``tolerance * max(1, |right|)``, two NULLs are equal, anything else compares as text.
     """
     nothing = F.lit(None).cast("string")
 
@@ -102,13 +110,18 @@ def cell_differences(left: DataFrame, right: DataFrame, key: Sequence[str], tole
 
     found = [
         F.when(differs, entry(F.lit(c), F.col("left_row")[c], F.col("right_row")[c], "value"))
-        for c, differs in _cell_tests(left, key, tolerance).items()
+        for c, differs in _cell_tests(left, right, key, tolerance).items()
     ]
     for problem, condition in PROBLEMS.items():
         counts = (F.col("left_rows"), F.col("right_rows")) if problem == "repeated_key" else (nothing, nothing)
         found.append(F.when(F.expr(condition), entry(nothing, *counts, problem)))
     rows = compare_rows(left, right, key)
-    return rows.select(*key, F.inline(F.array_compact(F.array(*found))))
+    cells = rows.select(*key, F.inline(F.array_compact(F.array(*found))))
+    columns = [
+        left.sparkSession.range(1).select(*[F.lit(None).cast(dict(left.dtypes)[k]).alias(k) for k in key], F.inline(F.array(entry(F.lit(c), nothing, nothing, problem))))
+        for c, problem in one_sided(left, right, key).items()
+    ]
+    return union_all([cells, *columns]) if columns else cells
 
 
 def first_differences(differences: DataFrame, key: Sequence[str], n: int = 50) -> DataFrame:
@@ -122,14 +135,15 @@ def reconcile_cells(
     """Per table: rows on both sides and the number of differing cells, missing rows and repeated keys."""
 
     def summary(name: str) -> DataFrame:
-        tests = _cell_tests(left[name], keys[name], tolerance)
-        differing = reduce(add, [F.when(differs, 1).otherwise(0) for differs in tests.values()])
+        tests = _cell_tests(left[name], right[name], keys[name], tolerance)
+        differing = reduce(add, [F.when(differs, 1).otherwise(0) for differs in tests.values()], F.lit(0))
+        alone = len(one_sided(left[name], right[name], keys[name]))  # a column of one side counts once
         number = lambda column: F.coalesce(F.sum(column), F.lit(0)).cast("bigint")
         return compare_rows(left[name], right[name], keys[name]).agg(
             F.lit(name).alias("table_name"),
             number("left_rows").alias("left_rows"),
             number("right_rows").alias("right_rows"),
-            number(differing).alias("cell_diffs"),
+            (number(differing) + F.lit(alone)).cast("bigint").alias("cell_diffs"),
             *[F.count_if(F.expr(condition)).alias(problem) for problem, condition in PROBLEMS.items()],
         )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,8 +80,20 @@ def preference() -> list[Column]:
     return [F.col("patient_nbr").isNull(), F.col("patient_nbr"), *[F.col(c).asc_nulls_first() for c in OUTLIER_COLUMNS]]
 
 
+def copy_order(types: DataFrame) -> Column:
+    """Order among copies that :func:`preference` can't tell apart, the same for compact and typed rows.
+
+    A hash of all values and of which are NULL, with the drug columns as their packed text.
+    """
+    meds = list(MED_COLUMNS.values())
+    doses = F.col("doses") if "doses" in types.columns else F.expr(C.pack(meds, DOSE_LETTERS))
+    others = sorted(set(types.columns) - {"encounter_id", "doses", *meds})
+    unknown = reduce(add, [F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(others)])
+    return F.xxhash64(doses, unknown, *others)
+
+
 def deduplicated(types: DataFrame) -> DataFrame:
-    return keep_first(types, "encounter_id", preference())
+    return keep_first(types, "encounter_id", preference(), copy_order(types))
 
 
 def encounter_keys(types: DataFrame) -> DataFrame:

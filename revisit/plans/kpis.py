@@ -147,7 +147,7 @@ def rate_table(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     spec = RATE_TABLES[name]
     view = rate_view(tables)
     rows = view.where(ELIGIBLE) if spec.eligible_only else view
-    return _arrange(tables, rows.groupBy(*fact_keys(spec)).agg(*R.part_aggregates(spec.measures)), spec)
+    return _arrange(tables, rows.groupBy(*fact_keys(spec)).agg(*R.part_aggregates(rows, spec.measures)), spec)
 
 
 def rate_parts(tables: Mapping[str, DataFrame]) -> DataFrame:

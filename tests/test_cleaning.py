@@ -119,6 +119,17 @@ def test_known_patient_wins_the_dedupe(spark):
     assert rows[5].patient_nbr == 9
 
 
+def test_clean_and_rejected_rows_complement_each_other(spark):
+    cases = [{"encounter_id": str(i), "patient_nbr": "9", "gender": g, "metformin": m, "payer_code": f"{p}{i}"}
+             for i in range(1, 41) for g, m, p in [("Female", "Up", "A"), ("?", "Down", "B")]]
+    raw = staged(spark, cases)
+    kept = cleaning.deduplicated(cleaning.compact(raw)).where(cleaning.integrity())
+    clean_ids = {r.encounter_id for r in kept.collect()}
+    rejected_ids = [r.encounter_id for r in cleaning.rejected(cleaning.typed(raw)).collect()]
+    assert len(rejected_ids) == len(set(rejected_ids)) and clean_ids.isdisjoint(rejected_ids)
+    assert clean_ids | set(rejected_ids) == set(range(1, 41)) and clean_ids and rejected_ids
+
+
 def test_dedupe_tie_is_repeatable_and_agrees_with_the_keys(spark):
     cases = [{"encounter_id": "5", "patient_nbr": "9", "num_medications": m, "payer_code": p} for m, p in
              [("12", "A"), ("?", "B"), ("7", "C"), ("7", "D")]]

@@ -1,9 +1,7 @@
 import random
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from revisit.operators.keys import first_per_entity, group_size, sequence, surrogate_key
@@ -53,16 +51,36 @@ def test_first_per_entity_and_size(spark):
 
 
 def test_group_size(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
-    assert sorted(group_size(df, "k", "n").collect()) == [(1, "a", 2), (1, "b", 2), (2, "c", 1)]
-
-
-def test_surrogate_key_is_dense_and_guarded(spark):
-    df = spark.createDataFrame([("b", 2), ("a", 1), ("x", None)], "label string, mid int")
-    keys = surrogate_key(df, "k", ["mid", "label"]).orderBy("k").collect()
-    assert [(r.k, r.label) for r in keys] == [(1, "a"), (2, "b"), (3, "x")]
-    with pytest.raises(PySparkException, match="more than 2 labels"):
-        surrogate_key(df, "k", ["mid"], limit=2).collect()
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
+    found = {(r.k, r.v, r.n) for r in group_size(df, "k", "n").collect()}
+    assert found == {(1, "a", 2), (1, "b", 2), (2, "c", 1), (None, "d", 2), (None, "e", 2)}
+
+
+def test_null_entities_are_cut_into_blocks(spark):
+    df = spark.range(200).select(F.when(F.col("id") % 3 > 0, F.col("id") % 2).alias("entity"), "id")
+    found = sequence(df, "entity", "id", hot_rows=10, block_bits=3)
+    places = {}
+    for r in sorted(found.collect(), key=lambda r: r.id):
+        places[r.entity] = places.get(r.entity, 0) + 1
+        assert r.seq == places[r.entity]
+    assert sum(places.values()) == 200 and places[None] == 67
+
+
+def test_surrogate_key_is_dense_in_order(spark):
+    df = spark.createDataFrame([("b", 2), ("a", 1), ("x", None), ("c", 2)], "label string, mid int")
+    keys = surrogate_key(df, "k", ["mid"]).orderBy("k").collect()
+    assert [(r.k, r.label) for r in keys] == [(1, "a"), (2, "b"), (3, "c"), (4, "x")]
+
+
+def test_surrogate_key_has_no_limit_and_no_single_task(spark):
+    labels = spark.range(150_000).select(F.concat(F.lit("l"), F.reverse(F.col("id").cast("string"))).alias("label")).distinct()
+    keys = surrogate_key(labels, "k", ["label"])
+    found = keys.agg(F.count("*"), F.min("k"), F.max("k"), F.count_distinct("k")).first()
+    assert tuple(found) == (150_000, 1, 150_000, 150_000)
+    ordered = keys.orderBy("k").select("label").collect()
+    assert [r.label for r in ordered] == sorted(r.label for r in ordered)
+    numbering = [line for line in keys._jdf.queryExecution().executedPlan().toString().splitlines() if "Window" in line and "row_number" in line]
+    assert numbering and all("_range" in line for line in numbering)
 
 
 def test_unpivot_reads_once_and_pools_distinct(spark):

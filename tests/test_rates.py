@@ -1,5 +1,6 @@
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -62,3 +63,36 @@ def test_grouping_sets_keep_null_keys_apart(spark):
 def test_top_n_breaks_ties(spark):
     df = spark.createDataFrame([("c", 2), ("a", 2), ("b", 5)], "k string, n int")
     assert [r.k for r in R.top_n(df, [F.col("n").desc(), F.col("k")], 2).collect()] == ["b", "a"]
+
+
+def test_means_of_fractions_and_negative_numbers(spark):
+    df = spark.createDataFrame([("a", 1.25), ("a", 1.5), ("b", -0.5), ("b", 0.25), ("c", -1.0), ("c", -2.0), ("d", -1.0), ("d", 0.0), ("d", 0.0), ("e", None)], "k string, v double")
+    found = R.rate_by(df, ["k"], [R.average("mean", "v"), R.total("total", "v")]).collect()
+    assert {r.k: (r["mean"], r.total if r.total is None else float(r.total)) for r in found} == {
+        "a": (1.38, 2.75), "b": (-0.13, -0.25), "c": (-1.5, -3.0), "d": (-0.33, -1.0), "e": (None, None),
+    }
+    whole = spark.createDataFrame([(-1,), (-2,)], "v int")
+    assert R.rate_by(whole, [], [R.average("mean", "v")]).first()["mean"] == -1.5
+
+
+def test_numbers_that_are_not_exact_raise(spark):
+    with pytest.raises(Exception, match="six decimal places"):
+        R.rate_by(spark.createDataFrame([(1 / 3,)], "v double"), [], [R.average("mean", "v")]).collect()
+
+
+def test_counts_have_no_limit(spark):
+    big = spark.sql("SELECT 9000000000000000000 AS num, 9100000000000000000 AS den")
+    assert big.select(percent(F.col("num"), F.col("den"))).first()[0] == 98.9
+
+
+def test_tables_may_share_their_keys(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x")], "a int, b string")
+    parts = R.parts_by_sets(df, {"one": ["a"], "two": ["a"], "three": ["b"]}, [R.rows("n")]).collect()
+    assert sorted((r.table, r.a or 0, r.b or "", r.rows) for r in parts) == [
+        ("one", 1, "", 2), ("one", 2, "", 1), ("three", 0, "x", 2), ("three", 0, "y", 1), ("two", 1, "", 2), ("two", 2, "", 1),
+    ]
+
+
+def test_min_rows_needs_no_rows_measure(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
+    assert [tuple(r) for r in R.rate_by(df, ["k"], [R.total("t", "v")], min_rows=2).collect()] == [("a", 3)]

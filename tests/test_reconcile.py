@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from revisit.operators import reconcile as X
 
 SCHEMA = "id int, n int, score double, label string"
@@ -46,3 +48,11 @@ def test_first_differences(spark):
     left, right = spark.createDataFrame(LEFT, SCHEMA), spark.createDataFrame(RIGHT, SCHEMA)
     first = X.first_differences(X.cell_differences(left, right, ["id"]), ["id"], 2).collect()
     assert [(r.id, r.column_name) for r in first] == [(2, "label"), (2, "score")]
+
+
+def test_columns_of_one_side_and_other_types(spark):
+    left = spark.createDataFrame([(1, 5, 1.0, "a"), (2, 6, 2.5, None)], SCHEMA).withColumn("only_left", F.lit(1))
+    text = spark.createDataFrame([("1", "5.0", "1", "a"), ("2", "6", "2.50", None)], "id string, n string, score string, label string")
+    found = {(r.id, r.column_name, r.problem) for r in X.cell_differences(left, text.withColumn("only_right", F.lit("x")), ["id"]).collect()}
+    assert found == {(None, "only_left", "column_missing_right"), (None, "only_right", "column_missing_left")}
+    assert X.cell_differences(left.drop("only_left"), text, ["id"]).count() == 0
