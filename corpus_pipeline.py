@@ -50,18 +50,18 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     taken = mixing.mix(docs)
     order = W.partitionBy("doc_id").orderBy("size", F.desc("taken"))
-    shares = taken.withColumn("nth", F.row_number().over(order)).select(F.col("doc_id").alias("id"), "size", "taken", "nth")
+    shares = taken.withColumn("nth", F.row_number().over(order)).select(F.col("doc_id").alias("mix_id"), F.col("size").alias("mix_words"), F.col("taken").alias("mix_taken"), F.col("nth").alias("mix_rank"))
     sized = docs.withColumn("mix_size", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)))
     sized = sized.withColumn("mix_nth", F.row_number().over(W.partitionBy("doc_id").orderBy("mix_size")))
-    rows = sized.join(shares, sized["doc_id"].eqNullSafe(shares["id"]) & (sized["mix_nth"] == shares["nth"]))
-    whole = F.expr("CASE WHEN size = 0 THEN 1 ELSE taken div size END")
-    rest = F.expr("CASE WHEN size = 0 THEN 0 ELSE taken % size END")
-    rows = rows.withColumn("rest", rest.cast("int")).withColumn("parts", F.concat(F.array_repeat(F.lit(0), whole.cast("int")), F.when(F.col("rest") > 0, F.array("rest")).otherwise(F.array().cast("array<int>"))))
-    rows = rows.withColumn("part", F.explode("parts"))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("part")), " ")
-    rows = rows.withColumn("text", F.when(F.col("part") > 0, cut).otherwise(F.col("text")))
+    rows = sized.join(shares, F.col("doc_id").eqNullSafe(F.col("mix_id")) & (F.col("mix_nth") == F.col("mix_rank")))
+    whole = F.expr("CASE WHEN mix_words = 0 THEN 1 ELSE mix_taken div mix_words END")
+    rest = F.expr("CASE WHEN mix_words = 0 THEN 0 ELSE mix_taken % mix_words END")
+    rows = rows.withColumn("mix_rest", rest.cast("int")).withColumn("mix_parts", F.concat(F.array_repeat(F.lit(0), whole.cast("int")), F.when(F.col("mix_rest") > 0, F.array("mix_rest")).otherwise(F.array().cast("array<int>"))))
+    rows = rows.withColumn("mix_part", F.explode("mix_parts"))
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("mix_part")), " ")
+    rows = rows.withColumn("text", F.when(F.col("mix_part") > 0, cut).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("part") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        rows = rows.withColumn("n_chars", F.when(F.col("mix_part") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return rows.select(docs.columns)
 
 
