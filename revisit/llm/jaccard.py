@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from revisit.llm import words
 from revisit.llm.common import shuffle_width, stored
@@ -35,6 +36,7 @@ PERCENT = 75
 FREQUENT = 50
 BUCKET_TOKENS = 2_000_000
 FLUSH_TOKENS = 3_000_000
+RECENT = 16
 SMALL = 30  # sets up to this size, and those they can link with, index frequent tokens one by one
 LOW48 = np.uint64((1 << 48) - 1)
 
@@ -318,16 +320,23 @@ def across(open_: DataFrame, met: DataFrame) -> DataFrame:
 
     What two sets have in common lies in the key's first set or outside it. Where both have met that set,
     the smaller overlap with it and the smaller rest of what each has in common with others bound theirs.
+
+    Every row carries the keys that come before its own in its set, at most RECENT of them, in one order of
+    all keys: those of many sets first. A pair whose recent keys overlap was made under one of these, or
+    earlier still; so it is made under its first common key, and seldom again.
     """
     hub = F.col("first.key")
+    many = open_.groupBy("k").agg(F.count(F.lit(1)).alias("many"))
+    before = W.partitionBy("key").orderBy(F.desc("many"), "k").rowsBetween(-RECENT, -1)
     known = met.select(F.col("a").alias("key"), F.col("b").alias("hub"), "shared")
     rows = open_.select("k", "key", "n", "c", "component", hub.alias("hub")).join(known, ["key", "hub"], "left")
+    rows = rows.join(many, "k").withColumn("recent", F.collect_list("k").over(before)).drop("many")
     rows = stored(rows.withColumn("shared", F.when(F.col("key") == F.col("hub"), F.col("c")).otherwise(F.col("shared"))))
-    other = rows.select("k", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "c", "component", "shared")])
+    other = rows.select("k", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "c", "component", "shared", "recent")])
     bound = F.least("shared", "shared_b") + F.least(F.col("c") - F.col("shared"), F.col("c_b") - F.col("shared_b"))
     enough = bound.cast("long") * (100 + PERCENT) >= (F.col("n").cast("long") + F.col("n_b")) * PERCENT
     apart = (F.col("component") != F.col("component_b")) & (F.col("key") < F.col("key_b"))
-    pairs = rows.join(other, (rows["k"] == other["k"]) & apart & _can_link("n", "c", "n_b", "c_b") & F.coalesce(enough, F.lit(True)))
+    pairs = rows.join(other, (rows["k"] == other["k"]) & apart & _can_link("n", "c", "n_b", "c_b") & F.coalesce(enough, F.lit(True)) & ~F.arrays_overlap("recent", "recent_b"))
     return pairs.select(F.col("key").alias("a"), F.col("key_b").alias("b")).distinct()
 
 
