@@ -35,7 +35,7 @@ SHINGLE = 5
 PERCENT = 75
 FREQUENT = 50
 BUCKET_TOKENS = 2_000_000
-FLUSH_TOKENS = 3_000_000
+FLUSH_TOKENS = 1_000_000
 RECENT = 16
 SMALL = 30  # sets up to this size, and those they can link with, index frequent tokens one by one
 LOW48 = np.uint64((1 << 48) - 1)
