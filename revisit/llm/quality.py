@@ -137,7 +137,6 @@ def resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """
     docs = docs.drop("log_weight", "sample_key")
     good = labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("good_id")).distinct()
-    good = stored(good)  # its file size is known then: while it is small, it is broadcast and no text is shuffled
     marked = docs.select(F.col(id_col), F.col(text_col)).join(good, F.col(id_col) == F.col("good_id"), "left")
     target, raw = counted(marked, F.col("good_id").isNotNull(), text_col)
     ratio = log_ratio(target, raw) if target.sum() else np.zeros(len(raw))
