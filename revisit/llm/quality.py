@@ -127,22 +127,30 @@ def largest(rows: DataFrame, key: str, ties: list[str], k: int) -> DataFrame:
     return rows.where(F.col(key) > F.lit(high)).unionByName(last)
 
 
-def resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", k: int | None = None, seed: int = 5) -> DataFrame:
+def resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", k: int | None = None, seed: int = 5, carry: list[str] | None = None) -> DataFrame:
     """The sampled rows of `docs`, with `log_weight` and `sample_key` added.
 
+    `carry` names the columns of `docs` to return with them, all if None; the others are not written either.
+
     Target documents are those whose id is labelled 1. Null and empty texts have the log weight 0, null
     ids are never labelled, rows that repeat an id and text have equal keys and are ranked next to each
     other, and an empty table gives an empty result. Without any target document every row stays.
     Columns of the two added names are replaced.
     """
     docs = docs.drop("log_weight", "sample_key")
+    tie = "sample_tie"
+    while tie in docs.columns:
+        tie += "_"
     good = labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("good_id")).distinct()
     marked = docs.select(F.col(id_col), F.col(text_col)).join(good, F.col(id_col) == F.col("good_id"), "left")
     target, raw = counted(marked, F.col("good_id").isNotNull(), text_col)
     ratio = log_ratio(target, raw) if target.sum() else np.zeros(len(raw))
-    rows = stored(weighted(docs, ratio, text_col).withColumn("sample_key", F.col("log_weight") + gumbel(F.col(id_col), seed)))
+    rows = weighted(docs.withColumn(tie, F.md5(F.col(text_col).cast("binary"))), ratio, text_col)
+    rows = rows.withColumn("sample_key", F.col("log_weight") + gumbel(F.col(id_col), seed))
+    names = [*(docs.columns if carry is None else carry), "log_weight", "sample_key"]
+    rows = stored(rows.select(*dict.fromkeys([*names, id_col, tie])))
     if not target.sum():
-        return rows
+        return rows.select(names)
     if k is None:
         k = int(round(rows.agg(F.sum(F.exp(F.least(F.col("log_weight"), F.lit(0.0))))).first()[0] or 0))
-    return largest(rows, "sample_key", [id_col, text_col], k)
+    return largest(rows, "sample_key", [id_col, tie], k).select(names)

@@ -32,8 +32,8 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = quality.resampled(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return kept.select("doc_id", "log_weight", "sample_key")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.resampled(docs, table(spark, sf_dir, "labels"), carry=["doc_id"])
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
