@@ -8,7 +8,7 @@ proportion to the weights takes the k largest sums of log weight and Gumbel nois
 k defaults to the sum over documents of the weight, cut at 1: what the target model explains at least as
 well as the raw one counts whole, so text like the target stays and the rest goes.
 
-Counts come from every document: each task adds up one vector per model, and one row per bucket and
+The target model learns from a bounded number of labelled documents; the raw model's counts come from every document: each task adds up one vector per model, and one row per bucket and
 task is shuffled. The k-th largest sum is found by counting sums in ever finer intervals, not by sorting
 everything in one task.
 """
@@ -27,6 +27,7 @@ from revisit.llm import words
 from revisit.llm.common import stored
 
 BUCKETS = 65_536
+TARGET_ROWS = 50_000  # labelled documents the target model learns from, so that their ids can be broadcast
 SMOOTHING = 1000.0
 BINS = 4096
 
@@ -127,12 +128,13 @@ def largest(rows: DataFrame, key: str, ties: list[str], k: int) -> DataFrame:
     return rows.where(F.col(key) > F.lit(high)).unionByName(last)
 
 
-def resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", k: int | None = None, seed: int = 5, carry: list[str] | None = None) -> DataFrame:
+def resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", k: int | None = None, seed: int = 5, carry: list[str] | None = None, target_rows: int = TARGET_ROWS) -> DataFrame:
     """The sampled rows of `docs`, with `log_weight` and `sample_key` added.
 
     `carry` names the columns of `docs` to return with them, all if None; the others are not written either.
 
-    Target documents are those whose id is labelled 1. Null and empty texts have the log weight 0, null
+    Target documents are those whose id is labelled 1; of more than `target_rows` such labels, a share of
+    the ids that is chosen by hash, as many as that at most. All documents are counted, weighed and sampled. Null and empty texts have the log weight 0, null
     ids are never labelled, rows that repeat an id and text have equal keys and are ranked next to each
     other, and an empty table gives an empty result. Without any target document every row stays.
     Columns of the two added names are replaced.
@@ -141,8 +143,14 @@ def resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     tie = "sample_tie"
     while tie in docs.columns:
         tie += "_"
-    good = labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("good_id")).distinct()
-    marked = docs.select(F.col(id_col), F.col(text_col)).join(good, F.col(id_col) == F.col("good_id"), "left")
+    good = labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("good_id"))
+    many = good.count()
+    if many > target_rows:
+        place = F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), "good_id"), 11)
+        good = good.where(place < int(0.95 * target_rows / many * (1 << 53)))
+    # about 0.95 * target_rows ids at most: the hash keeps them within a few times the square root of that
+    listed = F.broadcast(good.distinct())
+    marked = docs.select(F.col(id_col), F.col(text_col)).join(listed, F.col(id_col) == F.col("good_id"), "left")
     target, raw = counted(marked, F.col("good_id").isNotNull(), text_col)
     ratio = log_ratio(target, raw) if target.sum() else np.zeros(len(raw))
     rows = weighted(docs.withColumn(tie, F.md5(F.col(text_col).cast("binary"))), ratio, text_col)

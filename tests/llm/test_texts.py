@@ -205,6 +205,10 @@ def test_quality(spark, odd, nothing, labelled):
     assert set(odd.columns) <= set(kept.columns)
     assert quality.resampled(nothing, labelled).collect() == []
     assert quality.resampled(odd, labelled.limit(0)).count() == odd.count()
+    narrow = quality.resampled(odd, labelled, carry=["doc_id"])
+    assert narrow.columns == ["doc_id", "log_weight", "sample_key"]
+    assert sorted(str(r.doc_id) for r in narrow.collect()) == sorted(map(str, ids))
+    assert quality.resampled(odd, labelled, k=7, target_rows=20).count() == 7
     assert quality.resampled(odd, labelled, k=7).count() == 7 and quality.resampled(odd, labelled, k=0).count() == 0
 
 
