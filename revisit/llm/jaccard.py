@@ -11,9 +11,12 @@ Equal sets are one set from the start. A token that only one set has can't be in
 what is kept, and two sets' overlap can be read from their tokens that other sets have too.
 
 Candidates that share a key are not expanded into all pairs: first all sets of a key meet the key's most
-ordinary set, the one with the fewest tokens of its own, then another one. A pair is a candidate only if
-its sizes and the number of tokens each has in common with any other set allow the similarity. What these links connect needs no further comparison; only sets that share a key
-and still lie in different components are compared one by one, so no link between components is lost.
+ordinary set, the one with the fewest tokens of its own. A pair is a candidate only if its sizes, the number
+of tokens each has in common with any other set and what both share with that ordinary set allow the
+similarity. The join then compares all pairs that remain, in cells of bounded size where a key is hot, and
+returns every link; components and numbers of links follow from these. Where components alone are asked
+for, sets that links already connect need no further comparison; only sets that share a key and still lie
+in different components are compared one by one, so no link between components is lost.
 
 Tokens travel in blocks of bytes, dealt by ranges of hash into as many buckets as the corpus needs.
 """
@@ -37,6 +40,8 @@ FREQUENT = 50
 BUCKET_TOKENS = 2_000_000
 FLUSH_TOKENS = 1_000_000
 RECENT = 16
+CELL_SETS = 1000  # a key of more sets is cut into blocks, and pairs of blocks meet in cells
+BLOCK_PAIRS = 20_000
 SMALL = 30  # sets up to this size, and those they can link with, index frequent tokens one by one
 LOW48 = np.uint64((1 << 48) - 1)
 
@@ -288,18 +293,64 @@ def components(links: DataFrame) -> DataFrame:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def linked_sets(docs: DataFrame, text_col: str, total: int, size: int = SHINGLE) -> DataFrame:
-    """node, component for the distinct sets that link with another one."""
+def listed_sets(docs: DataFrame, text_col: str, total: int, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """The indexed sets, and a row per set and key that several sets have, with the key's first and last set."""
     sets = stored(indexed_sets(docs, text_col, total, size))
     keyed = sets.select("key", "n", "c", F.explode("keys").alias("k"))
     ordinary, other = F.struct((F.col("n") - F.col("c")).alias("own"), "key", "n", "c"), F.struct("key", "n", "c")
     shared = keyed.groupBy("k").agg(F.min(ordinary).alias("first"), F.max(other).alias("last"), F.min("key").alias("low")).where("low != last.key").drop("low")
-    lists = stored(keyed.join(shared, "k"))  # sets under keys that several sets have
+    return sets, stored(keyed.join(shared, "k"))
+
 
-    def star(hub: str, where: DataFrame) -> DataFrame:
-        rows = where.where((F.col("key") != F.col(f"{hub}.key")) & _can_link("n", "c", f"{hub}.n", f"{hub}.c"))
-        return rows.select(F.col("key").alias("a"), F.col(f"{hub}.key").alias("b")).distinct()
+def star(hub: str, where: DataFrame) -> DataFrame:
+    """Pairs of each set with its keys' first or last one."""
+    rows = where.where((F.col("key") != F.col(f"{hub}.key")) & _can_link("n", "c", f"{hub}.n", f"{hub}.c"))
+    return rows.select(F.col("key").alias("a"), F.col(f"{hub}.key").alias("b")).distinct()
 
+
+def set_links(docs: DataFrame, text_col: str, total: int, size: int = SHINGLE) -> DataFrame:
+    """Every link between distinct sets, once: a, b (a < b), n_a, n_b and shared, the size of their intersection."""
+    sets, lists = listed_sets(docs, text_col, total, size)
+    met = stored(measured(star("first", lists), sets))
+    return stored(verified(stored(every_pair(lists, met)), sets))
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that link. They are dealt by both sets' hashes, so a block reads a set's tokens once for many pairs."""
+    side = int(np.ceil(np.sqrt(max(shuffle_width(pairs.sparkSession), -(-pairs.count() // BLOCK_PAIRS)))))
+    cell = [F.pmod(F.xxhash64(F.lit(i), c), F.lit(side)).cast("int").alias(name) for i, c, name in ((0, "a", "x"), (1, "b", "y"))]
+    dealt = pairs.select("a", "b", *cell)
+    needed = dealt.select("x", "y", F.col("a").alias("key")).unionByName(dealt.select("x", "y", F.col("b").alias("key"))).distinct()
+    needed = needed.join(sets.select("key", "n", "tokens"), "key").select(F.col("x").alias("u"), F.col("y").alias("v"), "key", "n", "tokens")
+
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        key, n = held.column("key").to_numpy(), held.column("n").to_numpy().astype(np.int64)
+        raw = held.column("tokens").to_pylist()
+        many = np.array([len(t) // 8 for t in raw], dtype=np.int64)
+        tokens, begins = np.frombuffer(b"".join(raw), dtype=np.uint64), np.cumsum(many) - many
+        order = np.argsort(key)
+        a, b = (order[np.searchsorted(key[order], asked.column(c).to_numpy())] for c in ("a", "b"))
+        by = np.argsort(a, kind="stable")
+        a, b = a[by], b[by]
+        shared = np.zeros(len(a), np.int64)
+        edges = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1], [True])))
+        for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            own = tokens[begins[a[low]] : begins[a[low]] + many[a[low]]]
+            for at in range(low, high, 256):
+                some = b[at : min(high, at + 256)]
+                others = tokens[words.ranges(begins[some], many[some])]
+                hit = own[np.minimum(np.searchsorted(own, others), len(own) - 1)] == others
+                shared[at : at + len(some)] = np.add.reduceat(hit, np.cumsum(many[some]) - many[some], dtype=np.int64)
+        ok = 100 * shared >= PERCENT * (n[a] + n[b] - shared)
+        a, b, shared = a[ok], b[ok], shared[ok]
+        return pa.table([pa.array(v) for v in (key[a], key[b], n[a], n[b], shared)], names=["a", "b", "n_a", "n_b", "shared"])
+
+    return dealt.groupBy("x", "y").cogroup(needed.groupBy("u", "v")).applyInArrow(run, "a long, b long, n_a long, n_b long, shared long")
+
+
+def linked_sets(docs: DataFrame, text_col: str, total: int, size: int = SHINGLE) -> DataFrame:
+    """node, component for the distinct sets that link with another one, without making every link."""
+    sets, lists = listed_sets(docs, text_col, total, size)
     met = stored(measured(star("first", lists), sets))
     links = met.where("linked").select("a", "b")
     for step in ("last", "every"):
@@ -315,8 +366,8 @@ def linked_sets(docs: DataFrame, text_col: str, total: int, size: int = SHINGLE)
     return components(links)
 
 
-def across(open_: DataFrame, met: DataFrame) -> DataFrame:
-    """Pairs of sets in different components that share a key and may link.
+def with_bounds(open_: DataFrame, met: DataFrame) -> DataFrame:
+    """The rows with what their set shares with the key's first set, the key's number of sets, and recent keys.
 
     What two sets have in common lies in the key's first set or outside it. Where both have met that set,
     the smaller overlap with it and the smaller rest of what each has in common with others bound theirs.
@@ -329,37 +380,100 @@ def across(open_: DataFrame, met: DataFrame) -> DataFrame:
     many = open_.groupBy("k").agg(F.count(F.lit(1)).alias("many"))
     before = W.partitionBy("key").orderBy(F.desc("many"), "k").rowsBetween(-RECENT, -1)
     known = met.select(F.col("a").alias("key"), F.col("b").alias("hub"), "shared")
-    rows = open_.select("k", "key", "n", "c", "component", hub.alias("hub")).join(known, ["key", "hub"], "left")
-    rows = rows.join(many, "k").withColumn("recent", F.collect_list("k").over(before)).drop("many")
-    rows = stored(rows.withColumn("shared", F.when(F.col("key") == F.col("hub"), F.col("c")).otherwise(F.col("shared"))))
-    other = rows.select("k", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "c", "component", "shared", "recent")])
+    rows = open_.withColumn("hub", hub).drop("first", "last").join(known, ["key", "hub"], "left")
+    rows = rows.join(many, "k").withColumn("recent", F.collect_list("k").over(before))
+    return stored(rows.withColumn("shared", F.when(F.col("key") == F.col("hub"), F.col("c")).otherwise(F.col("shared"))))
+
+
+def may_link() -> Column:
+    """Two rows of a key, the second one's columns with _b, may link and were not made under a recent key."""
     bound = F.least("shared", "shared_b") + F.least(F.col("c") - F.col("shared"), F.col("c_b") - F.col("shared_b"))
     enough = bound.cast("long") * (100 + PERCENT) >= (F.col("n").cast("long") + F.col("n_b")) * PERCENT
+    return _can_link("n", "c", "n_b", "c_b") & F.coalesce(enough, F.lit(True)) & ~F.arrays_overlap("recent", "recent_b")
+
+
+def across(open_: DataFrame, met: DataFrame) -> DataFrame:
+    """Pairs of sets in different components that share a key and may link."""
+    rows = with_bounds(open_, met)
+    other = rows.select("k", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "c", "component", "shared", "recent")])
     apart = (F.col("component") != F.col("component_b")) & (F.col("key") < F.col("key_b"))
-    pairs = rows.join(other, (rows["k"] == other["k"]) & apart & _can_link("n", "c", "n_b", "c_b") & F.coalesce(enough, F.lit(True)) & ~F.arrays_overlap("recent", "recent_b"))
+    pairs = rows.join(other, (rows["k"] == other["k"]) & apart & may_link())
     return pairs.select(F.col("key").alias("a"), F.col("key_b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def every_pair(lists: DataFrame, met: DataFrame) -> DataFrame:
+    """All pairs (a < b) of sets that share a key and may link.
+
+    A hot key's sets are cut into blocks by hash; two blocks, or one with itself, meet in a cell of their own,
+    so that no task holds all pairs of a key.
+    """
+    rows = with_bounds(lists, met).withColumn("blocks", F.ceil(F.col("many") / CELL_SETS).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks").cast("long")).cast("int"))
+    held = ("key", "n", "c", "shared", "recent")
+    left = rows.select("k", *held, F.col("block").alias("lo"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("hi"))
+    right = rows.select("k", *[F.col(c).alias(f"{c}_b") for c in held], F.explode(F.sequence(F.lit(0), "block")).alias("lo"), F.col("block").alias("hi"))
+    once = (F.col("lo") != F.col("hi")) | (F.col("key") < F.col("key_b"))
+    pairs = left.join(right, ["k", "lo", "hi"]).where(once & may_link())
+    return pairs.select(F.least("key", "key_b").alias("a"), F.greatest("key", "key_b").alias("b")).distinct()
+
+
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every link of at least 75 % between distinct sets, once.
+
+    a and b are the sets' keys as in shingle_sets, a < b; n_a and n_b their sizes, copies_a and copies_b the
+    numbers of rows that have them, least_a and least_b the smallest ids of these (null if none has one), and
+    shared the size of the intersection, so the similarity is shared / (n_a + n_b - shared). Rows of one set
+    link with each other and are not listed.
+    """
+    rows = stored(shingle_sets(docs, id_col, text_col))
+    return _with_copies(_links_of(docs, text_col, rows), rows)
+
+
+def _links_of(docs: DataFrame, text_col: str, rows: DataFrame) -> DataFrame:
+    total = rows.agg(F.sum("n_shingles")).first()[0] or 0
+    if not total:
+        return docs.sparkSession.createDataFrame([], "a long, b long, n_a long, n_b long, shared long")
+    return set_links(docs, text_col, total)
+
+
+def _with_copies(found: DataFrame, rows: DataFrame) -> DataFrame:
+    own = rows.where("n_shingles > 0").groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("least"))
+    for side in ("a", "b"):
+        found = found.join(own.select(F.col("key").alias(side), F.col("copies").alias(f"copies_{side}"), F.col("least").alias(f"least_{side}")), side)
+    return found.select("a", "b", "n_a", "n_b", "copies_a", "copies_b", "least_a", "least_b", "shared")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_links: bool = False) -> DataFrame:
     """Every row's id, n_shingles and component_id, the smallest id that links of at least 75 % reach.
 
+    With `with_links`, the components come from every link, and n_links is added, the number of other rows a
+    row links with, rows of the same set among them. Without, the same components come without making links
+    between sets that others connect.
+
     Rows without words or text link with nothing and are their own component. Rows that repeat an id are
     rows of their own; null ids are kept and never the smallest unless alone. Equal texts share a
     component. An empty table gives an empty result. Other columns play no part.
     """
     rows = stored(shingle_sets(docs, id_col, text_col))
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
-    own = rows.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"))
+    own = rows.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    every = _links_of(docs, text_col, rows) if with_links else None
     if total:
-        found = linked_sets(docs, text_col, total)
+        found = components(every.select("a", "b")) if with_links else linked_sets(docs, text_col, total)
         classes = own.join(found, own["key"] == found["node"], "left").select("key", F.coalesce("component", "key").alias("class"), "least")
         classes = stored(classes)
         names = classes.join(classes.groupBy("class").agg(F.min("least").alias("component_id")), "class").select("key", "component_id")
     else:
         names = own.select("key", F.col("least").alias("component_id"))
+    if with_links:
+        both = every.select("a", "b").unionByName(every.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        others = both.join(own.select(F.col("key").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
+        counted = own.join(others, own["key"] == others["a"], "left").select("key", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+        names = names.join(counted, "key")
     named = rows.join(names, "key", "left")
+    n_links = [F.when(F.col("n_shingles") > 0, F.col("n_links")).otherwise(F.lit(0).cast("long")).alias("n_links")] if with_links else []
     return named.select(
-        F.col("id").alias(id_col), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
+        F.col("id").alias(id_col), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), *n_links
     )
 
 

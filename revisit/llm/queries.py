@@ -24,7 +24,8 @@ def op2_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"), with_links=True)
+    return found.select("doc_id", "n_shingles", "component_id")  # what its SQL has
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
