@@ -19,7 +19,10 @@ _ATTRS = re.compile(r"([a-zA-Z_:][-\w:.]*+)\s*+(?:=\s*+(?:\"([^\"]*+)\"|'([^']*+
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object select canvas audio video button datalist".split())
+#: Text up to the end tag, or the page's end without one.
+RAW = frozenset("script style noscript iframe textarea title".split())
+#: Read on like any element and left out with all inside. Without an end tag, only the text outside inner blocks goes.
+EXCLUDED = frozenset("template svg math object select canvas audio video button datalist".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var nobr img wbr input".split()
 )
@@ -37,6 +40,17 @@ REGIONS = "nav header footer aside form article main li table figure".split()
 REGION_PLACE = {t: i for i, t in enumerate(REGIONS)}
 
 
+def _raw_end(source: str, name: str, at: int) -> int:
+    """Where the page goes on after a raw element's end tag in either case."""
+    while (at := source.find("</", at)) >= 0:
+        stop = at + 2 + len(name)
+        if source[at + 2 : stop].lower() == name and source[stop : stop + 1] in "\t\n\f\r />":
+            gt = source.find(">", stop)
+            return gt + 1 if gt >= 0 else len(source)
+        at += 2
+    return len(source)
+
+
 class Page:
     """Block elements in page order and runs of text.
 
@@ -59,22 +73,30 @@ class Page:
         stack: list[tuple[str, int]] = [("html", 0)]  # open elements; inline ones have their block's node
         parts: list[str] = []
         linked = link_depth = 0
-        at, size, lower = 0, len(source), None
+        at, size = 0, len(source)
+        # open excluded elements: place in the stack and what had been read before them
+        marks: list[tuple[int, list[str], int, int, int, int]] = []
 
         def flush() -> None:
-            nonlocal linked
+            nonlocal linked, parts
             if parts:
                 text = " ".join(html.unescape("".join(parts)).split())
                 if text:
                     self.runs.append((stack[-1][1], text))
                     self.links.append(min(linked, len(text)))
-                parts.clear()
+                parts = []  # a new list, as marks hold the old one
             linked = 0
 
         def pop(n: int) -> None:
             nonlocal link_depth
             link_depth -= sum(1 for name, _ in stack[n:] if name == "a")
             del stack[n:]
+            while marks and marks[-1][0] >= n:
+                marks.pop()
+
+        def silent() -> bool:
+            """Whether text here stands in an excluded element and in no block inside it."""
+            return bool(marks) and next((name in EXCLUDED for name, _ in reversed(stack) if name in EXCLUDED or name in TAG_PLACE), False)
 
         while at < size:
             lt = source.find("<", at)
@@ -82,14 +104,16 @@ class Page:
                 lt = size
             if lt > at:
                 text = source[at:lt]
-                parts.append(text)
-                if link_depth > 0:
-                    linked += len(text)
+                if not silent():
+                    parts.append(text)
+                    if link_depth > 0:
+                        linked += len(text)
                 at = lt
                 continue
             found = _TOKEN.match(source, at)
             if found is None:  # a lone "<"
-                parts.append("<")
+                if not silent():
+                    parts.append("<")
                 at += 1
                 continue
             at = found.end()
@@ -101,12 +125,21 @@ class Page:
                         if stack[i][0] == name:
                             if name == "a":
                                 link_depth -= 1
-                            del stack[i]
+                            del stack[i]  # marks lie below: only inline elements are above i
                             break
                         if stack[i][0] not in INLINE:
                             break
                 elif name == "br":
                     parts.append(" ")
+                elif name in EXCLUDED:
+                    while any(stack[m[0]][0] == name for m in marks):
+                        place, before, n_parts, linked_, n_nodes, n_runs = marks[-1]
+                        own = stack[place][0] == name
+                        pop(place)
+                        if own:  # as if nothing had been read since
+                            parts, linked = before, linked_
+                            del parts[n_parts:], parent[n_nodes:], tag[n_nodes:], tokens[n_nodes:], self.runs[n_runs:], self.links[n_runs:]
+                            break
                 else:
                     for i in range(len(stack) - 1, 0, -1):
                         if stack[i][0] == name:
@@ -134,14 +167,22 @@ class Page:
                 continue
             attrs = found["attrs"] if found["start"] else found["attrs2"]
             if name in RAW:
+                if not attrs.endswith("/"):
+                    at = _raw_end(source, name, at)
+                continue
+            if name in EXCLUDED:
                 if name == "button" or name == "select":
                     parts.append(" ")
+                    for m in [m for m in marks if stack[m[0]][0] == name]:  # neither holds another: the open one lacks its end
+                        stack[m[0]] = ("", stack[m[0]][1])
+                        marks.remove(m)
                 if not attrs.endswith("/"):
-                    if lower is None:
-                        lower = source.lower() if len(source.lower()) == size else source
-                    close = lower.find("</" + name, at)
-                    gt = lower.find(">", close) if close >= 0 else -1
-                    at = gt + 1 if gt >= 0 else size
+                    marks.append((len(stack), parts, len(parts), linked, len(tag), len(self.runs)))
+                    stack.append((name, stack[-1][1]))
+                continue
+            if marks and name not in TAG_PLACE and silent():
+                if name not in VOID and not attrs.endswith("/"):
+                    stack.append((name, stack[-1][1]))
                 continue
             flush()
             if name in VOID:
