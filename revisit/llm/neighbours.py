@@ -3,8 +3,9 @@
 Vectors are cut in two halves, and each half is quantised by its own codebook, so that K centroids per
 half make K * K cells. A query's distance to a cell is the sum of its distances to the two centroids,
 here the negative inner products, of which the sum is the one with the rebuilt vector. A heap goes through
-pairs of centroids in the order of that sum until the cells hold a wanted share of all entries. Entries of
-these cells are reranked by the exact inner product in double precision.
+pairs of centroids in the order of that sum until the cells hold a wanted share of all distinct vectors, so
+that copies don't use it up, and k besides the query's own. Entries of these cells are reranked by the exact
+inner product in double precision.
 
 Codebooks are fitted on a bounded sample; every vector is indexed. Entries and queries meet in blocks of
 bounded size: a first-half centroid's entries, cut by a hash where there are many, against blocks of the
@@ -57,7 +58,7 @@ def assign(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
 
 
 def traversal(first: np.ndarray, second: np.ndarray, counts: np.ndarray, wanted: int) -> np.ndarray:
-    """A mask of the cells visited: pairs in ascending order of first[i] + second[j] until `wanted` entries."""
+    """A mask of the cells visited: pairs in ascending order of first[i] + second[j] until `wanted` are counted."""
     a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
     d1, d2 = first[a].tolist(), second[b].tolist()
     held = counts[np.ix_(a, b)].tolist()
@@ -91,8 +92,8 @@ def nearest(
     """The k nearest other rows of every row for which `queries` holds.
 
     Returns query_id, rank from 1, vec_id and score, the inner product in double precision; ties go to the
-    smaller id. `share` is the share of all entries that a query's cells hold at least: 1 makes the search
-    exact. Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
+    smaller id. `share` is the share of all distinct vectors that a query's cells hold at least: 1 makes the
+    search exact. Every query gets k rows, or all others if there are fewer. Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
     rows with a null id or with another length than most vectors. Of rows that repeat an id, the smallest
     vector stays. Repeated vectors under different ids are candidates of their own. Other columns play no
     part. No usable rows give an empty result.
@@ -108,7 +109,7 @@ def nearest(
     sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     if not sizes:
         return spark.createDataFrame([], out)
-    width, total = sizes[0]["n"], sizes[0]["count"]
+    width = sizes[0]["n"]
     rows = rows.where(F.size("v") == width)
     half = max(1, width // 2)
 
@@ -124,9 +125,11 @@ def nearest(
 
     indexed = stored(rows.mapInArrow(index, "id long, v array<double>, query boolean, i int, j int"))
     counts = np.zeros((len(books[0]), len(books[1])), dtype=np.int64)
-    for i, j, n in indexed.groupBy("i", "j").count().collect():  # a row per cell
-        counts[i, j] = n
-    wanted = int(np.ceil(share * total))
+    distinct = np.zeros_like(counts)
+    per_cell = indexed.groupBy("i", "j", F.xxhash64("v").alias("h")).count().groupBy("i", "j").agg(F.sum("count"), F.count(F.lit(1)))
+    for i, j, n, kinds in per_cell.collect():  # a row per cell
+        counts[i, j], distinct[i, j] = n, kinds
+    wanted = max(k + 1, int(np.ceil(share * distinct.sum())))
     # blocks per first-half centroid, so that a block's entries are bounded
     cuts = np.maximum(1, -(-counts.sum(1) // ENTRY_BLOCK)).tolist()
     asked = indexed.where("query").count()
@@ -137,7 +140,7 @@ def nearest(
             q, ids = _matrix(batch.column(1)), batch.column(0).to_numpy()
             first, second = -(q[:, :half] @ books[0].T), -(q[:, half:] @ books[1].T)
             for r in range(len(q)):
-                taken = np.packbits(traversal(first[r], second[r], counts, wanted), axis=1)
+                taken = np.packbits(traversal(first[r], second[r], distinct, wanted), axis=1)
                 some = np.flatnonzero(taken.any(1))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(some), ids[r])), pa.array([q[r]] * len(some), pa.list_(pa.float64())),
