@@ -29,17 +29,19 @@ def like_target(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; of repeated rows, one.
+    """One document of each group of near duplicates: that with the smallest id, those without an id last.
 
-    Documents without an id stay, as no decision can be matched to them.
+    Rows are told apart by a key of their own, so ids may be missing or repeat. Of equal ids in a group the
+    smallest hash of the text decides. Documents without words stay; of repeated ones with an id, one.
     """
-    found = jaccard.near_duplicates(docs)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    marked = docs.withColumn("text_key", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    copy = F.row_number().over(W.partitionBy("doc_id", "text_key").orderBy(F.lit(0)))
-    named = marked.where("doc_id is not null").join(keep, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    single = named.withColumn("copy", copy).where("copy = 1").select(docs.columns)
-    return single.unionByName(docs.where("doc_id is null"))
+    keyed = stored(docs.withColumn("near_row", F.monotonically_increasing_id()))
+    found = jaccard.near_duplicates(keyed, id_col="near_row")
+    named = keyed.select("near_row", "doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key")).join(found, "near_row")
+    alone = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
+    group = [F.when(~alone, F.col("component_id")).alias("g"), F.when(alone, F.col("doc_id")).alias("g_id"), F.when(alone, F.col("text_key")).alias("g_text")]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "near_row"))
+    keep = named.groupBy(*group).agg(first.alias("first")).select(F.col("first.near_row").alias("near_row"))
+    return keyed.join(keep, "near_row", "left_semi").select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,7 +79,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packed),
 ]
 
-#: Classifiers, sampling and tokenizers are beyond SQL; tests compare the stages with brute force.
+#: Classifiers, sampling and tokenizers are beyond SQL; tests compare the operators, and the stage of near duplicates, with brute force.
 ORACLE_SQL = None
 
 
