@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revisit.llm import extraction, fingerprints, jaccard, merkle, mixing, neighbours, packing, quality, scoring, simhash, toxicity, warc
+from revisit.llm import extraction, fingerprints, jaccard, merkle, mining, mixing, neighbours, packing, quality, scoring, simhash, toxicity, warc
 from revisit.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -62,6 +62,10 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mining.mined(table(spark, sf_dir, "embeddings"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proved(table(spark, sf_dir, "documents"))
 
@@ -70,7 +74,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_scoring, op2_revisits, op3_jaccard, op4_fingerprints, op5_quality, op6_toxicity, op7_extraction, op8_packing, op9_mixing, op10_neighbours,
-        op11_simhash, op13_manifest,
+        op11_simhash, op12_negatives, op13_manifest,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op2_revisits": warc.SQL, "op3_jaccard": jaccard.SQL, "op9_mixing": mixing.SQL, "op13_manifest": merkle.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op2_revisits": warc.SQL, "op3_jaccard": jaccard.SQL, "op9_mixing": mixing.SQL, "op12_negatives": mining.SQL, "op13_manifest": merkle.SQL,
+}
