@@ -11,7 +11,7 @@ left out before training without changing the result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revisit.llm import words
-from revisit.llm.common import remainder
+from revisit.llm.common import remainder, stored
 
 BITS = 30
 TRAIN_ROWS = 10_000
@@ -30,10 +30,10 @@ L1_LEAST, L1_PER_ROW = 1.5, 0.002  # the L1 strength grows with the training row
 MARKS_AS_SPACE = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 
 
-def features(texts: list[bytes | None]) -> Iterator[np.ndarray]:
+def features(texts: Sequence[bytes | None]) -> Iterator[np.ndarray]:
     """Each text's distinct features, ascending; none for an empty or null text."""
     salts = words.stream(3, 61) | np.uint64(1)
-    for _, hashes, offsets in words.hashed([t and t.translate(MARKS_AS_SPACE) for t in texts]):
+    for _, hashes, offsets in words.hashed(t and t.translate(MARKS_AS_SPACE) for t in texts):
         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
             h = hashes[a:b]
             kinds = [h * salts[0]]
@@ -44,16 +44,21 @@ def features(texts: list[bytes | None]) -> Iterator[np.ndarray]:
             yield out[np.concatenate(([True], out[1:] != out[:-1]))] if len(out) else out
 
 
+def strength(rows: int) -> float:
+    """The L1 strength for so many training rows."""
+    return max(L1_LEAST, L1_PER_ROW * rows)
+
+
 def ftrl(rows: list[np.ndarray], labels: np.ndarray, alpha: float = ALPHA, beta: float = BETA, l1: float | None = None, l2: float = L2, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray, float]:
     """Features with a weight other than zero, ascending, their weights, and the bias."""
-    l1 = max(L1_LEAST, L1_PER_ROW * len(rows)) if l1 is None else l1
-    every = np.concatenate([*rows, np.zeros(0, dtype=np.uint64)])
-    names, inverse, seen = np.unique(every, return_inverse=True, return_counts=True)
-    able = seen * epochs > l1
-    slot = np.cumsum(able) - 1
-    at = np.cumsum([0, *map(len, rows)])
-    kept = [slot[x[able[x]]] for x in (inverse[a:b] for a, b in zip(at, at[1:]))]
-    names = names[able]
+    l1 = strength(len(rows)) if l1 is None else l1
+    names, seen = np.unique(np.concatenate([*rows, np.zeros(0, dtype=np.uint64)]), return_counts=True)
+    names = names[seen * epochs > l1]
+    kept = []
+    for x in rows:
+        place = np.searchsorted(names, x)
+        place[place == len(names)] = 0
+        kept.append(place[names[place] == x].astype(np.int32) if len(names) else np.zeros(0, dtype=np.int32))
     z, n = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     bias = len(names)  # the bias has no L1 part
 
@@ -80,8 +85,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Labels other than 0 and 1 and null ids are left out; an id labelled twice counts once, as 1 if any
     label says so; of documents that repeat an id, the smallest text counts. Without any usable row the
-    model has no weights and the bias 0. One task learns, as the method goes row by row over a bounded
-    sample; only non-zero weights come to the driver.
+    model has no weights and the bias 0. Features are counted first, so that the one task that learns row by
+    row gets only those that enough texts have; only these and the weights come to the driver. A feature
+    that does is in more than a share of L1_PER_ROW / EPOCHS of the training rows, so there are fewer of them
+    than the mean text has features, times 2,000.
     """
     chosen = (
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
@@ -89,26 +96,48 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .withColumn("place", F.xxhash64("id")).orderBy("place", "id").limit(rows)
     )
     # `rows` bounds the broadcast
-    sample = docs.join(F.broadcast(chosen), docs[id_col] == chosen["id"]).select("place", "id", "label", F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    sample = docs.join(F.broadcast(chosen), docs[id_col] == chosen["id"]).select("place", "id", "label", F.coalesce(docs[text_col], F.lit("")).cast("binary").alias("text"))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [x.astype("<u4").tobytes() for x in features(words.as_bytes(batch.column(3)))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.binary())], names=["place", "id", "label", "x"])
 
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = np.concatenate([np.zeros(0, "<u4"), *(np.frombuffer(x.as_py(), dtype="<u4") for x in batch.column(0))])
+            names, seen = np.unique(every, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64)), pa.array(seen)], names=["feature", "seen"])
+
+    kinds = "place long, id long, label int, x binary"
+    one = sample.mapInArrow(featured, kinds).groupBy("place", "id").agg(F.min(F.struct("x", "label")).alias("r"))
+    one = stored(one.select("place", "id", "r.label", "r.x"))
+    many = one.count()
+    if not many:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0), 0.0
+    counts = one.select("x").mapInArrow(occurrences, "feature long, seen long").groupBy("feature").agg(F.sum("seen").alias("seen"))
+    able = counts.where(F.col("seen") * EPOCHS > strength(many)).select("feature").toArrow()
+    able = np.sort(able.column("feature").to_numpy()).astype("<u4")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for raw in batch.column(3):
+                x = np.frombuffer(raw.as_py(), dtype="<u4")
+                place = np.minimum(np.searchsorted(able, x), max(0, len(able) - 1))
+                found.append(x[able[place] == x].tobytes() if len(able) else b"")
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.binary())], names=["place", "id", "label", "x"])
+
     def learn(table: pa.Table) -> pa.Table:
         table = table.sort_by([("place", "ascending"), ("id", "ascending")])
-        x = [np.frombuffer(b, dtype="<u4").astype(np.uint64) for b in table.column("x").to_pylist()]
+        x = [np.frombuffer(b.as_py(), dtype="<u4") for b in table.column("x")]
         names, w, bias = ftrl(x, table.column("label").to_numpy().astype(float))
         return pa.table({"feature": np.append(names.astype(np.int64), -1), "weight": np.append(w, bias)})
 
-    one = sample.mapInArrow(featured, "place long, id long, label int, x binary").groupBy("place", "id").agg(F.min(F.struct("x", "label")).alias("r"))
-    one = one.select("place", "id", "r.label", "r.x", F.lit(0).alias("model"))
-    learned = one.groupBy("model").applyInArrow(learn, "feature long, weight double").orderBy("feature").toArrow()
-    if not learned.num_rows:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0), 0.0
+    learned = one.mapInArrow(cut, kinds).withColumn("model", F.lit(0)).groupBy("model").applyInArrow(learn, "feature long, weight double").toArrow()
     names, w = learned.column("feature").to_numpy(), learned.column("weight").to_numpy()
-    return names[1:].astype(np.uint64), w[1:], float(w[0])
+    order = np.argsort(names)
+    return names[order][1:].astype(np.uint64), w[order][1:], float(w[order][0])
 
 
 def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text_col: str = "text", score_col: str = "score") -> DataFrame:

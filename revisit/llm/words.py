@@ -12,8 +12,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21  # text that is hashed at once; bounds a task's memory whatever a text's length
+CHUNK_BYTES = 1 << 19  # text that is hashed at once; bounds a task's memory whatever a text's length
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -109,7 +110,7 @@ def _hash_buffer(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return spans(running(buffer), starts, ends), starts
 
 
-def chunked(texts: Sequence[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
+def chunked(texts: Iterable[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of texts of CHUNK_BYTES together at most, with the first one's index; a longer text stands alone."""
     group: list[bytes] = []
     first = held = 0
@@ -124,7 +125,7 @@ def chunked(texts: Sequence[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
         yield first, group
 
 
-def hashed(texts: Sequence[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def hashed(texts: Iterable[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For runs of texts: the first one's index, the hashes of all words, and offsets per text (one more than texts).
 
     A null or empty text has no words.
@@ -147,22 +148,25 @@ KINDS = np.array([0 if SPACE[c] else 1 if c >= 0x80 or chr(c).isalnum() else 2 f
 def hashed_runs(texts: Sequence[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """As hashed(), for runs of letters and digits and runs of marks, in their own case.
 
-    A run of more than CHUNK_BYTES counts as several.
+    A long text is read in parts that end between words, so no run is cut.
     """
     for first, group in chunked(texts):
         whole = b" ".join(group)
-        parts = [whole[i : i + CHUNK_BYTES] for i in range(0, len(whole), CHUNK_BYTES)] or [b""]
-        hashes, starts = [], []
-        for i, part in enumerate(parts):
-            buffer = np.frombuffer(part, dtype=np.uint8)
-            kind = KINDS[buffer]
+        hashes, starts, at = [], [], 0
+        for part in parts(whole) if len(whole) > CHUNK_BYTES else [whole]:
+            kind = KINDS[np.frombuffer(part, dtype=np.uint8)]
             edges = np.flatnonzero(np.diff(np.concatenate(([-1], kind, [-1]))))
             begin, end = edges[:-1], edges[1:]
-            keep = kind[begin] > 0
-            hashes.append(spans(running(buffer), begin[keep], end[keep]))
-            starts.append(begin[keep] + i * CHUNK_BYTES)
-        at = np.cumsum([0, *(len(t) + 1 for t in group)])
-        yield first, np.concatenate(hashes), np.searchsorted(np.concatenate(starts), at)
+            keep = kind[begin] > 0 if len(part) else np.zeros(0, dtype=bool)
+            begin, end = begin[keep], end[keep]
+            if len(part) > CHUNK_BYTES + 1:
+                hashes.append(long_hashes(part, begin, end))
+            else:
+                hashes.append(spans(running(np.frombuffer(part, dtype=np.uint8)), begin, end))
+            starts.append(begin + at)
+            at += len(part)
+        edges = np.cumsum([0, *(len(t) + 1 for t in group)])
+        yield first, np.concatenate(hashes), np.searchsorted(np.concatenate(starts), edges)
 
 
 def shingled(hashes: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -208,6 +212,15 @@ def distinct(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return values[keep], np.concatenate(([0], np.cumsum(keep)))[offsets]
 
 
-def as_bytes(column: Iterable) -> list[bytes | None]:
-    """A text or binary Arrow column as bytes."""
-    return [x.encode() if isinstance(x, str) else x for x in column.to_pylist()]
+class as_bytes(Sequence):  # noqa: N801
+    """A text or binary Arrow column, whose values are made one by one where they are read."""
+
+    def __init__(self, column: pa.Array):
+        self.column = column
+
+    def __len__(self) -> int:
+        return len(self.column)
+
+    def __getitem__(self, i: int) -> bytes | None:
+        value = self.column[i].as_py()
+        return value.encode() if isinstance(value, str) else value
