@@ -22,6 +22,7 @@ from pyspark.sql.window import Window as W
 from revisit.llm.common import WORD, stored
 
 SHARD_ROWS = 32_768
+SPREADS = 4096  # at least
 MOST_BLOCK = 64
 WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -100,8 +101,11 @@ def mix(
     words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("bigint")
     sized = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words.alias("size")))
 
+    # many more spreads than shards, whatever the number of rows, so that shards are even
+    spreads = SPREADS << max(0, (sized.count() * 16 // SHARD_ROWS // SPREADS).bit_length())
+
     per_shard = (
-        sized.withColumn("spread", F.conv(F.substring(seeded(F.col("id"), seed), 1, 8), 16, 10).cast("bigint") % 4096)
+        sized.withColumn("spread", F.conv(F.substring(seeded(F.col("id"), seed), 1, 8), 16, 10).cast("bigint") % spreads)
         .groupBy("source", "spread")
         .agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs"))
     )
@@ -135,7 +139,7 @@ def mix(
     placed = (
         sized.join(sources.select("source", "source_rank", "source_size", "target", "shards"), sized["source"].eqNullSafe(sources["source"]))
         .select("id", "size", "source_rank", "source_size", "target", "shards", seeded(F.col("id"), seed).alias("place"))
-        .withColumn("shard", F.conv(F.substring("place", 1, 8), 16, 10).cast("bigint") % 4096 % F.col("shards"))
+        .withColumn("shard", F.conv(F.substring("place", 1, 8), 16, 10).cast("bigint") % spreads % F.col("shards"))
         .drop("shards")
     )
     before = W.partitionBy("source_rank", "shard").orderBy("place", "id", "size").rowsBetween(W.unboundedPreceding, -1)

@@ -133,8 +133,8 @@ def resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 
     `carry` names the columns of `docs` to return with them, all if None; the others are not written either.
 
-    Target documents are those whose id is labelled 1; of more than `target_rows` such labels, a share of
-    the ids that is chosen by hash, as many as that at most. All documents are counted, weighed and sampled. Null and empty texts have the log weight 0, null
+    Target documents are those whose id is labelled 1; of more than `target_rows` such ids, a share
+    that is chosen by hash, as many as that at most. All documents are counted, weighed and sampled. Null and empty texts have the log weight 0, null
     ids are never labelled, rows that repeat an id and text have equal keys and are ranked next to each
     other, and an empty table gives an empty result. Without any target document every row stays.
     Columns of the two added names are replaced.
@@ -143,13 +143,13 @@ def resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     tie = "sample_tie"
     while tie in docs.columns:
         tie += "_"
-    good = labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("good_id"))
+    good = labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("good_id")).distinct()
     many = good.count()
     if many > target_rows:
         place = F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), "good_id"), 11)
         good = good.where(place < int(0.95 * target_rows / many * (1 << 53)))
     # about 0.95 * target_rows ids at most: the hash keeps them within a few times the square root of that
-    listed = F.broadcast(good.distinct())
+    listed = F.broadcast(good)
     marked = docs.select(F.col(id_col), F.col(text_col)).join(listed, F.col(id_col) == F.col("good_id"), "left")
     target, raw = counted(marked, F.col("good_id").isNotNull(), text_col)
     ratio = log_ratio(target, raw) if target.sum() else np.zeros(len(raw))
