@@ -242,17 +242,36 @@ on_tables("meds_long", O.sql("SELECT * FROM meds"), lambda t: t["cln_encounter_m
     "quantity_fences",
     """SELECT q1 AS quantity_q1, q3 AS quantity_q3, q3 + 1.5 * (q3 - q1) AS quantity_fence, m AS quantity_median,
   (SELECT CAST(count(*) AS BIGINT) FROM lineitem WHERE l_quantity > q3) AS above_q3
-FROM (SELECT quantile_cont(CAST(l_quantity AS INTEGER), 0.25) AS q1, quantile_cont(CAST(l_quantity AS INTEGER), 0.75) AS q3,
-  quantile_cont(CAST(l_quantity AS INTEGER), 0.5) AS m FROM lineitem)""",
+FROM (SELECT quantile_cont(l_quantity, 0.25) AS q1, quantile_cont(l_quantity, 0.75) AS q3, quantile_cont(l_quantity, 0.5) AS m FROM lineitem)""",
 )
 def quantity_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem").select(F.col("l_quantity").cast("int").alias("quantity"))
+    items = table(spark, sf_dir, "lineitem").select(F.col("l_quantity").alias("quantity"))
     fence = quantiles.upper_fences(items, ["quantity"], reach=1.5)
     median = quantiles.quantiles(items, ["quantity"], [0.5]).select("value")
     above = items.where(F.col("quantity") > fence.select("quantity_q3").scalar()).agg(F.count(F.lit(1)))
     return fence.select("*", median.scalar().alias("quantity_median"), above.scalar().alias("above_q3"))
 
 
+@on_folder(
+    "numeric_quantiles",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS name, p::DOUBLE AS p, (SELECT quantile_cont({value}, {p}) FROM {source})::DOUBLE AS value FROM (SELECT {p} AS p)"
+        for name, value, source in (
+            ("price", "l_extendedprice", "lineitem"), ("loss", "-l_extendedprice * l_discount", "lineitem"), ("line", "l_orderkey * 1000000 - l_partkey", "lineitem"), ("value", "value", "events"),
+        )
+        for p in (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)
+    ),
+)
+def numeric_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of doubles, negative ones among them, and of whole numbers of 64 bits."""
+    wanted = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_extendedprice").alias("price"), (-F.col("l_extendedprice") * F.col("l_discount")).alias("loss"), (F.col("l_orderkey") * 1000000 - F.col("l_partkey")).alias("line")
+    )
+    events = quantiles.quantiles(table(spark, sf_dir, "events"), ["value"], wanted)
+    return quantiles.quantiles(items, ["price", "loss", "line"], wanted).unionByName(events)
+
+
 # Star schema ---------------------------------------------------------------------------------
 
 on_tables("dim_age_group", O.sql("SELECT * FROM dim_age"), lambda t: star.dim_age_group(t["cln_encounters"]))
@@ -351,6 +370,21 @@ def segment_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.rate_by(view, ["c_mktsegment", "n_name"], wanted)
 
 
+@on_folder(
+    "price_means",
+    """SELECT l_returnflag, l_linestatus, CAST(count(*) AS BIGINT) AS lines, round(favg(l_extendedprice / 3), 2) AS avg_third,
+round(favg(l_tax * 1e-9 + l_extendedprice * 1e9), 2) AS avg_wide, round(100 * fsum(l_discount / 7) / sum(fsum(l_discount / 7)) OVER (), 2) AS discount_share_pct
+FROM lineitem GROUP BY l_returnflag, l_linestatus""",
+)
+def price_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means and shares of doubles of any number of places."""
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_linestatus", (F.col("l_extendedprice") / 3).alias("third"), (F.col("l_tax") * 1e-9 + F.col("l_extendedprice") * 1e9).alias("wide"), (F.col("l_discount") / 7).alias("part")
+    )
+    wanted = [rates.rows("lines"), rates.average("avg_third", "third"), rates.average("avg_wide", "wide"), rates.share_of_total("discount_share_pct", "part")]
+    return rates.rate_by(items, ["l_returnflag", "l_linestatus"], wanted)
+
+
 @on_folder(
     "top_parts",
     f"""SELECT p_name, p_brand, CAST(count(*) AS BIGINT) AS lines, CAST(sum(returned) AS BIGINT) AS returned_lines,

@@ -1,21 +1,115 @@
-"""Exact interpolated quantiles and outlier fences for whole-number columns."""
+"""Exact interpolated quantiles and outlier fences for columns of any numeric type.
+
+Short whole numbers are counted by value in one job. Other types are found by radix selection: a value has a
+key of 64-bit whole numbers in the same order, and each level counts 16 bits of it among the rows that agree
+with a wanted rank in the bits before. Counts are combined map-side, so what is shuffled is at most 65,536
+rows per task and wanted rank. Levels end as soon as few enough rows are left.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK_BITS = 16
 
 
+SHORT = ("integer", "short", "byte")
+
+
 def _rank_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """``(name, p, place, end, value)``: the values at the ranks just below and above each wanted place."""
-    wide = [f.name for f in df.select(*columns).schema.fields if f.dataType.typeName() not in ("integer", "short", "byte")]
-    if wide:
-        raise TypeError(f"quantiles need INT columns, got {wide}")
+    kinds = [f.dataType for f in df.select(*columns).schema.fields]
+    other = [c for c, kind in zip(columns, kinds) if not isinstance(kind, T.NumericType)]
+    if other:
+        raise TypeError(f"quantiles need numbers, got {other}")
+    if all(kind.typeName() in SHORT for kind in kinds):
+        return _counted_values(df, columns, probabilities)
+    return _selected_values(df, columns, kinds, probabilities)
+
+
+def ordered_key(x: Column, kind: T.DataType) -> list[Column]:
+    """Whole numbers of 64 bits that stand, one after the other, in the order of the values; equal for 0 and -0."""
+    if isinstance(kind, T.DecimalType):
+        keys, rest = [], x.cast(f"decimal(38,{kind.scale})")
+        for digits in (36, 18):
+            if kind.precision > digits:
+                unit = F.lit(Decimal(1).scaleb(digits - kind.scale)).cast(f"decimal(38,{kind.scale})")
+                keys.append(F.call_function("div", rest, unit))
+                rest = rest % unit
+        return [*keys, F.call_function("div", rest, F.lit(Decimal(1).scaleb(-kind.scale)).cast(f"decimal(38,{kind.scale})"))]
+    if isinstance(kind, T.IntegralType):
+        return [x.cast("bigint")]
+    size = F.abs(x.cast("double"))
+    finite = F.when(size < F.lit(float("inf")), size).otherwise(F.lit(1.0))
+    guess = F.floor(F.log2(finite)).cast("int")
+    two_to = lambda n: F.pow(F.lit(2.0), n)  # noqa: E731 - exact for whole numbers
+    exponent = guess + F.when(two_to(guess) > finite, -1).when((guess < 1023) & (two_to(guess + 1) <= finite), 1).otherwise(0)
+    normal = ((exponent + 1023).cast("bigint") * (1 << 52)) + ((finite / two_to(exponent) - 1) * float(1 << 52)).cast("bigint")
+    tiny = (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("bigint")  # below 2**-1022 there is no exponent left
+    key = F.when(size < F.lit(2.0**-1022), tiny).when(size < F.lit(float("inf")), normal).otherwise(F.lit(2047 << 52))
+    return [F.when(F.isnan(x.cast("double")), F.lit((2048 << 52) - 1)).when(x < 0, -key).otherwise(key)]
+
+
+def _digits(keys: list[Column]) -> list[Column]:
+    """16 bits each, from the top; the top one of a key has its sign."""
+    return [part for k in keys for part in (F.shiftright(k, 48), *(F.shiftright(k, n).bitwiseAND(F.lit(0xFFFF)) for n in (32, 16, 0)))]
+
+
+def _selected_values(df: DataFrame, columns: Sequence[str], kinds: Sequence[T.DataType], probabilities: Sequence[float]) -> DataFrame:
+    """The same by radix selection; a job per level, of which a row per wanted rank comes to the driver."""
+    spark = df.sparkSession
+    digits = [_digits(ordered_key(F.col(c), kind)) for c, kind in zip(columns, kinds)]
+    levels = max(map(len, digits))
+    cells = [
+        F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("value"), *[(d[j] if j < len(d) else F.lit(0)).cast("int").alias(f"d{j}") for j in range(levels)])
+        for i, (c, d) in enumerate(zip(columns, digits))
+    ]
+    rows = df.where(" OR ".join(f"`{c}` IS NOT NULL" for c in columns)).select(F.inline(F.array(*cells))).where("value IS NOT NULL")
+
+    def inside(prefixes: dict[tuple[int, ...], int], level: int) -> DataFrame:
+        """The rows of any of the prefixes, with its number: a row per wanted rank at most is broadcast."""
+        names = ["c", *[f"d{j}" for j in range(level)]]
+        known = spark.createDataFrame([(*prefix, i) for prefix, i in prefixes.items()], ", ".join(f"{n} int" for n in [*names, "prefix"]))
+        return rows.join(F.broadcast(known), names)
+
+    def located(counts: DataFrame, by: str, wanted: list[tuple]) -> dict[int, tuple]:
+        """For each wanted rank the group it falls in: its value of ``by``, the rows before it, and its rows."""
+        up_to = W.partitionBy("prefix").orderBy(by)
+        counts = counts.withColumn("through", F.sum("n").over(up_to)).withColumn("before", F.col("through") - F.col("n"))
+        asked = spark.createDataFrame([(i, prefix, rank) for i, (prefix, rank) in enumerate(wanted)], "want int, of int, rank bigint")
+        found = counts.join(F.broadcast(asked), (F.col("prefix") == F.col("of")) & (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("through")))
+        return {r["want"]: (r[by], r["before"], r["n"]) for r in found.select("want", by, "before", "n").collect()}
+
+    totals = {r["c"]: r["n"] for r in rows.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ranks = []  # column, probability, place, end, rank among the rows of its prefix, prefix
+    for c, total in totals.items():
+        for p in map(float, probabilities):
+            place = p * (total - 1)
+            ranks += [(c, p, place, end, int(rank), (c,)) for end, rank in (("low", math.floor(place)), ("high", math.ceil(place)))]
+    level, most = 0, max(totals.values(), default=0)
+    while level < levels and most > 1 << BLOCK_BITS:
+        prefixes = {prefix: i for i, prefix in enumerate(dict.fromkeys(r[-1] for r in ranks))}
+        counts = inside(prefixes, level).groupBy("prefix", f"d{level}").agg(F.count(F.lit(1)).alias("n"))
+        found = located(counts, f"d{level}", [(prefixes[r[-1]], r[-2]) for r in ranks])
+        ranks = [(*r[:-2], r[-2] - found[i][1], (*r[-1], found[i][0])) for i, r in enumerate(ranks)]
+        level, most = level + 1, max(n for _, _, n in found.values())
+    out = []
+    if ranks:
+        prefixes = {prefix: i for i, prefix in enumerate(dict.fromkeys(r[-1] for r in ranks))}
+        counts = inside(prefixes, level).groupBy("prefix", "value").agg(F.count(F.lit(1)).alias("n"))
+        found = located(counts, "value", [(prefixes[r[-1]], r[-2]) for r in ranks])
+        out = [(columns[c], p, place, end, found[i][0]) for i, (c, p, place, end, _, _) in enumerate(ranks)]
+    return spark.createDataFrame(out, "name string, p double, place double, end string, value double")
+
+
+def _counted_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     counts = (
         df.select(*[F.col(c).cast("int").alias(c) for c in columns])
         .unpivot([], list(columns), "name", "value")
@@ -48,11 +142,12 @@ def _rank_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """``(name, p, value)``: linearly interpolated quantiles of 32-bit whole-number columns, NULL ignored.
+    """``(name, p, value)``: linearly interpolated quantiles, NULL ignored and NaN above all numbers.
 
-    The table shrinks to one count per distinct value. Values are pooled in blocks of 65,536; the
-    block that holds a wanted rank is found first, then the value inside it. No task therefore
-    orders more than 65,536 rows per column and wanted rank, whatever the number of distinct values.
+    Columns of 32-bit whole numbers shrink to one count per distinct value. Values are pooled in blocks of
+    65,536; the block that holds a wanted rank is found first, then the value inside it. With any other type among the
+    columns, all are found by radix selection. No task therefore orders more than 65,536 rows per
+    column and wanted rank, whatever the number of distinct values. Interpolation is between doubles.
     """
     ends = _rank_values(df, columns, probabilities)
     return ends.groupBy("name", "p").agg(_between(F.lit(True)).alias("value"))

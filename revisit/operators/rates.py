@@ -15,15 +15,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revisit.functions.rounding import mean, percent
+from revisit.operators import exact_sums as X
+
+Gathered = Callable[..., Column]  # a sum's digits by its part's name, and over all groups with ``True``
 
 
 @dataclass(frozen=True)
 class Measure:
-    """``parts`` maps part names to SQL aggregates; ``finish`` turns the parts into the result."""
+    """``parts`` maps part names to SQL aggregates; ``finish`` turns the parts into the result.
+
+    ``exact`` does so where a part is a sum of doubles, or of decimals of more than six places.
+    """
 
     name: str
     parts: Mapping[str, str]
     finish: Callable[[], Column]
+    exact: Callable[[Gathered], Column] | None = None
 
 
 ROWS = {"rows": "count(1)"}
@@ -34,8 +41,10 @@ def rows(name: str) -> Measure:
 
 
 def total(name: str, column: str) -> Measure:
-    part = f"sum_{column}"
-    return Measure(name, {part: f"sum({column})"}, lambda: F.col(part))
+    """The sum: a whole number or decimal, or the double nearest to the exact sum of doubles."""
+    part, known = f"sum_{column}", {f"count_{column}": f"count({column})"}
+    exact = lambda of: X.nearest_double(of(part), F.col(f"count_{column}"))
+    return Measure(name, {part: f"sum({column})", **known}, lambda: F.col(part), exact)
 
 
 def total_if(name: str, condition: str) -> Measure:
@@ -49,11 +58,13 @@ def _sum_and_count(column: str) -> dict[str, str]:
 
 def flag_percent(name: str, flag: str) -> Measure:
     """Share of ones among the rows where the flag is known."""
-    return Measure(name, _sum_and_count(flag), lambda: percent(F.col(f"sum_{flag}"), F.col(f"count_{flag}")))
+    exact = lambda of: X.exact_percent(of(f"sum_{flag}"), F.col(f"count_{flag}"))
+    return Measure(name, _sum_and_count(flag), lambda: percent(F.col(f"sum_{flag}"), F.col(f"count_{flag}")), exact)
 
 
 def average(name: str, column: str) -> Measure:
-    return Measure(name, _sum_and_count(column), lambda: mean(F.col(f"sum_{column}"), F.col(f"count_{column}")))
+    exact = lambda of: X.exact_mean(of(f"sum_{column}"), F.col(f"count_{column}"))
+    return Measure(name, _sum_and_count(column), lambda: mean(F.col(f"sum_{column}"), F.col(f"count_{column}")), exact)
 
 
 def share_of_rows(name: str) -> Measure:
@@ -66,40 +77,37 @@ def share_of_rows(name: str) -> Measure:
 
 def share_of_total(name: str, column: str) -> Measure:
     part = f"sum_{column}"
-    return Measure(name, {part: f"sum({column})"}, lambda: percent(F.col(part), F.sum(part).over(W.partitionBy())))
+    exact = lambda of: X.exact_share(of(part), of(part, True))
+    return Measure(name, {part: f"sum({column})"}, lambda: percent(F.col(part), F.sum(part).over(W.partitionBy())), exact)
 
 
 def part_aggregates(df: DataFrame, measures: Sequence[Measure]) -> list[Column]:
-    """The measures' parts as aggregates that are exact: whole numbers, or decimals for other numbers.
+    """The measures' parts as aggregates that are exact: whole numbers, decimals, or digits of doubles.
 
-    Doubles are added up as decimals of six places; one that has more stops the run, as its sum
-    would depend on the order of the rows.
+    A sum of doubles becomes several columns (see :mod:`exact_sums`) and costs a pass that finds the sizes.
     """
     needed: dict[str, str] = {}
     for measure in measures:
         needed.update(measure.parts)
     kinds = {f.name: f.dataType for f in df.agg(*[F.expr(sql).alias(part) for part, sql in needed.items()]).schema}
-    return [_exact(sql, kinds[part]).alias(part) for part, sql in needed.items()]
-
-
-def _exact(sql: str, kind: T.DataType) -> Column:
-    if isinstance(kind, T.IntegralType):
-        return F.expr(sql).cast("bigint")
-    if isinstance(kind, T.DecimalType):
-        if kind.scale > 6:
-            raise TypeError(f"{sql}: more than six decimal places can't be averaged exactly")
-        return F.expr(sql)
-    if isinstance(kind, T.FractionalType) and sql.startswith("sum(") and sql.endswith(")"):
-        value = F.expr(sql[4:-1])
-        decimal = value.cast("decimal(28,6)")
-        inexact = F.raise_error(F.lit(f"{sql}: a value has more than six decimal places")).cast("decimal(28,6)")
-        return F.sum(F.when(value.isNull() | (decimal.cast("double") == value), decimal).otherwise(inexact))
-    raise TypeError(f"{sql}: {kind.simpleString()} can't be added up exactly")
+    out, doubles = [], {}
+    for part, sql in needed.items():
+        kind = kinds[part]
+        if isinstance(kind, T.IntegralType):
+            out.append(F.expr(sql).cast("bigint").alias(part))
+        elif isinstance(kind, T.DecimalType):
+            out.append(F.expr(sql).alias(part))
+        elif isinstance(kind, T.FractionalType) and sql.startswith("sum(") and sql.endswith(")"):
+            doubles[part] = F.expr(sql[4:-1])
+        else:
+            raise TypeError(f"{sql}: {kind.simpleString()} can't be added up exactly")
+    return out + (X.digit_sums(df, doubles) if doubles else [])
 
 
 def pool_parts(parts: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """Add up parts over coarser keys."""
-    names = list(dict.fromkeys(part for measure in measures for part in measure.parts))
+    wanted = dict.fromkeys(part for measure in measures for part in measure.parts)
+    names = [name for part in wanted for name in X.parts_of(parts.columns, part)]
     return parts.groupBy(*keys).agg(*[F.sum(part).alias(part) for part in names])
 
 
@@ -107,7 +115,20 @@ def finish(parts: DataFrame, keys: Sequence[str], measures: Sequence[Measure], m
     """Results from parts; ``min_rows`` keeps groups of at least that many rows."""
     if min_rows is not None:
         parts = parts.where(F.col("rows") >= min_rows)
-    return parts.select(*keys, *[measure.finish().alias(measure.name) for measure in measures])
+    kinds = {f.name: f.dataType for f in parts.schema}
+
+    def by_digits(part: str) -> bool:
+        kind = kinds.get(part)
+        return X.is_split(parts.columns, part) or (isinstance(kind, T.DecimalType) and kind.scale > 6)
+
+    def gathered(part: str, everywhere: bool = False) -> Column:
+        each = (lambda c: F.sum(c).over(W.partitionBy())) if everywhere else (lambda c: c)
+        return X.gathered(parts.columns, part, each) if X.is_split(parts.columns, part) else X.as_sum(each(F.col(part)))
+
+    def result(measure: Measure) -> Column:
+        return measure.exact(gathered) if measure.exact and any(map(by_digits, measure.parts)) else measure.finish()
+
+    return parts.select(*keys, *[result(measure).alias(measure.name) for measure in measures])
 
 
 def rate_by(

@@ -3,6 +3,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from revisit.operators import quantiles as module
 from revisit.operators.quantiles import approximate_quantiles, quantiles, upper_fences
 
 P = [0.0, 0.25, 0.5, 0.75, 1.0]
@@ -42,6 +43,68 @@ def test_approximate_form_returns_values_that_occur(spark):
     assert upper_fences(ints, ["x"], exact=False).first().x_q1 == 1.0
 
 
-def test_only_whole_numbers(spark):
+def test_only_numbers(spark):
     with pytest.raises(TypeError):
-        quantiles(spark.range(3), ["id"], P)
+        quantiles(spark.createDataFrame([("a",)], "id string"), ["id"], P)
+
+
+KINDS = {
+    "double": st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False, width=64), st.sampled_from([0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 1.0, 2.0])),
+    "float": st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False, width=32)),
+    "bigint": st.one_of(st.none(), st.integers(-(2**63), 2**63 - 1), st.integers(-3, 3)),
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("bits", [16, 1])
+def test_every_numeric_type(spark, monkeypatch, kind, bits):
+    """With small blocks every level is gone through."""
+    monkeypatch.setattr(module, "BLOCK_BITS", bits)
+
+    @settings(max_examples=4 if bits == 1 else 3, deadline=None)
+    @given(values=st.lists(KINDS[kind], min_size=1, max_size=60))
+    def check(values):
+        known = sorted(float(v) for v in values if v is not None)
+        found = {r.p: r.value for r in quantiles(spark.createDataFrame([(v,) for v in values], f"x {kind}"), ["x"], P).collect()}
+        if not known:
+            assert found == {}
+            return
+        for p in P:
+            place = p * (len(known) - 1)
+            low, high = known[int(place)], known[-int(-place // 1)]
+            assert found[p] == low + (high - low) * (place - int(place))
+
+    check()
+
+
+def test_keys_stand_in_the_order_of_doubles(spark):
+    tiny = [5e-324 * k for k in (1, 2, 2**51, 2**52 - 1, 2**52, 2**52 + 1)]
+    sizes = [*tiny, 1e-300, 0.1, 0.5, 1.0, 1.0 + 2**-52, 2.0, 3.0, 4.0 - 2**-51, 4.0, 1e23, 1.7976931348623157e308, float("inf")]
+    values = [*(-x for x in reversed(sizes)), 0.0, *sizes, float("nan")]
+    rows = spark.createDataFrame(list(enumerate(values)), "i int, x double").select("i", module.ordered_key(module.F.col("x"), module.T.DoubleType())[0].alias("k"))
+    keys = [r.k for r in rows.orderBy("i").collect()]
+    assert keys == sorted(set(keys))
+    import struct
+
+    known = [struct.unpack("<q", struct.pack("<d", x))[0] for x in (0.0, *sizes)]
+    assert keys[len(sizes) : -1] == known
+
+
+def test_decimals_wide_and_narrow(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK_BITS", 1)
+    raw = ["-99999999999999999999.123456789012345678", "-1.5", "0.000000000000000001", "2.25", "2.25", "12345678901234567890.5", None]
+    for kind in ("decimal(38,18)", "decimal(22,1)", "decimal(10,2)"):
+        values = [v if v is None or kind != "decimal(10,2)" else v[-6:].replace("-", "") for v in raw]
+        df = spark.createDataFrame([(v,) for v in values], "x string").selectExpr(f"CAST(x AS {kind}) AS x")
+        known = sorted(r.x for r in df.collect() if r.x is not None)
+        found = {r.p: r.value for r in quantiles(df, ["x"], [0.0, 0.2, 0.6, 1.0]).collect()}
+        assert found == {p: float(known[round(p * 5)]) for p in (0.0, 0.2, 0.6, 1.0)}
+
+
+def test_many_rows_and_a_hot_value(spark):
+    df = spark.range(300_000).selectExpr("CASE WHEN id % 3 = 0 THEN 0.5 ELSE id / 7.0D END AS x", "id * 1000003 AS y")
+    x = np.where(np.arange(300_000) % 3 == 0, 0.5, np.arange(300_000) / 7.0)
+    found = {(r.name, r.p): r.value for r in quantiles(df, ["x", "y"], P).collect()}
+    for p in P:
+        assert found["x", p] == pytest.approx(np.quantile(x, p), rel=1e-12)
+        assert found["y", p] == pytest.approx(np.quantile(np.arange(300_000) * 1000003, p), rel=1e-12)

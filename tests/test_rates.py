@@ -75,9 +75,8 @@ def test_means_of_fractions_and_negative_numbers(spark):
     assert R.rate_by(whole, [], [R.average("mean", "v")]).first()["mean"] == -1.5
 
 
-def test_numbers_that_are_not_exact_raise(spark):
-    with pytest.raises(Exception, match="six decimal places"):
-        R.rate_by(spark.createDataFrame([(1 / 3,)], "v double"), [], [R.average("mean", "v")]).collect()
+def test_numbers_of_many_places_need_no_end(spark):
+    assert R.rate_by(spark.createDataFrame([(1 / 3,)], "v double"), [], [R.average("mean", "v")]).first()[0] == 0.33
 
 
 def test_counts_have_no_limit(spark):
