@@ -373,13 +373,13 @@ def segment_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @on_folder(
     "price_means",
     """SELECT l_returnflag, l_linestatus, CAST(count(*) AS BIGINT) AS lines, round(favg(l_extendedprice / 3), 2) AS avg_third,
-round(favg(l_tax * 1e-9 + l_extendedprice * 1e9), 2) AS avg_wide, round(100 * fsum(l_discount / 7) / sum(fsum(l_discount / 7)) OVER (), 2) AS discount_share_pct
+round(favg(l_tax * 1e-9 + l_extendedprice * 1e3), 2) AS avg_wide, round(100 * fsum(l_discount / 7) / sum(fsum(l_discount / 7)) OVER (), 2) AS discount_share_pct
 FROM lineitem GROUP BY l_returnflag, l_linestatus""",
 )
 def price_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Means and shares of doubles of any number of places."""
     items = table(spark, sf_dir, "lineitem").select(
-        "l_returnflag", "l_linestatus", (F.col("l_extendedprice") / 3).alias("third"), (F.col("l_tax") * 1e-9 + F.col("l_extendedprice") * 1e9).alias("wide"), (F.col("l_discount") / 7).alias("part")
+        "l_returnflag", "l_linestatus", (F.col("l_extendedprice") / 3).alias("third"), (F.col("l_tax") * 1e-9 + F.col("l_extendedprice") * 1e3).alias("wide"), (F.col("l_discount") / 7).alias("part")
     )
     wanted = [rates.rows("lines"), rates.average("avg_third", "third"), rates.average("avg_wide", "wide"), rates.share_of_total("discount_share_pct", "part")]
     return rates.rate_by(items, ["l_returnflag", "l_linestatus"], wanted)

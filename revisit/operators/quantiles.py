@@ -34,44 +34,63 @@ def _rank_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[
     return _selected_values(df, columns, kinds, probabilities)
 
 
-def ordered_key(x: Column, kind: T.DataType) -> list[Column]:
-    """Whole numbers of 64 bits that stand, one after the other, in the order of the values; equal for 0 and -0."""
-    if isinstance(kind, T.DecimalType):
-        keys, rest = [], x.cast(f"decimal(38,{kind.scale})")
-        for digits in (36, 18):
-            if kind.precision > digits:
-                unit = F.lit(Decimal(1).scaleb(digits - kind.scale)).cast(f"decimal(38,{kind.scale})")
-                keys.append(F.call_function("div", rest, unit))
-                rest = rest % unit
-        return [*keys, F.call_function("div", rest, F.lit(Decimal(1).scaleb(-kind.scale)).cast(f"decimal(38,{kind.scale})"))]
-    if isinstance(kind, T.IntegralType):
-        return [x.cast("bigint")]
-    size = F.abs(x.cast("double"))
-    finite = F.when(size < F.lit(float("inf")), size).otherwise(F.lit(1.0))
-    guess = F.floor(F.log2(finite)).cast("int")
-    two_to = lambda n: F.pow(F.lit(2.0), n)  # noqa: E731 - exact for whole numbers
-    exponent = guess + F.when(two_to(guess) > finite, -1).when((guess < 1023) & (two_to(guess + 1) <= finite), 1).otherwise(0)
-    normal = ((exponent + 1023).cast("bigint") * (1 << 52)) + ((finite / two_to(exponent) - 1) * float(1 << 52)).cast("bigint")
-    tiny = (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("bigint")  # below 2**-1022 there is no exponent left
-    key = F.when(size < F.lit(2.0**-1022), tiny).when(size < F.lit(float("inf")), normal).otherwise(F.lit(2047 << 52))
-    return [F.when(F.isnan(x.cast("double")), F.lit((2048 << 52) - 1)).when(x < 0, -key).otherwise(key)]
-
+def with_keys(df: DataFrame, columns: Sequence[str], kinds: Sequence[T.DataType]) -> tuple[DataFrame, list[list[str]]]:
+    """The columns with whole numbers of 64 bits that stand in the order of their values, and these numbers' names.
 
-def _digits(keys: list[Column]) -> list[Column]:
-    """16 bits each, from the top; the top one of a key has its sign."""
-    return [part for k in keys for part in (F.shiftright(k, 48), *(F.shiftright(k, n).bitwiseAND(F.lit(0xFFFF)) for n in (32, 16, 0)))]
+    Wide decimals have several, one after the other. 0 and -0 are equal. What is used more than once is a
+    column of its own, so that it is worked out once per row.
+    """
+    two_to = lambda n: F.pow(F.lit(2.0), n)  # noqa: E731 - exact for whole numbers
+    infinite = F.lit(float("inf"))
+    keys: list[list[Column]] = []
+    sizes, guesses, exponents = {}, {}, {}
+    for i, (name, kind) in enumerate(zip(columns, kinds)):
+        x = F.col(name)
+        if isinstance(kind, T.DecimalType):
+            parts, rest = [], x.cast(f"decimal(38,{kind.scale})")
+            for digits in (36, 18, 0):
+                if kind.precision > digits:
+                    unit = F.lit(Decimal(1).scaleb(digits - kind.scale)).cast(f"decimal(38,{kind.scale})")
+                    parts.append(F.call_function("div", rest, unit))
+                    rest = rest % unit
+            keys.append(parts)
+        elif isinstance(kind, T.IntegralType):
+            keys.append([x.cast("bigint")])
+        else:
+            size, finite, guess, exponent = (F.col(f"_{part}{i}") for part in ("size", "finite", "guess", "exponent"))
+            sizes |= {f"_size{i}": F.abs(x.cast("double")), f"_finite{i}": F.when(F.abs(x.cast("double")) < infinite, F.abs(x.cast("double"))).otherwise(F.lit(1.0))}
+            guesses[f"_guess{i}"] = F.floor(F.log2(F.when(finite > 0, finite).otherwise(F.lit(1.0)))).cast("int")
+            exponents[f"_exponent{i}"] = guess + F.when(two_to(guess) > finite, -1).when((guess < 1023) & (two_to(guess + 1) <= finite), 1).otherwise(0)
+            normal = ((exponent + 1023).cast("bigint") * (1 << 52)) + ((finite / two_to(exponent) - 1) * float(1 << 52)).cast("bigint")
+            tiny = (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("bigint")  # below 2**-1022 there is no exponent left
+            key = F.when(size < F.lit(2.0**-1022), tiny).when(size < infinite, normal).otherwise(F.lit(2047 << 52))
+            keys.append([F.when(F.isnan(size), F.lit((2048 << 52) - 1)).otherwise(key * F.when(x < 0, -1).otherwise(1))])
+    named = [[f"_key{i}_{j}" for j in range(len(parts))] for i, parts in enumerate(keys)]
+    out = df.select(*columns)
+    for step in (sizes, guesses, exponents):
+        out = out.withColumns(step) if step else out
+    wide = {name: key for names, parts in zip(named, keys) for name, key in zip(names, parts)}
+    return out.select(*columns, *[key.alias(name) for name, key in wide.items()]), named
+
+
+def _digit(key: Column, j: int) -> Column:
+    """The j-th 16 bits of a key, from the top; the top ones have its sign."""
+    part = F.shiftright(key, 48 - 16 * j)
+    return (part if j == 0 else part.bitwiseAND(F.lit(0xFFFF))).cast("int")
 
 
 def _selected_values(df: DataFrame, columns: Sequence[str], kinds: Sequence[T.DataType], probabilities: Sequence[float]) -> DataFrame:
     """The same by radix selection; a job per level, of which a row per wanted rank comes to the driver."""
     spark = df.sparkSession
-    digits = [_digits(ordered_key(F.col(c), kind)) for c, kind in zip(columns, kinds)]
-    levels = max(map(len, digits))
+    keyed, names = with_keys(df, columns, kinds)
+    deepest = max(map(len, names))
+    levels = 4 * deepest
     cells = [
-        F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("value"), *[(d[j] if j < len(d) else F.lit(0)).cast("int").alias(f"d{j}") for j in range(levels)])
-        for i, (c, d) in enumerate(zip(columns, digits))
+        F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("value"), *[(F.col(own[j]) if j < len(own) else F.lit(0).cast("bigint")).alias(f"k{j}") for j in range(deepest)])
+        for i, (c, own) in enumerate(zip(columns, names))
     ]
-    rows = df.where(" OR ".join(f"`{c}` IS NOT NULL" for c in columns)).select(F.inline(F.array(*cells))).where("value IS NOT NULL")
+    rows = keyed.select(F.inline(F.array(*cells))).where("value IS NOT NULL")
+    rows = rows.select("c", "value", *[_digit(F.col(f"k{j // 4}"), j % 4).alias(f"d{j}") for j in range(levels)])
 
     def inside(prefixes: dict[tuple[int, ...], int], level: int) -> DataFrame:
         """The rows of any of the prefixes, with its number: a row per wanted rank at most is broadcast."""
@@ -105,8 +124,9 @@ def _selected_values(df: DataFrame, columns: Sequence[str], kinds: Sequence[T.Da
         prefixes = {prefix: i for i, prefix in enumerate(dict.fromkeys(r[-1] for r in ranks))}
         counts = inside(prefixes, level).groupBy("prefix", "value").agg(F.count(F.lit(1)).alias("n"))
         found = located(counts, "value", [(prefixes[r[-1]], r[-2]) for r in ranks])
-        out = [(columns[c], p, place, end, found[i][0]) for i, (c, p, place, end, _, _) in enumerate(ranks)]
-    return spark.createDataFrame(out, "name string, p double, place double, end string, value double")
+        whole = [isinstance(kind, T.IntegralType) for kind in kinds]
+        out = [(columns[c], p, place, end, found[i][0], whole[c]) for i, (c, p, place, end, _, _) in enumerate(ranks)]
+    return spark.createDataFrame(out, "name string, p double, place double, end string, value double, whole boolean")
 
 
 def _counted_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
@@ -138,7 +158,7 @@ def _counted_values(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     # Two ranks per column and probability: a handful of rows.
     inside = counts.join(F.broadcast(wanted), ["name", "block"])
     running = F.sum("n").over(W.partitionBy("name", "p", "end").orderBy("value")) + F.col("before")
-    return inside.withColumn("running", running).where("rank < running AND rank >= running - n")
+    return inside.withColumn("running", running).where("rank < running AND rank >= running - n").withColumn("whole", F.lit(True))
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
@@ -158,7 +178,10 @@ def _between(condition: Column) -> Column:
     low = F.max(F.when(condition & (F.col("end") == "low"), F.col("value")))
     high = F.max(F.when(condition & (F.col("end") == "high"), F.col("value")))
     place = F.max(F.when(condition, F.col("place")))
-    return low + (high - low) * (place - F.floor(place))
+    above = place - F.floor(place)
+    # between doubles, weighted ends neither overflow nor make NaN of two equal infinities
+    weighted = F.when(low == high, low.cast("double")).otherwise(low * (1 - above) + high * above)
+    return F.when(F.max(F.when(condition, F.col("whole"))), low + (high - low) * above).otherwise(weighted)
 
 
 def approximate_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
