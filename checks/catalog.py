@@ -676,6 +676,44 @@ on_tables(
 )
 
 
+PLANTED = {"d": 97, "t": 101, "urgent": 103, "tags": 107, "code": 109}
+
+
+@on_folder(
+    "compare_typed_columns",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, 'value' AS problem, CAST(count(*) AS BIGINT) AS cells FROM orders WHERE o_orderkey % {n} = 0 HAVING count(*) > 0" for c, n in PLANTED.items()
+    ),
+)
+def compare_typed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates, timestamps, booleans, arrays and text that a cast would take for a number, with planted differences."""
+    day, time = F.col("o_orderdate").cast("date"), F.col("o_orderdate")
+    urgent, custkey = F.col("o_orderpriority") == "1-URGENT", F.col("o_custkey")
+    sides = {
+        "left": [day, time, urgent, F.array(custkey % 7, F.lit(1)), F.lit("1")],
+        "right": [F.date_add(day, 1), time + F.expr("INTERVAL 1 HOUR"), ~urgent, F.array(custkey % 7, F.lit(2)), F.lit("1d")],
+    }
+    orders = table(spark, sf_dir, "orders")
+    left = orders.select("o_orderkey", *[value.alias(c) for c, value in zip(PLANTED, sides["left"])])
+    hit = {c: F.col("o_orderkey") % n == 0 for c, n in PLANTED.items()}
+    right = orders.select("o_orderkey", *[F.when(hit[c], y).otherwise(x).alias(c) for c, x, y in zip(PLANTED, sides["left"], sides["right"])])
+    found = reconcile.cell_differences(left, right, ["o_orderkey"])
+    return found.groupBy("column_name", "problem").agg(F.count(F.lit(1)).alias("cells"))
+
+
+@on_folder(
+    "compare_without_key",
+    """SELECT l_returnflag, l_linestatus, l_quantity, l_discount, CAST(greatest(sum(s), 0) AS BIGINT) AS left_copies, CAST(greatest(-sum(s), 0) AS BIGINT) AS right_copies
+FROM (SELECT *, 1 AS s FROM lineitem UNION ALL SELECT *, -1 FROM lineitem WHERE l_orderkey % 50 <> 0 UNION ALL SELECT *, -1 FROM lineitem WHERE l_orderkey % 70 = 0)
+GROUP BY l_returnflag, l_linestatus, l_quantity, l_discount HAVING sum(s) <> 0""",
+)
+def compare_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of a table of repeated rows: some are missing, some are there twice, all have moved."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", "l_quantity", "l_discount")
+    right = items.where("l_orderkey % 50 <> 0").unionByName(items.where("l_orderkey % 70 = 0")).repartition("l_discount")
+    return reconcile.row_surplus(items.drop("l_orderkey"), right.drop("l_orderkey"))
+
+
 def kpi_reconcile(t: Tables) -> DataFrame:
     """The compared KPI and quality tables, built from the shared scan and from single scans."""
     single = {n: kpis.kpi_table(t, n) if n in kpis.TABLES else None for n in refresh.COMPARED_TABLES}

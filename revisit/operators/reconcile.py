@@ -8,8 +8,11 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from revisit.operators.keys import surrogate_key
 from revisit.operators.quality import union_all
+from revisit.session import fresh_folder, write_table
 
 
 def reconcile_counts(left: Mapping[str, DataFrame], right: Mapping[str, DataFrame]) -> DataFrame:
@@ -30,11 +33,42 @@ def all_counts_match(counts: DataFrame) -> DataFrame:
     return counts.agg(F.every("is_match").alias("all_match"))
 
 
-def _same(left: Column, right: Column, tolerance: float) -> Column:
-    """Both NULL, numbers within the tolerance where both sides read as numbers, or the same text."""
-    x, y = left.try_cast("double"), right.try_cast("double")
+#: A number as text. Casts also read suffixes and names (1d, 1f, NaN, Infinity), which are text here.
+NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def _plain(value: Column, kind: T.DataType) -> Column:
+    """Nested values and bytes as text, so that they can be ordered and compared; a map's entries in order."""
+    if isinstance(kind, T.MapType):
+        return F.to_json(F.array_sort(F.map_entries(value)))
+    if isinstance(kind, (T.ArrayType, T.StructType, T.VariantType)):
+        return F.to_json(value)
+    return F.hex(value) if isinstance(kind, T.BinaryType) else value
+
+
+def _plain_kind(kind: T.DataType) -> T.DataType:
+    return T.StringType() if isinstance(kind, (T.MapType, T.ArrayType, T.StructType, T.VariantType, T.BinaryType)) else kind
+
+
+def _number(value: Column, kind: T.DataType) -> Column | None:
+    """A number, or text that is written as one; None for other types."""
+    if isinstance(kind, T.NumericType):
+        return value.cast("double")
+    if isinstance(kind, T.StringType):
+        return F.when(value.rlike(NUMBER_TEXT), F.trim(value).try_cast("double"))
+    return None
+
+
+def _same(left: Column, right: Column, kinds: tuple[T.DataType, T.DataType], tolerance: float) -> Column:
+    """Both NULL, numbers within the tolerance where both sides are or read as numbers, or the same text."""
+    same = left.cast("string").eqNullSafe(right.cast("string"))
+    if kinds[0] == kinds[1] and not isinstance(kinds[0], (T.StringType, T.FractionalType)):
+        same = left.eqNullSafe(right)
+    x, y = _number(left, kinds[0]), _number(right, kinds[1])
+    if x is None or y is None:
+        return same
     near = F.abs(x - y) <= tolerance * F.greatest(F.lit(1.0), F.abs(y))
-    return left.cast("string").eqNullSafe(right.cast("string")) | F.coalesce(near, F.lit(False))
+    return same | F.coalesce(near & ~F.isnan(x) & ~F.isnan(y), F.lit(False))
 
 
 def compare_rows(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -48,7 +82,9 @@ def compare_rows(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataF
 
     def side(df: DataFrame, mark: int) -> DataFrame:
         keys = [F.col(k) if dict(df.dtypes)[k] == kinds[k] else F.col(k).try_cast(kinds[k]).alias(k) for k in key]
-        return df.select(*keys, F.lit(mark).alias("_side"), F.struct(*_values(df, key)).alias(f"_row{mark}"))
+        own = {f.name: f.dataType for f in df.schema}
+        values = [_plain(F.col(f"`{c}`"), own[c]).alias(c) for c in _values(df, key)]
+        return df.select(*keys, F.lit(mark).alias("_side"), F.struct(*values).alias(f"_row{mark}"))
 
     def of(mark: int, column: Column) -> Column:
         return F.when(F.col("_side") == mark, column)
@@ -82,9 +118,10 @@ PROBLEMS = {
 
 def _cell_tests(left: DataFrame, right: DataFrame, key: Sequence[str], tolerance: float) -> dict[str, Column]:
     """Per column: do the two rows of a key differ in it?"""
+    kinds = [{f.name: _plain_kind(f.dataType) for f in df.schema} for df in (left, right)]
     return {
         c: F.expr(IN_BOTH)
-        & ~_same(F.col("left_row")[c], F.col("right_row")[c], tolerance)
+        & ~_same(F.col("left_row")[c], F.col("right_row")[c], (kinds[0][c], kinds[1][c]), tolerance)
         for c in _values(left, key)
         if c in right.columns
     }
@@ -95,8 +132,9 @@ def cell_differences(left: DataFrame, right: DataFrame, key: Sequence[str], tole
 
     Problems are ``missing_left``, ``missing_right``, ``repeated_key`` (one row per key, with the two
     row counts as values), ``value`` (one row per differing cell), ``column_missing_left`` and
-    ``column_missing_right`` (one row without a key per column). Values that both read as numbers are equal
-    within ``tolerance * max(1, |right|)``, two NULLs are equal, anything else compares as text.
+    ``column_missing_right`` (one row without a key per column). Numbers, and text written as one, are equal
+    within ``tolerance * max(1, |right|)``; two NULLs or NaNs are equal. Values of one other type are compared as they
+    are, nested ones as JSON and bytes as hex digits; values of two types compare as text.
     """
     nothing = F.lit(None).cast("string")
 
@@ -148,3 +186,51 @@ def reconcile_cells(
         )
 
     return union_all([summary(name) for name in keys])
+
+
+def row_surplus(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows that one side has more often than the other: the columns of both, ``left_copies`` and ``right_copies``.
+
+    The exact difference of two bags of rows, wherever their rows stand. Rows are told apart by a SHA-256 of
+    their values (with their lengths), which is what is grouped by: copies collapse map-side, and one aggregate
+    sees both sides. Columns that one side alone has play no part. NULLs are equal; 0 and -0 are, too.
+    """
+    kinds = [{f.name: f.dataType for f in df.schema} for df in (left, right)]
+    common = [c for c in left.columns if c in kinds[1]]
+
+    def value(c: str, mark: int) -> Column:
+        """In a type that both sides share: their own, double for two kinds of numbers, else text."""
+        own, other = _plain_kind(kinds[mark][c]), _plain_kind(kinds[1 - mark][c])
+        plain = _plain(F.col(f"`{c}`"), kinds[mark][c])
+        if own != other:
+            plain = plain.cast("double" if isinstance(own, T.NumericType) and isinstance(other, T.NumericType) else "string")
+        fractional = isinstance(own, T.NumericType) and isinstance(other, T.NumericType) and (own != other or isinstance(own, T.FractionalType))
+        return (F.when(plain == 0, F.abs(plain)).otherwise(plain) if fractional else plain).alias(c)
+
+    def side(df: DataFrame, mark: int) -> DataFrame:
+        rows = df.select([value(c, mark) for c in common])
+        texts = [F.col(f"`{c}`").cast("string") for c in common]
+        encoded = F.concat(F.lit(""), *[F.coalesce(F.concat(F.length(x), F.lit(":"), x), F.lit("-")) for x in texts])
+        return rows.select(F.sha2(encoded.cast("binary"), 256).alias("_print"), F.lit(1 - 2 * mark).alias("_sign"), F.struct([F.col(f"`{c}`") for c in common]).alias("_row"))
+
+    both = side(left, 0).unionByName(side(right, 1))
+    counted = both.groupBy("_print").agg(F.sum("_sign").alias("_more"), F.first("_row").alias("_row")).where("_more != 0")
+    return counted.select("_row.*", F.greatest("_more", F.lit(0)).alias("left_copies"), F.greatest(-F.col("_more"), F.lit(0)).alias("right_copies"))
+
+
+def differences_without_key(left: DataFrame, right: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """Cells that differ between tables without a key: ``(pair, column_name, left_value, right_value, problem)``.
+
+    Rows that both sides have equally often drop out first, so a moved row is no difference. What is left of each
+    side is ordered by all columns and paired by position; problems are as in :func:`cell_differences`, and rows
+    that find no partner are ``missing_left`` or ``missing_right``. Pairs within the tolerance are equal.
+    """
+    folder = fresh_folder(left.sparkSession)
+    surplus = write_table(row_surplus(left, right), folder)
+    columns = [c for c in surplus.columns if c not in ("left_copies", "right_copies")]
+
+    def numbered(copies: str) -> DataFrame:
+        own = surplus.where(F.col(copies) > 0).select(*columns, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias("_copy"))
+        return surrogate_key(own, "pair", columns, "bigint").drop("_copy")
+
+    return cell_differences(numbered("left_copies"), numbered("right_copies"), ["pair"], tolerance)
