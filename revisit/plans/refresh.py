@@ -11,8 +11,8 @@ from pyspark.util import inheritable_thread_target
 
 from revisit.plans import cleaning, kpis, ledgers, star
 from revisit.plans.staging import staged_encounters, staged_lookups
-from revisit.session import fresh_folder, wide_rows, write_table
-from revisit.sources.writers import register, replace_tables, write_tables
+from revisit.session import scratch_folder, wide_rows, write_table
+from revisit.sources.writers import replace_tables, write_tables
 
 STAR_TABLES = [
     "fact_encounter", "fact_encounter_medication", "dim_patient", "dim_age_group", "dim_diagnosis_group",
@@ -55,16 +55,16 @@ def stage(spark: SparkSession, encounters: str, lookups: str, root: str) -> Tabl
 def clean(tables: Tables, root: str) -> None:
     """Order and fences first, from four narrow columns; then the wide rows in one pass."""
     spark = tables["stg_encounters"].sparkSession
-    scratch = fresh_folder(spark)
     compact = cleaning.compact(tables["stg_encounters"])
-    keys = write_table(cleaning.encounter_keys(compact), f"{scratch}/encounter_keys")
-    narrow = {
-        f"{scratch}/order": lambda: cleaning.patient_sequence(keys),
-        f"{scratch}/fence": lambda: cleaning.fences(keys),
-    }
-    order, fence = write_tables(spark, narrow).values()
-    with wide_rows(spark):
-        tables |= replace_tables(spark, {"cln_encounters": lambda: cleaning.clean_encounters(compact, order, fence)}, root)
+    with scratch_folder(spark) as scratch:
+        keys = write_table(cleaning.encounter_keys(compact), f"{scratch}/encounter_keys")
+        narrow = {
+            f"{scratch}/order": lambda: cleaning.patient_sequence(keys),
+            f"{scratch}/fence": lambda: cleaning.fences(keys),
+        }
+        order, fence = write_tables(spark, narrow).values()
+        with wide_rows(spark):
+            tables |= replace_tables(spark, {"cln_encounters": lambda: cleaning.clean_encounters(compact, order, fence)}, root)
 
 
 def model(tables: Tables, root: str) -> None:
@@ -89,30 +89,26 @@ def model(tables: Tables, root: str) -> None:
 def analyse(tables: Tables, root: str) -> None:
     """The shared parts next to the tables that do not use them, then the tables made from the parts."""
     spark = tables["fact_encounter"].sparkSession
-    path = f"{fresh_folder(spark)}/rate_parts"
     alone = [name for name in kpis.TABLES if name not in kpis.RATE_TABLES]
-    builds = {path: lambda: kpis.rate_parts(tables)}
-    builds |= {f"{root}/{name}": partial(kpis.kpi_table, tables, name) for name in alone}
-    written = write_tables(spark, builds)
-    parts = written.pop(path)
-    register(tables, {name: written[f"{root}/{name}"] for name in alone})
-    tables |= replace_tables(
-        spark, {name: partial(kpis.rate_table_from_parts, tables, parts, name) for name in kpis.RATE_TABLES}, root
-    )
+    with scratch_folder(spark) as scratch:
+        path = f"{scratch}/rate_parts"
+        written = replace_tables(spark, {name: partial(kpis.kpi_table, tables, name) for name in alone}, root, {path: lambda: kpis.rate_parts(tables)})
+        parts = written.pop(path)
+        tables |= written
+        tables |= replace_tables(spark, {name: partial(kpis.rate_table_from_parts, tables, parts, name) for name in kpis.RATE_TABLES}, root)
 
 
 def check(tables: Tables, root: str) -> None:
     """Raw counts next to the ledgers that do not use them, then the two that do."""
     spark = tables["fact_encounter"].sparkSession
-    path = f"{fresh_folder(spark)}/raw_counts"
     alone = {"dq_null_rates": ledgers.null_rates, "dq_assertions": ledgers.assertions}
-    builds = {path: lambda: ledgers.raw_counts(tables)}
-    builds |= {f"{root}/{name}": partial(build, tables) for name, build in alone.items()}
-    written = write_tables(spark, builds)
-    raw = written.pop(path)
-    register(tables, {name: written[f"{root}/{name}"] for name in alone})
-    counted = {"dq_row_counts": ledgers.row_counts, "dq_issues": ledgers.issues}
-    tables |= replace_tables(spark, {name: partial(build, tables, raw) for name, build in counted.items()}, root)
+    with scratch_folder(spark) as scratch:
+        path = f"{scratch}/raw_counts"
+        written = replace_tables(spark, {name: partial(build, tables) for name, build in alone.items()}, root, {path: lambda: ledgers.raw_counts(tables)})
+        raw = written.pop(path)
+        tables |= written
+        counted = {"dq_row_counts": ledgers.row_counts, "dq_issues": ledgers.issues}
+        tables |= replace_tables(spark, {name: partial(build, tables, raw) for name, build in counted.items()}, root)
 
 
 STAGES: Mapping[str, Callable[[Tables, str], None]] = {

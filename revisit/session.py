@@ -40,7 +40,8 @@ def shared_folder(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return f"{root.rstrip('/')}/revisit/{app}"
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if app not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="revisit-")
@@ -52,6 +53,22 @@ def fresh_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies; a missing one is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """A fresh folder for intermediates of one step, removed when the step has ended, well or not."""
+    folder = fresh_folder(spark)
+    try:
+        yield folder
+    finally:
+        remove(spark, folder)
+
+
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as parquet and return the written table.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from fnmatch import fnmatchcase
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from revisit.session import write_table
+from revisit.session import remove, write_table
 
 
 Build = Callable[[], DataFrame]
@@ -23,12 +24,54 @@ def write_tables(spark: SparkSession, builds: Mapping[str, Build], at_once: int
         return dict(zip(builds, pool.map(write, builds)))
 
 
-def replace_tables(spark: SparkSession, builds: Mapping[str, Build], root: str) -> dict[str, DataFrame]:
-    """Create or replace ``<root>/<name>`` and the view of that name; running it again gives the same."""
-    written = write_tables(spark, {f"{root}/{name}": build for name, build in builds.items()})
+def _paths(spark: SparkSession, *names: str):
+    """The names as paths, and the file system of the first."""
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(name) for name in names]
+    return paths[0].getFileSystem(spark._jsc.hadoopConfiguration()), *paths
+
+
+def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Make a wholly written folder the one at ``path``; what was there goes only once the new one is in its place."""
+    files, new, now, before = _paths(spark, staged, path, f"{path}__before")
+    take_back(spark, path)
+    if files.exists(now) and not files.rename(now, before):
+        raise OSError(f"{path} can't be put aside")
+    files.mkdirs(now.getParent())
+    if not files.rename(new, now):
+        files.rename(before, now)
+        raise OSError(f"{staged} can't be moved to {path}")
+    files.delete(before, True)
+
+
+def take_back(spark: SparkSession, path: str) -> None:
+    """After an end between the two renames of ``put_in_place``: the old folder again. Otherwise only its remains go."""
+    files, now, before = _paths(spark, path, f"{path}__before")
+    if files.exists(before):
+        if files.exists(now):
+            files.delete(before, True)
+        else:
+            files.rename(before, now)
+
+
+def replace_tables(spark: SparkSession, builds: Mapping[str, Build], root: str, extra: Mapping[str, Build] | None = None) -> dict[str, DataFrame]:
+    """Create or replace ``<root>/<name>`` and the view of that name; running it again gives the same.
+
+    Tables are written below ``<root>/__next-…`` first and put in place when all of them are complete, so a build
+    that fails leaves every old table as it was, and a build may read the table that it replaces. ``extra`` are
+    paths that are written next to them; they are returned under their paths and get no view.
+    """
+    staging = f"{root}/__next-{uuid.uuid4().hex}"
+    for name in builds:
+        take_back(spark, f"{root}/{name}")
+    try:
+        written = write_tables(spark, {f"{staging}/{name}": build for name, build in builds.items()} | dict(extra or {}))
+        for name in builds:
+            put_in_place(spark, f"{staging}/{name}", f"{root}/{name}")
+    finally:
+        remove(spark, staging)
     tables: dict[str, DataFrame] = {}
-    register(tables, dict(zip(builds, written.values())))
-    return tables
+    register(tables, {name: spark.read.schema(written[f"{staging}/{name}"].schema).parquet(f"{root}/{name}") for name in builds})
+    return tables | {path: written[path] for path in extra or {}}
 
 
 def register(tables: dict[str, DataFrame], written: Mapping[str, DataFrame]) -> None:
