@@ -61,7 +61,7 @@ def resolved(captures: DataFrame, renewed: list[str] = RENEWED, block_seconds: i
     # bodies stay behind: what is carried along is a response's id and validators
     carried = F.when(
         (F.col("kind") == "response") & F.col("captured_at").isNotNull() & F.col("canonical_url").isNotNull(),
-        F.struct("record_id", "digest", F.col("headers")["etag"].alias("etag"), F.col("headers")["last-modified"].alias("modified")),
+        F.struct("record_id", "at", "digest", F.col("headers")["etag"].alias("etag"), F.col("headers")["last-modified"].alias("modified")),
     )
     narrow = placed.select(
         "record_id", "canonical_url", "at", "kind", "digest", "headers", carried.alias("own"),
@@ -92,12 +92,20 @@ def resolved(captures: DataFrame, renewed: list[str] = RENEWED, block_seconds: i
         F.when(F.col("latest").isNull(), "no_earlier_response").when(F.col("verdict.same"), "resolved").otherwise("validator_mismatch").alias("status"),
         F.when(F.col("verdict.same"), F.col("latest.record_id")).alias("refers_to"),
         F.when(F.col("verdict.same"), F.col("verdict.name")).alias("validator"),
+        F.when(F.col("verdict.same"), F.struct("latest.at", "latest.digest", "latest.etag", "latest.modified")).alias("known"),
     )
-    responses = rows.where("kind = 'response'").groupBy(F.col("record_id").alias("refers_to")).agg(F.min(F.struct("body", F.to_json("headers").alias("text"))).alias("full"))
+    # ids may repeat, so a response is told by its URL, time and validators too; of those alike in all, the smallest body counts
+    told = F.struct("at", "digest", F.col("headers")["etag"].alias("etag"), F.col("headers")["last-modified"].alias("modified"))
+    responses = (
+        placed.where("kind = 'response'")
+        .groupBy(F.col("record_id").alias("of"), F.col("canonical_url").alias("of_url"), told.alias("of_known"))
+        .agg(F.min(F.struct("body", F.to_json("headers").alias("text"))).alias("full"))
+    )
+    same = (F.col("refers_to") == F.col("of")) & (F.col("canonical_url") == F.col("of_url")) & F.col("known").eqNullSafe(F.col("of_known"))
     allowed = F.map_filter("headers", lambda name, _: name.isin(*renewed))
     original = F.from_json("full.text", "map<string,string>")
     kept = F.map_filter(original, lambda name, _: ~F.array_contains(F.map_keys(allowed), name))
-    return judged.join(responses, "refers_to", "left").select(
+    return judged.join(responses, same, "left").select(
         "record_id", "canonical_url", "captured_at", "status", "refers_to", "validator", F.col("full.body").alias("body"),
         F.when(F.col("status") == "resolved", F.map_concat(kept, allowed)).alias("headers"),
     )
