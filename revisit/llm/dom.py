@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -51,6 +52,28 @@ def _raw_end(source: str, name: str, at: int) -> int:
     return len(source)
 
 
+class _Open(list):
+    """The open elements as (name, node), and how many there are of each name."""
+
+    def __init__(self, items: list[tuple[str, int]]) -> None:
+        super().__init__(items)
+        self.many = Counter(name for name, _ in items)
+
+    def append(self, item: tuple[str, int]) -> None:
+        self.many[item[0]] += 1
+        super().append(item)
+
+    def __setitem__(self, i: int, item: tuple[str, int]) -> None:
+        self.many[self[i][0]] -= 1
+        self.many[item[0]] += 1
+        super().__setitem__(i, item)
+
+    def __delitem__(self, i: int | slice) -> None:
+        for name, _ in self[i] if isinstance(i, slice) else [self[i]]:
+            self.many[name] -= 1
+        super().__delitem__(i)
+
+
 class Page:
     """Block elements in page order and runs of text.
 
@@ -70,7 +93,7 @@ class Page:
 
     def _read(self, source: str) -> None:
         parent, tag, tokens = self.parent, self.tag, self.tokens
-        stack: list[tuple[str, int]] = [("html", 0)]  # open elements; inline ones have their block's node
+        stack = _Open([("html", 0)])  # open elements; inline ones have their block's node
         parts: list[str] = []
         linked = link_depth = 0
         at, size = 0, len(source)
@@ -120,7 +143,11 @@ class Page:
             end = found["end"]
             if end:
                 name = end.lower()
-                if name in INLINE:
+                if not stack.many[name] and name != "br":
+                    # nothing to end; without a look at the stack, as a page may have any number of these
+                    if name in TAG_PLACE and name not in INLINE and name not in EXCLUDED and not (name == "p" and any(stack.many[s] > (s == "html") for s in SCOPE)):
+                        flush()
+                elif name in INLINE:
                     for i in range(len(stack) - 1, 0, -1):
                         if stack[i][0] == name:
                             if name == "a":
@@ -187,7 +214,7 @@ class Page:
             flush()
             if name in VOID:
                 continue
-            if name == "html" or name == "body" and any(x[0] == "body" for x in stack):
+            if name == "html" or name == "body" and stack.many["body"]:
                 continue
             if name in CLOSES:
                 closed, until = CLOSES[name]

@@ -1,5 +1,7 @@
 """Pages with excluded and raw elements, closed and not."""
 
+import time
+
 import pytest
 
 from revisit.llm import dom
@@ -32,3 +34,11 @@ def test_excluded_elements_nest():
 def test_raw_text_ends_in_either_case():
     assert runs("<p>İ</p><SCRIPT>if (a<b) '</p>'</SCRIPT><p>one</p><style>x</STYLE ><p>two") == ["İ", "one", "two"]
     assert runs("<title>a</titles></TITLE><p>one") == ["one"]
+
+
+def test_stray_end_tags_take_no_look_at_the_stack():
+    """A look at all open elements per stray tag would take minutes here."""
+    n = 60_000
+    started = time.process_time()
+    page = dom.Page("<div>" * n + "text" + "</section>" * n)
+    assert len(page.tag) == n + 1 and [t for _, t in page.runs] == ["text"] and time.process_time() - started < 5
