@@ -23,9 +23,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Text up to the end tag, or the page's end without one.
 RAW = frozenset("script style noscript iframe textarea title".split())
 #: Read on like any element and left out with all inside. Without an end tag, only the text outside inner blocks goes.
-EXCLUDED = frozenset("template svg math object select canvas audio video button datalist".split())
+EXCLUDED = frozenset("template svg object select canvas audio video button datalist".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var nobr img wbr input".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var nobr img wbr input math mi mn mo mtext mrow msup msub mfrac msqrt".split()
 )
 #: What a start tag closes when it is open above it, up to the next element named after it.
 CLOSES = {

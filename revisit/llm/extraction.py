@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from revisit.llm import boosting, dom
 
 SAMPLE_PAGES = 200
-TRAINING_PAGES = 400
-RUNS_PER_PAGE, CHARS_PER_RUN = 60, 2000  # what a sampled page gives as raw material for training
+TRAINING_PAGES = 600
+SAMPLE_RUNS, SAMPLE_CHARS = 60, 2000  # blocks of a sampled page, and code points of each, that training layouts are composed from
 VOCABULARY = 180
 
 # How pages name their parts: prior knowledge about the web that the composed layouts show.
@@ -55,7 +55,7 @@ class Composer:
 
     def __init__(self, runs: list[str], seed: int) -> None:
         self.rng = np.random.default_rng(seed)
-        self.pool = [s for run in runs for s in re.split(r"(?<=[.!?])\s+", run[:CHARS_PER_RUN]) if s] or ["word"]
+        self.pool = [s for run in runs for s in re.split(r"(?<=[.!?])\s+", run) if s] or ["word"]
 
     def some(self, options: list) -> object:
         return options[int(self.rng.integers(len(options)))]
@@ -110,7 +110,7 @@ class Composer:
             return f'<{tag} class="{BAD}">{inside}</{tag}>'
         return self.named(tag, BOILERPLATE[kind], BAD, inside)
 
-    def article(self) -> str:
+    def article(self) -> list[str]:
         blocks = [f"<h1>{self.words(2, 14)}</h1>"] if self.chance(0.8) else []
         for _ in range(int(np.exp(self.rng.uniform(0, 3.2)))):
             kind = self.rng.random()
@@ -134,42 +134,67 @@ class Composer:
                 blocks.insert(int(self.rng.integers(len(blocks) + 1)), self.extra(kind, True))
         if self.chance(0.1):
             blocks.append(self.extra("comments", True))
-        return "".join(blocks)
-
-    def page(self) -> str:
-        inside, kind = self.article(), self.rng.random()
-        if kind < 0.4:
+        return blocks
+
+    def plain(self) -> str:
+        """Text without blocks, with line breaks between its paragraphs, and now and then a menu or a notice."""
+        parts = [self.prose(8, 160) for _ in range(int(self.rng.integers(1, 7)))]
+        if self.chance(0.3):
+            parts.insert(int(self.rng.integers(len(parts) + 1)), self.extra(str(self.some(["ad", "menu", "share", "notice", "form"])), True))
+        return str(self.some(["<br>", "<br><br>", "<br/>\n<br/>"])).join(parts)
+
+    def page(self) -> tuple[str, bool]:
+        """A page, and whether its root itself holds the article's text."""
+        blocks, kind = self.article(), self.rng.random()
+        inside, bare, root = "".join(blocks), False, False
+        if kind < 0.12:  # blocks of their own beside menus and footers
+            main = "".join(b if BAD in b[: b.find(">")] else re.sub(r"^<(\w+)", rf'<\1 class="{GOOD}"', b) for b in blocks)
+            bare = self.chance(0.7)
+        elif kind < 0.20:
+            main, bare = self.plain(), True
+            root = self.chance(0.4)
+        elif kind < 0.42:
             main = f'<article class="{GOOD}">{inside}</article>' if self.chance(0.6) else self.named("article", ARTICLE_NAMES, GOOD, inside)
-        elif kind < 0.52:
+        elif kind < 0.50:
             main = f'<main class="{GOOD}">{inside}</main>' if self.chance(0.6) else self.named("main", ARTICLE_NAMES, GOOD, inside)
-        elif kind < 0.85:
-            main = self.named(str(self.some(["div", "div", "section", "td"])), ARTICLE_NAMES, GOOD, inside)
+        elif kind < 0.75:
+            main = self.named(str(self.some(["div", "div", "section", "td"])), ARTICLE_NAMES, GOOD, inside if self.chance(0.85) else self.plain())
             main = f"<table><tr>{main}</tr></table>" if main.startswith("<td") else main
         else:
-            main = f'<div class="{GOOD}">{inside}</div>'
-        before = [self.extra(k) for k in ("header", "menu", "notice", "ad", "form", "sidebar", "share") if self.chance(0.4)]
-        after = [self.extra(k) for k in ("footer", "comments", "sidebar", "ad", "menu", "notice", "form", "share") if self.chance(0.4)]
+            main = f'<div class="{GOOD}">{inside if self.chance(0.85) else self.plain()}</div>'
+        often = 0.4 if self.chance(0.75) else 0.06  # some pages have little beside the article
+        before = [self.extra(k) for k in ("header", "menu", "notice", "ad", "form", "sidebar", "share") if self.chance(often)]
+        after = [self.extra(k) for k in ("footer", "comments", "sidebar", "ad", "menu", "notice", "form", "share") if self.chance(often)]
         self.rng.shuffle(before), self.rng.shuffle(after)
         keep = int(self.rng.integers(len(before) + 1))
         body = "".join(before[keep:]) + main + "".join(after)
+        if bare:
+            own = "".join(before[:keep]) + body
+            if root:
+                return own, True
+            if kind < 0.12 and self.chance(0.3):
+                return own, False
+            mark = f' class="{GOOD}"' if kind >= 0.12 else ""
+            return f"<html><head><title>t</title></head><body{mark}>{own}" + "</body></html>" * self.chance(0.9), False
         for _ in range(int(self.rng.integers(3))):
             body = f"<div>{body}</div>" if self.chance(0.3) else self.named(str(self.some(["div", "div", "main"])), WRAPPER_NAMES, "", body)
-        return f"<html><head><title>t</title></head><body>{''.join(before[:keep])}{body}" + "</body></html>" * self.chance(0.9)
+        return f"<html><head><title>t</title></head><body>{''.join(before[:keep])}{body}" + "</body></html>" * self.chance(0.9), False
 
 
-def answers(page: dom.Page) -> np.ndarray:
+def answers(page: dom.Page, root: bool = False) -> np.ndarray:
     """Which nodes are part of the article, by the composer's marks; the marks are taken away."""
     out = np.zeros(len(page.tag))
     for i, tokens in enumerate(page.tokens):
-        out[i] = 1.0 if GOOD in tokens else 0.0 if BAD in tokens or i == 0 else out[page.parent[i]]
+        out[i] = 1.0 if GOOD in tokens else 0.0 if BAD in tokens else float(root) if i == 0 else out[page.parent[i]]
         page.tokens[i] = tuple(t for t in tokens if t not in (GOOD, BAD))
     return out
 
 
 def train(runs: list[str], seed: int = 7, pages: int = TRAINING_PAGES) -> tuple[dict[str, int], boosting.Trees]:
     composer = Composer(runs, seed)
-    made = [dom.Page(composer.page()) for _ in range(pages)]
-    labels = [answers(p) for p in made]
+    composed = [composer.page() for _ in range(pages)]
+    made = [dom.Page(source) for source, _ in composed]
+    labels = [answers(p, root) for p, (_, root) in zip(made, composed)]
     seen = Counter(t for p in made for t in {t for tokens in p.tokens for t in tokens})
     vocabulary = {t: i for i, (t, n) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY]) if n > 1}
     x = np.concatenate([dom.features(p, vocabulary) for p in made])
@@ -190,6 +215,7 @@ def decoded(page: dom.Page, log_odds: np.ndarray) -> np.ndarray:
         inside[p] += max(inside[i], excluded[i])
         excluded[p] += excluded[i]
     state = [0] * len(parent)  # 0 outside, 1 article, 2 excluded
+    state[0] = int(inside[0] > outside[0])  # text may stand at the root itself
     for i in range(1, len(parent)):
         above = state[parent[i]]
         if above == 2 or excluded[i] > max(inside[i], outside[i] if above == 0 else -np.inf):
@@ -204,11 +230,12 @@ def main_text(page: dom.Page, log_odds: np.ndarray) -> str:
     return " ".join(text for node, text in page.runs if keep[node])
 
 
-def extracted(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", sample_pages: int = SAMPLE_PAGES) -> DataFrame:
+def extracted(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", sample_pages: int = SAMPLE_PAGES, sample_runs: int = SAMPLE_RUNS, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
     """Adds `text`, the article's text, and `n_chars`, its code points, to every row.
 
     Null and empty pages, and pages without an article, give an empty text and 0. The model is fitted on
-    the sentences of the sampled pages with the smallest hash of their id; with none, on a placeholder.
+    sentences of the `sample_pages` pages with the smallest hash of their id, of which each gives the first `sample_chars` code
+    points of its first `sample_runs` blocks; with none, on a placeholder. Pages are read whole where it is applied.
     Applying it is a scan without a shuffle. Columns of the added names are replaced, others are kept.
     """
     spark = pages.sparkSession
@@ -216,7 +243,7 @@ def extracted(pages: DataFrame, html_col: str = "html", id_col: str = "page_id",
     chosen = chosen.orderBy("place", F.md5(F.col("html").cast("binary"))).limit(sample_pages).withColumn("model", F.lit(0))
 
     def learn(table: pa.Table) -> pa.Table:
-        runs = [t for source in table.sort_by("place").column("html").to_pylist() for _, t in dom.Page(source).runs[:RUNS_PER_PAGE]]
+        runs = [t for source in table.sort_by("place").column("html").to_pylist() for t in (t[:sample_chars] for _, t in dom.Page(source).runs[:sample_runs])]
         return pa.table({"model": pa.array([pickle.dumps(train(runs))], pa.binary())})
 
     learned = chosen.groupBy("model").applyInArrow(learn, "model binary").toArrow().column("model").to_pylist()
