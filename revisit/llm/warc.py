@@ -40,6 +40,11 @@ def strong(tag: Column) -> Column:
     return F.regexp_replace(tag, "^W/", "")
 
 
+def identity(record_id: Column, own: Column) -> Column:
+    """A response as one text: ids may repeat, so its URL, time and validators are in it, too."""
+    return F.to_json(F.struct(record_id.alias("id"), F.col("canonical_url").alias("url"), *[own[c].alias(c) for c in ("at", "digest", "etag", "modified")]))
+
+
 def resolved(captures: DataFrame, renewed: list[str] = RENEWED, block_seconds: int = BLOCK_SECONDS) -> DataFrame:
     """One row per revisit with what it resolves to.
 
@@ -92,20 +97,16 @@ def resolved(captures: DataFrame, renewed: list[str] = RENEWED, block_seconds: i
         F.when(F.col("latest").isNull(), "no_earlier_response").when(F.col("verdict.same"), "resolved").otherwise("validator_mismatch").alias("status"),
         F.when(F.col("verdict.same"), F.col("latest.record_id")).alias("refers_to"),
         F.when(F.col("verdict.same"), F.col("verdict.name")).alias("validator"),
-        F.when(F.col("verdict.same"), F.struct("latest.at", "latest.digest", "latest.etag", "latest.modified")).alias("known"),
+        F.when(F.col("verdict.same"), identity(F.col("latest.record_id"), F.col("latest"))).alias("identity"),
     )
-    # ids may repeat, so a response is told by its URL, time and validators too; of those alike in all, the smallest body counts
-    told = F.struct("at", "digest", F.col("headers")["etag"].alias("etag"), F.col("headers")["last-modified"].alias("modified"))
-    responses = (
-        placed.where("kind = 'response'")
-        .groupBy(F.col("record_id").alias("of"), F.col("canonical_url").alias("of_url"), told.alias("of_known"))
-        .agg(F.min(F.struct("body", F.to_json("headers").alias("text"))).alias("full"))
-    )
-    same = (F.col("refers_to") == F.col("of")) & (F.col("canonical_url") == F.col("of_url")) & F.col("known").eqNullSafe(F.col("of_known"))
+    # of responses alike in all of this, the smallest body counts
+    own = F.struct("at", "digest", F.col("headers")["etag"].alias("etag"), F.col("headers")["last-modified"].alias("modified"))
+    responses = placed.where("kind = 'response'").withColumn("own", own)
+    responses = responses.groupBy(identity(F.col("record_id"), F.col("own")).alias("identity")).agg(F.min(F.struct("body", F.to_json("headers").alias("text"))).alias("full"))
     allowed = F.map_filter("headers", lambda name, _: name.isin(*renewed))
     original = F.from_json("full.text", "map<string,string>")
     kept = F.map_filter(original, lambda name, _: ~F.array_contains(F.map_keys(allowed), name))
-    return judged.join(responses, same, "left").select(
+    return judged.join(responses, "identity", "left").select(
         "record_id", "canonical_url", "captured_at", "status", "refers_to", "validator", F.col("full.body").alias("body"),
         F.when(F.col("status") == "resolved", F.map_concat(kept, allowed)).alias("headers"),
     )
