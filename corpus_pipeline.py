@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -32,6 +33,14 @@ def like_target(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return taken.select([F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
+def with_row_key(docs: DataFrame, name: str) -> DataFrame:
+    """Adds a key of every row: its file and place there, or, for rows that come from no files, a number that is written with them."""
+    try:
+        return docs.select("*", F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")).alias(name))
+    except AnalysisException:
+        return stored(docs.withColumn(name, F.monotonically_increasing_id()))
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest id, those without an id last.
 
@@ -39,7 +48,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     smallest hash of the text decides. Documents without words stay; of repeated ones with an id, one.
     """
     row = unused(docs, "near_row")
-    keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    keyed = with_row_key(docs, row)
     found = jaccard.near_duplicates(keyed, id_col=row).withColumnRenamed(row, "row")
     named = keyed.select(F.col(row).alias("row"), "doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key")).join(found, "row")
     alone = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
