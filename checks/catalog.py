@@ -255,7 +255,7 @@ def quantity_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @on_folder(
     "numeric_quantiles",
     " UNION ALL ".join(
-        f"SELECT '{name}' AS name, p::DOUBLE AS p, (SELECT quantile_cont({value}, {p}) FROM {source})::DOUBLE AS value FROM (SELECT {p} AS p)"
+        f"SELECT '{name}' AS name, p::DOUBLE AS p, round((SELECT quantile_cont({value}, {p}) FROM {source})::DOUBLE, 6) AS value FROM (SELECT {p} AS p)"
         for name, value, source in (
             ("price", "l_extendedprice", "lineitem"), ("loss", "-l_extendedprice * l_discount", "lineitem"), ("line", "l_orderkey * 1000000 - l_partkey", "lineitem"), ("value", "value", "events"),
         )
@@ -263,13 +263,17 @@ def quantity_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def numeric_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantiles of doubles, negative ones among them, and of whole numbers of 64 bits."""
+    """Quantiles of doubles, negative ones among them, and of whole numbers of 64 bits.
+
+    To six places, as engines differ in the last bit of what lies between two values.
+    """
     wanted = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
     items = table(spark, sf_dir, "lineitem").select(
         F.col("l_extendedprice").alias("price"), (-F.col("l_extendedprice") * F.col("l_discount")).alias("loss"), (F.col("l_orderkey") * 1000000 - F.col("l_partkey")).alias("line")
     )
     events = quantiles.quantiles(table(spark, sf_dir, "events"), ["value"], wanted)
-    return quantiles.quantiles(items, ["price", "loss", "line"], wanted).unionByName(events)
+    found = quantiles.quantiles(items, ["price", "loss", "line"], wanted).unionByName(events)
+    return found.withColumn("value", F.round("value", 6))
 
 
 # Star schema ---------------------------------------------------------------------------------
