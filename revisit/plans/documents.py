@@ -11,6 +11,7 @@ from revisit.operators.quality import pass_summary
 
 Tables = Mapping[str, DataFrame]
 
+# The names in the published snapshot.
 HEADLINE = [
     "encounters_total", "patients_total", "eligible_encounters", "readmits_30d", "readmit_30d_pct", "readmit_any_pct",
     "readmit_30d_pct_first_encounter", "avg_los_days", "avg_num_medications", "med_change_pct", "on_insulin_pct",

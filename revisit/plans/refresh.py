@@ -14,6 +14,7 @@ from revisit.plans.staging import staged_encounters, staged_lookups
 from revisit.session import scratch_folder, wide_rows, write_table
 from revisit.sources.writers import replace_tables, write_tables
 
+# The names of the written tables.
 STAR_TABLES = [
     "fact_encounter", "fact_encounter_medication", "dim_patient", "dim_age_group", "dim_diagnosis_group",
     "dim_admission_type", "dim_discharge_disposition", "dim_admission_source", "dim_medication",
@@ -21,7 +22,7 @@ STAR_TABLES = [
 COUNTED_TABLES = ["stg_encounters", "stg_ids_mapping", "cln_encounters", "cln_encounter_medications", *STAR_TABLES]
 QUALITY_TABLES = ["dq_row_counts", "dq_null_rates", "dq_issues", "dq_assertions"]
 
-# Key of each table whose cells are compared between two refreshes.
+# Key of each table whose cells are compared between two refreshes.
 COMPARED_TABLES = {
     "a_kpi_headline": [],  # one row
     "a_readmit_by_age": ["age_group", "age_mid"],
