@@ -12,11 +12,11 @@ from checks import oracle as O
 from checks.build import built, raw_files, table
 from checks.versions import COMPARED, KEY, left_version, right_version, sql_versions
 from revisit.functions.cleaning import count_in, tail_band
-from revisit.operators import quality, quantiles, rates, reconcile, reshape
+from revisit.operators import distinct, quality, quantiles, rates, reconcile, reshape
 from revisit.operators.keys import group_size, sequence
 from revisit.plans import cleaning, documents, kpis, ledgers, refresh, reports, star
 from revisit.plans import vocabulary as V
-from revisit.session import fresh_folder
+from revisit.session import fresh_folder, write_table
 from revisit.sources import readers, writers
 
 Tables = dict[str, DataFrame]
@@ -510,6 +510,55 @@ on_tables(
     O.sql(f"""SELECT diag_group, {MEASURES} FROM fact JOIN dim_diag ON diag_group_key = secondary_diag_group_key GROUP BY diag_group"""),
     lambda t: reports.measures(t, ["diag_group"], diagnosis_key="secondary_diag_group_key"),
 )
+SLICERS, PATIENT_SLICERS = ["age_group", "age_mid", "los_band", "insulin_status"], ["gender", "race"]
+MIXES = {
+    "overall": ([], None),
+    "age": (["age_group"], None),
+    "band": (["los_band", "insulin_status"], "age_mid >= 40"),
+    "patient": (["gender", "los_band"], "race = 'Caucasian'"),
+}
+PARTS_FROM = "(SELECT * FROM fact JOIN dim_age USING (age_key) JOIN (SELECT patient_nbr, gender, race FROM dim_patient) p USING (patient_nbr)) m"
+
+
+def _label(names: list[str]) -> str:
+    return " || '|' || ".join(["''", *[f"coalesce({name}, '-')" for name in names]])
+
+
+@on_folder(
+    "measures_of_stored_parts",
+    O.sql(
+        " UNION ALL ".join(
+            f"SELECT '{mix}' AS mix, {_label(names)} AS label, {MEASURES} FROM {PARTS_FROM} WHERE {where or 'true'} GROUP BY {', '.join(['mix', *names])}"
+            for mix, (names, where) in MIXES.items()
+        )
+    ),
+)
+def measures_of_stored_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures under several mixes of slicers, on encounters and on patients, from parts that are written once."""
+    parts = write_table(reports.measure_parts(built(spark, sf_dir), SLICERS, PATIENT_SLICERS), f"{fresh_folder(spark)}/parts")
+    found = [(mix, names, reports.measures_of_parts(parts, names, where)) for mix, (names, where) in MIXES.items()]
+    return quality.union_all([df.select(F.lit(mix).alias("mix"), F.expr(_label(names)).alias("label"), *df.columns[len(names) :]) for mix, names, df in found])
+
+
+@on_folder(
+    "event_users",
+    """WITH e AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day FROM events), middle AS (SELECT min(day) + CAST((max(day) - min(day)) // 2 AS INTEGER) AS mid FROM e),
+f AS (SELECT e.*, IF(day < mid, 'early', 'late') AS half FROM e, middle)
+SELECT event_type AS name, CAST(count(DISTINCT user_id) AS BIGINT) AS users, CAST(count(*) AS BIGINT) AS events FROM f GROUP BY event_type
+UNION ALL SELECT half, CAST(count(DISTINCT user_id) AS BIGINT), CAST(count(*) AS BIGINT) FROM f GROUP BY half
+UNION ALL SELECT 'both halves', CAST(count(*) AS BIGINT), NULL FROM (SELECT user_id FROM f GROUP BY user_id HAVING count(DISTINCT half) = 2 AND user_id IS NOT NULL)""",
+)
+def event_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by type and by half of the time, and users of both halves, from one set of stored parts by type and day."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", F.col("ts").cast("date").alias("day"), F.lit(1).alias("one"))
+    parts = write_table(distinct.entity_parts(events, ["event_type", "day"], "user_id", {"events": F.col("one")}), f"{fresh_folder(spark)}/parts")
+    ends = parts.agg(F.expr("date_add(min(day), CAST(datediff(max(day), min(day)) div 2 AS INT))")).scalar()
+    halves = parts.withColumn("half", F.when(F.col("day") < ends, "early").otherwise("late"))
+    by = [distinct.pooled(halves, [key], "users", ["events"]).withColumnRenamed(key, "name") for key in ("event_type", "half")]
+    both = distinct.in_all(halves, {"early": "half = 'early'", "late": "half = 'late'"}, "users")
+    return quality.union_all([*by, both.select(F.lit("both halves").alias("name"), "users", F.lit(None).cast("bigint").alias("events"))])
+
+
 DRUGS_SQL = """SELECT medication, CAST(count(*) AS BIGINT) AS drug_encounters,
 CAST(sum(readmit_30d_flag) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS drug_readmit_30d_rate
 FROM fact_med JOIN dim_drug USING (medication_key) WHERE is_readmit_eligible = 1"""

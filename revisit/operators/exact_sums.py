@@ -73,12 +73,12 @@ def parts_of(columns: list[str], name: str) -> list[str]:
     return [c for c in columns if c == name or c.startswith(f"{name}__")]
 
 
-def gathered(columns: list[str], name: str, each: Callable[[Column], Column] = lambda c: c) -> Column:
-    """The places (as a map) and counts of a sum as one value; ``each`` may add them up over a window."""
+def gathered(columns: list[str], name: str, renamed: Callable[[str], str] = str) -> Column:
+    """The places and counts of a sum as one value; ``renamed`` says where to find them if under other names."""
     places = [c for c in parts_of(columns, name) if c.rpartition("__")[2].isdigit()]
-    entries = [F.struct(F.lit(int(c.rpartition("__")[2])).alias("place"), F.coalesce(each(F.col(c)), F.lit(0)).cast("bigint").alias("n")) for c in places]
+    entries = [F.struct(F.lit(int(c.rpartition("__")[2])).alias("place"), F.coalesce(F.col(renamed(c)), F.lit(0)).cast("bigint").alias("n")) for c in places]
     digits = F.array(*entries) if entries else F.array().cast("array<struct<place:int,n:bigint>>")
-    return F.struct(digits.alias("digits"), *[F.coalesce(each(F.col(f"{name}__{kind}")), F.lit(0)).cast("bigint").alias(kind) for kind in SPECIAL], F.lit(None).cast("string").alias("number"))
+    return F.struct(digits.alias("digits"), *[F.coalesce(F.col(renamed(f"{name}__{kind}")), F.lit(0)).cast("bigint").alias(kind) for kind in SPECIAL], F.lit(None).cast("string").alias("number"))
 
 
 def as_sum(number: Column) -> Column:

@@ -10,7 +10,6 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,12 +24,18 @@ class Measure:
     """``parts`` maps part names to SQL aggregates; ``finish`` turns the parts into the result.
 
     ``exact`` does so where a part is a sum of doubles, or of decimals of more than six places.
+    ``whole`` says that the parts are also needed as sums over all groups, under the names of :func:`over_all`.
     """
 
     name: str
     parts: Mapping[str, str]
     finish: Callable[[], Column]
     exact: Callable[[Gathered], Column] | None = None
+    whole: bool = False
+
+
+def over_all(part: str) -> str:
+    return f"_all_{part}"
 
 
 ROWS = {"rows": "count(1)"}
@@ -68,17 +73,14 @@ def average(name: str, column: str) -> Measure:
 
 
 def share_of_rows(name: str) -> Measure:
-    """Rows of the group as a percentage of all groups in the table.
-
-    The window runs over the finished groups, one row per label.
-    """
-    return Measure(name, ROWS, lambda: percent(F.col("rows"), F.sum("rows").over(W.partitionBy())))
+    """Rows of the group as a percentage of all groups in the table."""
+    return Measure(name, ROWS, lambda: percent(F.col("rows"), F.col(over_all("rows"))), whole=True)
 
 
 def share_of_total(name: str, column: str) -> Measure:
     part = f"sum_{column}"
     exact = lambda of: X.exact_share(of(part), of(part, True))
-    return Measure(name, {part: f"sum({column})"}, lambda: percent(F.col(part), F.sum(part).over(W.partitionBy())), exact)
+    return Measure(name, {part: f"sum({column})"}, lambda: percent(F.col(part), F.col(over_all(part))), exact, whole=True)
 
 
 def part_aggregates(df: DataFrame, measures: Sequence[Measure]) -> list[Column]:
@@ -111,19 +113,31 @@ def pool_parts(parts: DataFrame, keys: Sequence[str], measures: Sequence[Measure
     return parts.groupBy(*keys).agg(*[F.sum(part).alias(part) for part in names])
 
 
+def with_totals(parts: DataFrame, measures: Sequence[Measure]) -> DataFrame:
+    """Adds the sums over all groups that shares need: one aggregate that combines map-side, read as a scalar, so no task sees all groups."""
+    wanted = dict.fromkeys(part for measure in measures if measure.whole for part in measure.parts)
+    names = [name for part in wanted for name in X.parts_of(parts.columns, part)]
+    if not names:
+        return parts
+    totals = parts.agg(F.struct(*[F.sum(name).alias(name) for name in names])).scalar()
+    return parts.withColumn("_totals", totals).select("*", *[F.col(f"_totals.`{name}`").alias(over_all(name)) for name in names]).drop("_totals")
+
+
 def finish(parts: DataFrame, keys: Sequence[str], measures: Sequence[Measure], min_rows: int | None = None) -> DataFrame:
     """Results from parts; ``min_rows`` keeps groups of at least that many rows."""
     if min_rows is not None:
         parts = parts.where(F.col("rows") >= min_rows)
+    single = parts.columns
+    parts = with_totals(parts, measures)
     kinds = {f.name: f.dataType for f in parts.schema}
 
     def by_digits(part: str) -> bool:
         kind = kinds.get(part)
-        return X.is_split(parts.columns, part) or (isinstance(kind, T.DecimalType) and kind.scale > 6)
+        return X.is_split(single, part) or (isinstance(kind, T.DecimalType) and kind.scale > 6)
 
     def gathered(part: str, everywhere: bool = False) -> Column:
-        each = (lambda c: F.sum(c).over(W.partitionBy())) if everywhere else (lambda c: c)
-        return X.gathered(parts.columns, part, each) if X.is_split(parts.columns, part) else X.as_sum(each(F.col(part)))
+        renamed = over_all if everywhere else str
+        return X.gathered(single, part, renamed) if X.is_split(single, part) else X.as_sum(F.col(renamed(part)))
 
     def result(measure: Measure) -> Column:
         return measure.exact(gathered) if measure.exact and any(map(by_digits, measure.parts)) else measure.finish()

@@ -214,10 +214,14 @@ def headline(fact: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def by_medication(tables: Mapping[str, DataFrame], min_rows: int = V.MEDICATION_MIN_ROWS) -> DataFrame:
-    """Encounters where a drug was prescribed; drugs below ``min_rows`` encounters are left out."""
-    drugs = tables["dim_medication"].select("medication_key", "medication", "drug_class")
-    view = tables["fact_encounter_medication"].join(F.broadcast(drugs), "medication_key")
-    return R.rate_by(view, ["medication", "drug_class"], MEDICATION_MEASURES, ELIGIBLE, min_rows)
+    """Encounters where a drug was prescribed; drugs below ``min_rows`` encounters are left out.
+
+    The facts are added up by drug key first, so that the join sees one row per key.
+    """
+    keys, facts = ["medication", "drug_class"], tables["fact_encounter_medication"].where(ELIGIBLE)
+    parts = facts.groupBy("medication_key").agg(*R.part_aggregates(facts, MEDICATION_MEASURES))
+    named = parts.join(tables["dim_medication"].select("medication_key", *keys), "medication_key")
+    return R.finish(R.pool_parts(named, keys, MEDICATION_MEASURES), keys, MEDICATION_MEASURES, min_rows)
 
 
 def patient_utilisation(tables: Mapping[str, DataFrame]) -> DataFrame:

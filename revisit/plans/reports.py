@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revisit.functions.rounding import fraction
+from revisit.operators.distinct import entity_parts, pooled
 from revisit.operators.measures import additive_by, against_overall, matrix, related_rows
 from revisit.operators.quality import count_if
 from revisit.operators.rates import rate_by
@@ -93,9 +94,46 @@ def measures(
         where,
         entities="patients",
     )
+    return _rated(sums, [*keys, *patient_keys], overall_rate(tables))
+
+
+def _rated(sums: DataFrame, keys: Sequence[str], overall: DataFrame) -> DataFrame:
     ratios = [fraction(F.col(a), F.col(b)).alias(name) for name, (a, b) in RATIOS.items()]
-    rated = sums.select(*keys, *patient_keys, *[F.col(c).cast("bigint").alias(c) for c in COUNTS], *ratios)
-    return against_overall(rated, F.col("readmit_30d_rate"), overall_rate(tables), "readmit_30d_vs_overall")
+    rated = sums.select(*keys, *[F.col(c).cast("bigint").alias(c) for c in COUNTS], *ratios)
+    return against_overall(rated, F.col("readmit_30d_rate"), overall, "readmit_30d_vs_overall")
+
+
+def measure_parts(
+    tables: Tables, keys: Sequence[str], patient_keys: Sequence[str] = (), diagnosis_key: str = "primary_diag_group_key"
+) -> DataFrame:
+    """What :func:`measures_of_parts` needs to answer for any mix of the given slicers; to be written once.
+
+    Rows are the combinations of slicer values that occur, times ranges of patient numbers. Facts meet their
+    patients only here, and not at all without ``patient_keys``.
+    """
+    sums = {name: F.expr(sql) for name, sql in SUMS.items()}
+    rows = with_labels(tables, set(keys), diagnosis_key)
+    if patient_keys:
+        per_patient = rows.groupBy("patient_nbr", *keys).agg(*[F.sum(column).alias(name) for name, column in sums.items()])
+        rows = per_patient.join(tables["dim_patient"].select("patient_nbr", *patient_keys), "patient_nbr")
+        sums = {name: F.col(name) for name in SUMS}
+    return entity_parts(rows, [*keys, *patient_keys], "patient_nbr", sums)
+
+
+def measures_of_parts(parts: DataFrame, keys: Sequence[str] = (), where: Column | str | None = None) -> DataFrame:
+    """All encounter measures by any slicers of stored parts, under a filter on any of them, without the facts."""
+    overall = parts.agg(fraction(F.sum("readmits_30d"), F.sum("eligible_encounters")).alias("rate"))
+    return _rated(pooled(parts, keys, "patients", list(SUMS), where), keys, overall)
+
+
+def _readmits(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Rows and 30-day readmissions by key, before labels are looked up."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name), count_if(F.col("readmit_30d_flag") == 1).alias("readmits"))
+
+
+def _summed(labelled: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Counts of keys added up over their labels."""
+    return labelled.groupBy(*keys).agg(F.sum(name).alias(name), F.sum("readmits").alias("readmits"))
 
 
 def drug_measures(tables: Tables, encounter_where: Column | str | None = None, min_rows: int = 0) -> DataFrame:
@@ -106,19 +144,15 @@ def drug_measures(tables: Tables, encounter_where: Column | str | None = None, m
     rows = tables["fact_encounter_medication"].where(F.col("is_readmit_eligible") == 1)
     if encounter_where is not None:
         rows = related_rows(rows, tables["fact_encounter"].where(encounter_where), "encounter_id")
-    drugs = tables["dim_medication"].select("medication_key", "medication")
-    sums = (
-        rows.join(F.broadcast(drugs), "medication_key")
-        .groupBy("medication")
-        .agg(F.count(F.lit(1)).alias("drug_encounters"), count_if(F.col("readmit_30d_flag") == 1).alias("readmits"))
-    )
+    by_key = _readmits(rows, ["medication_key"], "drug_encounters")
+    sums = _summed(by_key.join(tables["dim_medication"].select("medication_key", "medication"), "medication_key"), ["medication"], "drug_encounters")
     rate = fraction(F.col("readmits"), F.col("drug_encounters")).alias("drug_readmit_30d_rate")
     return sums.where(F.col("drug_encounters") >= min_rows).select("medication", "drug_encounters", rate)
 
 
 def encounters_on_drug(tables: Tables, drug: str) -> DataFrame:
     """Encounter facts of one drug: the same relationship followed the other way."""
-    chosen = F.broadcast(tables["dim_medication"].where(F.col("medication") == drug).select("medication_key"))
+    chosen = tables["dim_medication"].where(F.col("medication") == drug).select("medication_key")
     rows = tables["fact_encounter_medication"].join(chosen, "medication_key", "left_semi")
     return related_rows(tables["fact_encounter"], rows, "encounter_id")
 
@@ -127,12 +161,10 @@ def admission_by_stay(tables: Tables) -> DataFrame:
     """30-day rate by admission type and stay band, with the distance from the overall rate."""
     types = tables["dim_admission_type"].select("admission_type_id", "admission_type")
     eligible = tables["fact_encounter"].where(F.col("is_readmit_eligible") == 1)
-    groups = (
-        eligible.join(F.broadcast(types), "admission_type_id")
-        .groupBy("admission_type", "los_band")
-        .agg(F.count(F.lit(1)).alias("encounters"), count_if(F.col("readmit_30d_flag") == 1).alias("readmits"))
-        .select("admission_type", "los_band", "encounters", fraction(F.col("readmits"), F.col("encounters")).alias("rate"))
-    )
+    by_key = _readmits(eligible, ["admission_type_id", "los_band"], "encounters")
+    keys = ["admission_type", "los_band"]
+    rate = fraction(F.col("readmits"), F.col("encounters")).alias("rate")
+    groups = _summed(by_key.join(types, "admission_type_id"), keys, "encounters").select(*keys, "encounters", rate)
     return against_overall(groups, F.col("rate"), overall_rate(tables), "vs_overall")
 
 

@@ -6,6 +6,7 @@ import pytest
 
 from checks.build import built
 from revisit.plans import cleaning, kpis, ledgers, reports, star
+from revisit.session import write_table
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are missing")
@@ -48,6 +49,17 @@ def test_labels_are_joined_after_grouping(tables):
     assert text.index("Join [discharge_disposition_id") < text.index("HashAggregate(keys=[discharge_disposition_id")
 
 
+@pytest.mark.parametrize("build", [kpis.by_medication, reports.drug_measures, reports.admission_by_stay])
+def test_fact_rows_are_grouped_by_key_before_their_labels(tables, build):
+    text = plan(build(tables))
+    assert text.index("Join [") < text.index(f"HashAggregate(keys=[{'medication_key' if 'medication_key' in text else 'admission_type_id'}")
+
+
+@pytest.mark.parametrize("name", ["a_readmit_by_diagnosis", "a_patient_utilisation"])
+def test_shares_need_no_window_over_all_groups(tables, name):
+    assert "Window" not in plan(kpis.kpi_table(tables, name))
+
+
 def test_wide_rows_are_shuffled_once(spark, tables):
     types = cleaning.compact(tables["stg_encounters"])
     order = tables["cln_encounters"].select("encounter_id", "patient_encounter_seq")
@@ -81,3 +93,9 @@ def test_a_hot_patient_is_summed_before_the_patient_join(spark, tables):
 def test_fences_need_no_wide_rows(tables):
     text = plan(cleaning.encounter_keys(cleaning.compact(tables["stg_encounters"])))
     assert "ReadSchema: struct<encounter_id:string,patient_nbr:string,num_lab_procedures:string,num_medications:string>" in text
+
+
+def test_measures_of_stored_parts_never_see_patients(spark, tables, tmp_path):
+    parts = write_table(reports.measure_parts(tables, ["los_band", "age_mid"], ["gender"]), str(tmp_path / "parts"))
+    text = plan(reports.measures_of_parts(parts, ["los_band"], "gender = 'Female' AND age_mid >= 40"))
+    assert "patient_nbr" not in text and "Join" not in text and "PushedFilters: [IsNotNull(gender), IsNotNull(age_mid)" in text
