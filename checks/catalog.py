@@ -13,7 +13,7 @@ from checks.build import built, raw_files, table
 from checks.versions import COMPARED, KEY, left_version, right_version, sql_versions
 from revisit.functions.cleaning import count_in, tail_band
 from revisit.operators import distinct, quality, quantiles, rates, reconcile, reshape
-from revisit.operators.keys import group_size, sequence
+from revisit.operators.keys import group_size, keep_first, sequence, surrogate_key
 from revisit.plans import cleaning, documents, kpis, ledgers, refresh, reports, star
 from revisit.plans import vocabulary as V
 from revisit.session import fresh_folder, write_table
@@ -56,6 +56,12 @@ def keys(t: Tables) -> DataFrame:
 
 # Sources and sinks ---------------------------------------------------------------------------
 
+def _cells_sql(source: str, but: str = "") -> str:
+    """Every filled cell as the name of its column and its text."""
+    return f"(UNPIVOT (SELECT CAST(COLUMNS(*{but}) AS VARCHAR) FROM {source}) ON COLUMNS(*) INTO NAME name VALUE value)"
+
+
+CELLS_SUM = "CAST(coalesce(sum(CAST('0x' || substr(md5(name || ':' || value), 1, 8) AS BIGINT)), 0) AS VARCHAR)"
 ORDER_TEXT = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
 
@@ -109,6 +115,41 @@ def stage_stacked_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.join(used, "id", "left").select("id", "description", F.coalesce("n", F.lit(0)).cast("bigint").alias("customers"))
 
 
+@on_folder(
+    "csv_line_breaks",
+    "SELECT CAST(event_id AS VARCHAR) AS event_id, '\"' || props || chr(10) || event_type || '\"' AS note FROM events",
+)
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields with line breaks and doubled quotes, written and read by tasks that each take a part of a file."""
+    path = f"{fresh_folder(spark)}/notes"
+    note = F.concat(F.lit('"'), "props", F.lit("\n"), "event_type", F.lit('"')).alias("note")
+    writers.export_csv(table(spark, sf_dir, "events").select("event_id", note), path)
+    return readers.read_quoted_csv(spark, path, ["event_id", "note"])
+
+
+PUBLISHED = ["region", "nation", "supplier"]
+
+
+@on_folder(
+    "namespace_tables",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, (SELECT CAST(count(*) AS BIGINT) FROM {n}) AS n, {CELLS_SUM} AS checksum FROM {_cells_sql(n, ' EXCLUDE (s_acctbal)' if n == 'supplier' else '')}"
+        for n in PUBLISHED
+    ),
+)
+def namespace_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables written, made known in a database and read by their names there."""
+    root, before = fresh_folder(spark), spark.catalog.currentDatabase()
+    writers.replace_tables(spark, {n: lambda n=n: table(spark, sf_dir, n) for n in PUBLISHED}, root)
+    try:
+        writers.publish_tables(spark, PUBLISHED, root, "published")
+        found = {n: spark.table(n) for n in PUBLISHED}
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    sums = {n: writers.checksum([c for c in df.columns if df.schema[c].dataType.typeName() != "double"]).cast("string") for n, df in found.items()}
+    return quality.union_all([df.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n"), sums[n].alias("checksum")) for n, df in found.items()])
+
+
 @on_folder("sample_modulus", "SELECT * FROM orders WHERE o_orderkey % 691 = 7 ORDER BY o_orderkey")
 def sample_modulus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.modulus_sample(table(spark, sf_dir, "orders"), "o_orderkey", 691, 7)
@@ -119,38 +160,32 @@ def sample_raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.modulus_sample(built(spark, sf_dir)["stg_encounters"], "encounter_id", 691, 7)
 
 
+STAR_SOURCES = {
+    "fact_encounter": "fact", "fact_encounter_medication": "fact_med", "dim_patient": "dim_patient", "dim_age_group": "dim_age",
+    "dim_diagnosis_group": "dim_diag", "dim_admission_type": "dim_type", "dim_discharge_disposition": "dim_discharge",
+    "dim_admission_source": "dim_source", "dim_medication": "dim_drug",
+}
+
+
 @on_folder(
     "export_star",
     O.sql(
         "\nUNION ALL ".join(
-            f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS exported_rows, "
-            f"CAST(count({column}) AS BIGINT) AS filled_cells FROM {source}"
-            for name, source, column in [
-                ("fact_encounter", "fact", "payer_code"),
-                ("fact_encounter_medication", "fact_med", "dose_status"),
-                ("dim_patient", "dim_patient", "race"),
-                ("dim_age_group", "dim_age", "age_group"),
-                ("dim_diagnosis_group", "dim_diag", "diag_group"),
-                ("dim_admission_type", "dim_type", "description"),
-                ("dim_discharge_disposition", "dim_discharge", "description"),
-                ("dim_admission_source", "dim_source", "description"),
-                ("dim_medication", "dim_drug", "medication"),
-            ]
+            f"SELECT '{name}' AS table_name, name AS column_name, (SELECT CAST(count(*) AS BIGINT) FROM {source}) AS rows, "
+            f"CAST(count(*) AS BIGINT) AS filled_cells, {CELLS_SUM} AS checksum, true AS in_order FROM {_cells_sql(source)} GROUP BY name"
+            for name, source in STAR_SOURCES.items()
         )
     ),
 )
 def export_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nine star tables exported to CSV and read back as text."""
+    """The nine star tables exported to CSV: order and content of every column that holds anything, from the written files."""
     tables, root = built(spark, sf_dir), fresh_folder(spark)
-    counted = {"fact_encounter": "payer_code", "fact_encounter_medication": "dose_status", "dim_patient": "race"}
-    counted |= {"dim_age_group": "age_group", "dim_diagnosis_group": "diag_group", "dim_medication": "medication"}
     writers.export_tables(tables, refresh.STAR_TABLES, root)
-    parts = []
+    found = []
     for name in refresh.STAR_TABLES:
-        back = readers.read_text_csv(spark, f"{root}/{name}", tables[name].columns)
-        cells = F.count(F.col(counted.get(name, "description"))).alias("filled_cells")
-        parts.append(back.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("exported_rows"), cells))
-    return quality.union_all(parts)
+        summary = writers.export_summary(writers.export_manifest(spark, f"{root}/{name}", tables[name].schema)).where("filled_cells > 0")
+        found.append(summary.select(F.lit(name).alias("table_name"), "*").withColumn("checksum", F.col("checksum").cast("string")))
+    return quality.union_all(found)
 
 
 REFRESHED = [
@@ -167,17 +202,19 @@ REFRESHED = [
     "refresh_all_tables",
     O.sql(
         "\nUNION ALL ".join(
-            f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS n FROM {source} q" for name, source in REFRESHED
+            f"SELECT '{name}' AS table_name, (SELECT CAST(count(*) AS BIGINT) FROM {source} q) AS n, {CELLS_SUM} AS checksum FROM {_cells_sql(source + ' q')}"
+            for name, source in REFRESHED
         )
     ),
 )
 def refresh_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A full refresh from the raw files, run twice into the same folder; rows of all 32 tables."""
+    """A full refresh from the raw files, run twice into the same folder; rows of all 32 tables and a checksum of all their cells."""
     root = fresh_folder(spark)
     refresh.refresh(spark, *raw_files(spark, sf_dir), root)
     tables = refresh.refresh(spark, *raw_files(spark, sf_dir), root)
     names = writers.find_tables(tables, "stg_*", "cln_*", "fact_*", "dim_*", "a_*", "dq_*")
-    return quality.union_all([quality.row_count(tables[n], "n").select(F.lit(n).alias("table_name"), "n") for n in names])
+    sums = {n: writers.checksum(tables[n].columns).cast("string").alias("checksum") for n in names}
+    return quality.union_all([tables[n].agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n"), sums[n]) for n in names])
 
 
 # Cleaning ------------------------------------------------------------------------------------
@@ -430,6 +467,41 @@ def order_group_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_size(numbered, "o_custkey", "customer_orders")
 
 
+@on_folder(
+    "order_null_customers",
+    """SELECT *, CAST(count(*) OVER (PARTITION BY c) AS BIGINT) AS customer_orders, CAST(row_number() OVER (PARTITION BY c ORDER BY o_orderkey) AS BIGINT) AS customer_order_seq
+FROM (SELECT o_orderkey, CASE WHEN o_custkey % 10 <> 3 THEN o_custkey END AS c FROM orders)""",
+)
+def order_null_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group sizes and positions where a tenth of all rows have no entity; these are one, hot, group and are numbered in blocks."""
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "CASE WHEN o_custkey % 10 <> 3 THEN o_custkey END AS c")
+    return group_size(sequence(orders, "c", "o_orderkey", "customer_order_seq", hot_rows=40, block_bits=8), "c", "customer_orders")
+
+
+@on_folder(
+    "first_of_tied_copies",
+    """SELECT k, o_orderpriority, o_orderstatus, o_orderkey FROM (SELECT nullif(o_custkey % 300, 7) AS k, nullif(o_orderpriority, '1-URGENT') AS o_orderpriority, o_orderstatus, o_orderkey FROM orders)
+WHERE k IS NOT NULL QUALIFY row_number() OVER (PARTITION BY k ORDER BY o_orderpriority NULLS LAST, o_orderstatus, o_orderkey) = 1""",
+)
+def first_of_tied_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of a key that tie in what is preferred and differ in the rest; rows without a key go."""
+    key, known = F.expr("nullif(o_custkey % 300, 7)").alias("k"), F.expr("nullif(o_orderpriority, '1-URGENT')").alias("o_orderpriority")
+    orders = table(spark, sf_dir, "orders").select(key, known, "o_orderstatus", "o_orderkey")
+    return keep_first(orders, "k", [F.col("o_orderpriority").asc_nulls_last(), F.col("o_orderstatus").asc()], F.col("o_orderkey"))
+
+
+@on_folder(
+    "surrogate_keys_many",
+    """SELECT CAST(row_number() OVER (ORDER BY l_linenumber, l_orderkey, copy) AS BIGINT) AS line_key, l_orderkey, l_linenumber, copy
+FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem), (VALUES ('a'), ('b')) c (copy)""",
+)
+def surrogate_keys_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense keys over two labels per line: more than a hundred thousand, numbered by ranges."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    labels = lines.select("*", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("copy"))
+    return surrogate_key(labels, "line_key", ["l_linenumber"], "bigint")
+
+
 @on_folder(
     "line_flags_long",
     """SELECT flag, code, CAST(count(*) AS BIGINT) AS lines FROM

@@ -8,10 +8,13 @@ from concurrent.futures import ThreadPoolExecutor
 from fnmatch import fnmatchcase
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.util import inheritable_thread_target
 
 from revisit.session import remove, write_table
+from revisit.sources.readers import read_text_csv
 
 
 Build = Callable[[], DataFrame]
@@ -119,6 +122,57 @@ def export_tables(tables: Mapping[str, DataFrame], names: Iterable[str], root: s
     return paths
 
 
+def cell_number(name: str) -> Column:
+    """32 bits of the MD5 of a cell's column and text, NULL for NULL; any engine that has MD5 gets the same."""
+    text = F.concat(F.lit(f"{name}:"), F.col(f"`{name}`").cast("string")).cast("binary")
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("decimal(38,0)")
+
+
+def checksum(columns: Iterable[str]) -> Column:
+    """Aggregate over all cells of the columns that does not depend on the order of rows, and adds up over parts."""
+    return F.coalesce(F.sum(sum((F.coalesce(cell_number(c), F.lit(0)) for c in columns), F.lit(0))), F.lit(0)).cast("decimal(38,0)")
+
+
+def export_manifest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What an export holds, from its files: a row per block that a task reads, in ``file`` and ``start``.
+
+    ``rows``, ``first`` and ``last`` row, ``disorder`` (rows that are smaller than the one before, in the order of
+    :func:`ordered`), and per column ``filled`` cells and their ``sum``. Rows meet by block only, which
+    ``spark.sql.files.maxPartitionBytes`` bounds. In CSV empty text and NULL are one; both count as NULL here.
+    """
+    text = read_text_csv(spark, path, schema.fieldNames())
+    place = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at")]
+    nulls_last = F.struct(*[F.struct(F.col(f"`{f.name}`").cast(f.dataType).isNull().alias("none"), F.col(f"`{f.name}`").cast(f.dataType).alias("value")) for f in schema])
+    found = [F.struct(F.when(F.col(f"`{c}`").isNotNull(), 1).otherwise(0).alias("filled"), F.coalesce(cell_number(c), F.lit(0)).alias("sum")).alias(f"c{i}") for i, c in enumerate(schema.fieldNames())]
+    rows = text.select(*place, nulls_last.alias("row"), *found)
+    before = F.lag("row").over(W.partitionBy("file", "start").orderBy("at"))
+    columns = [
+        F.struct(F.lit(c).alias("name"), F.sum(f"c{i}.filled").alias("filled"), F.sum(f"c{i}.sum").cast("decimal(38,0)").alias("sum"))
+        for i, c in enumerate(schema.fieldNames())
+    ]
+    return (
+        rows.withColumn("late", F.coalesce((F.col("row") < before).cast("int"), F.lit(0)))
+        .groupBy("file", "start")
+        .agg(
+            F.count(F.lit(1)).alias("rows"), F.min_by("row", "at").alias("first"), F.max_by("row", "at").alias("last"),
+            F.sum("late").alias("disorder"), F.array(*columns).alias("columns"),
+        )
+    )
+
+
+def export_summary(manifest: DataFrame) -> DataFrame:
+    """Per column of an export: rows, filled cells, checksum, and whether all rows are in order, across files too.
+
+    The window runs over a row per block of the files. An export without rows has no columns here.
+    """
+    before = F.lag("last").over(W.orderBy("file", "start"))
+    blocks = manifest.withColumn("disorder", F.col("disorder") + F.coalesce((F.col("first") < before).cast("int"), F.lit(0)))
+    cells = blocks.select("rows", "disorder", F.explode("columns").alias("c"))
+    return cells.groupBy(F.col("c.name").alias("column_name")).agg(
+        F.sum("rows").alias("rows"), F.sum("c.filled").alias("filled_cells"), F.sum("c.sum").cast("decimal(38,0)").alias("checksum"), (F.sum("disorder") == 0).alias("in_order")
+    )
+
+
 def find_tables(tables: Iterable[str], *patterns: str) -> list[str]:
     """Names that match one of the patterns (``a_*``), sorted."""
     return sorted(name for name in tables if any(fnmatchcase(name, p) for p in patterns))
