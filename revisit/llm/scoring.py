@@ -7,6 +7,8 @@ recursion in log space over its positions: log alpha(j) = logsumexp of log alpha
 
 Pieces' scores are log probabilities learned from the training texts by expectation maximisation: the
 expected use of each piece over all segmentations of every distinct training word, times its count.
+Words of any length take part whole. Short ones advance together, position by position; a long one goes alone
+through windows, of which each hands the next the last few sums, so its arcs are never held all at once.
 
 Words of the training texts are pieces too, each an arc over its whole lattice: a class of texts (their
 language, say) uses a word with its count less a discount, and spells words with the rest of the mass. A
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from math import exp, fsum, log
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +36,17 @@ from revisit.llm import words
 from revisit.llm.common import remainder, stored
 
 HOT_WORDS = 200_000
-LONGEST_PIECE = 16  # bytes
 ROUNDS = 2
 CHUNK_WORDS = 40_000
 CLASSES = 8
 DISCOUNT = 0.5
-LATTICE_BYTES = 1 << 20
+LATTICE_BYTES = words.CHUNK_BYTES  # of words that advance together
+LONG_WORD = 1 << 12  # bytes; from here on a word goes alone
+WINDOW = 1 << 13  # positions of a long word whose arcs are held at once
+HELD_BYTES = 1 << 26  # of distinct words before a task hands them on
 
 
-def vocabulary(path: str, longest: int = LONGEST_PIECE) -> list[bytes]:
+def vocabulary(path: str) -> list[bytes]:
     """The model's pieces in lower case that can stand in a word, and all single bytes; ascending."""
     import sentencepiece
 
@@ -51,7 +56,7 @@ def vocabulary(path: str, longest: int = LONGEST_PIECE) -> list[bytes]:
         piece = model.id_to_piece(i).replace("▁", " ").encode()
         odd = model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)
         inner = piece[1:] if piece[:1] == b" " else piece
-        if not odd and len(piece) <= longest and piece == piece.lower() and not words.SPACE[np.frombuffer(inner, np.uint8)].any():
+        if not odd and piece == piece.lower() and not words.SPACE[np.frombuffer(inner, np.uint8)].any():
             out.add(piece)
     return sorted(out)
 
@@ -63,6 +68,7 @@ class Lattice:
 
     def __init__(self, pieces: list[bytes]) -> None:
         places: dict[bytes, int] = {p: i for i, p in enumerate(pieces)}
+        self.longest = max(len(p) for p in pieces)
         prefixes = sorted({p[:n] for p in pieces for n in range(1, len(p) + 1)})
         buffer = np.frombuffer(b"".join(prefixes), dtype=np.uint8)
         ends = np.cumsum([len(p) for p in prefixes])
@@ -144,25 +150,96 @@ def forward(lattice: Lattice, score: np.ndarray, group: list[bytes]) -> tuple[np
 
 
 def _groups(found: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of words of like length, bounded in words and bytes. Callers sort by length."""
+    """Runs of words, bounded in words and bytes. Callers sort by length."""
+    ends = np.cumsum([len(w) + 1 for w in found])
     at = 0
     while at < len(found):
-        n = max(1, min(CHUNK_WORDS, LATTICE_BYTES // (len(found[at]) + 1)))
-        yield at, found[at : at + n]
-        at += n
+        fit = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LATTICE_BYTES, "right"))
+        to = max(at + 1, min(at + CHUNK_WORDS, fit))
+        yield at, found[at:to]
+        at = to
+
+
+def _by_length(found: list[bytes]) -> tuple[list[int], list[int]]:
+    """Places of the words that go alone, and of the others, longest first."""
+    order = sorted(range(len(found)), key=lambda i: -len(found[i]))
+    alone = sum(len(w) >= LONG_WORD for w in found)
+    return order[:alone], order[alone:]
+
+
+def _window(lattice: Lattice, word: bytes, a: int, b: int, back: bool) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Lengths and pieces of the arcs that end in a + 1 to b, or, going back, start in b - 1 down to a; and where each position's begin."""
+    low, high = (a, min(len(word), b + lattice.longest - 1)) if back else (max(0, a + 1 - lattice.longest), b)
+    buffer = np.frombuffer(word, dtype=np.uint8, count=high - low, offset=low)
+    place, length, piece = [], [], []
+    for n, (at, own) in enumerate(lattice.arcs(buffer, np.full(len(buffer), len(buffer))), 1):
+        turn = b - 1 - (at + low) if back else at + low + n - (a + 1)
+        mine = (turn >= 0) & (turn < b - a)
+        place.append(turn[mine]), piece.append(own[mine]), length.append(np.full(mine.sum(), n))
+    place = np.concatenate(place)
+    order = np.argsort(place, kind="stable")
+    return np.concatenate(length)[order], np.concatenate(piece)[order], np.searchsorted(place[order], np.arange(b - a + 1)).tolist()
+
+
+def _advance(sums: list[float], length: np.ndarray, weight: np.ndarray, cuts: list[int]) -> list[float]:
+    """The log sums given, last one next to the window, and those of the window's positions after them."""
+    out, arcs = list(sums), list(zip(length.tolist(), weight.tolist()))
+    for i, j in zip(cuts, cuts[1:]):
+        terms = [out[-n] + w for n, w in arcs[i:j]]
+        top = max(terms)
+        out.append(top + log(sum([exp(t - top) for t in terms])) if j - i > 1 else top)
+    return out
+
+
+def _handed(sums: list[float], n: int) -> tuple[list[float], float]:
+    """The last n sums less the last one, and that: sums stay small, so that long words lose no digits."""
+    return [x - sums[-1] for x in sums[-n:]], sums[-1]
+
+
+def _long_forward(lattice: Lattice, score: np.ndarray, word: bytes) -> tuple[list[list[float]], float]:
+    """What each window of a word (with its space) is handed, and log alpha at the end: forward() for one word."""
+    handed, sums, moved = [], [0.0], []
+    for a in range(0, len(word), WINDOW):
+        handed.append(sums)
+        length, piece, cuts = _window(lattice, word, a, min(len(word), a + WINDOW), False)
+        sums, by = _handed(_advance(sums, length, score[piece], cuts), lattice.longest)
+        moved.append(by)
+    return handed, fsum(moved)
+
+
+def _long_expected(lattice: Lattice, score: np.ndarray, word: bytes) -> np.ndarray:
+    """Expected uses of each piece in a word (with its space).
+
+    Windows are taken from the last to the first and alpha is made once more in each. Every segmentation has
+    one arc over a window's first byte, so those arcs' sum is the whole, against which the others are measured.
+    """
+    out = np.zeros(len(score))
+    rest = [0.0]
+    for a, sums in zip(reversed(range(0, len(word), WINDOW)), reversed(_long_forward(lattice, score, word)[0])):
+        b, low = min(len(word), a + WINDOW), a + 1 - len(sums)
+        length, piece, cuts = _window(lattice, word, a, b, False)
+        alpha = np.array(_advance(sums, length, score[piece], cuts))  # from low on
+        length, piece, cuts = _window(lattice, word, a, b, True)
+        rest = _advance(rest, length, score[piece], cuts)
+        beta = np.array(rest[::-1])  # from a on
+        start = b - 1 - np.repeat(np.arange(b - a), np.diff(cuts))
+        use = alpha[start - low] + score[piece] + beta[start + length - a]
+        length, over, cuts = _window(lattice, word, low, a + 1, True)
+        first = a - np.repeat(np.arange(a + 1 - low), np.diff(cuts))
+        mine = first + length > a
+        length, over, first = length[mine], over[mine], first[mine]
+        whole = np.logaddexp.reduce(alpha[first - low] + score[over] + beta[first + length - a])
+        out += np.bincount(piece, np.exp(use - whole), minlength=len(out))
+        rest, _ = _handed(rest, lattice.longest)
+    return out
 
 
 def log_probabilities(lattice: Lattice, score: np.ndarray, found: list[bytes]) -> np.ndarray:
     """Natural log of each word's marginal probability."""
     out = np.zeros(len(found))
-    long = [i for i, w in enumerate(found) if len(w) >= LATTICE_BYTES]
-    if long:  # in parts, each as a word
-        for i in long:
-            out[i] = log_probabilities(lattice, score, [found[i][a : a + LATTICE_BYTES // 2] for a in range(0, len(found[i]), LATTICE_BYTES // 2)]).sum()
-        rest = [i for i, w in enumerate(found) if len(w) < LATTICE_BYTES]
-        out[rest] = log_probabilities(lattice, score, [found[i] for i in rest])
-        return out
-    order = sorted(range(len(found)), key=lambda i: -len(found[i]))
+    alone, order = _by_length(found)
+    for i in alone:
+        out[i] = _long_forward(lattice, score, b" " + found[i])[1]
     for at, group in _groups([found[i] for i in order]):
         alpha, _, _, ends, _ = forward(lattice, score, group)
         out[[order[i] for i in range(at, at + len(group))]] = alpha[ends - 1]
@@ -170,14 +247,11 @@ def log_probabilities(lattice: Lattice, score: np.ndarray, found: list[bytes]) -
 
 
 def expected(lattice: Lattice, score: np.ndarray, found: list[bytes], counts: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece over all segmentations of the words, times their counts.
-
-    Words beyond LATTICE_BYTES teach nothing.
-    """
-    counts = counts[[len(w) < LATTICE_BYTES for w in found]]
-    found = [w for w in found if len(w) < LATTICE_BYTES]
+    """Expected uses of each piece over all segmentations of the words, times their counts."""
     out = np.zeros(len(score))
-    order = sorted(range(len(found)), key=lambda i: -len(found[i]))
+    alone, order = _by_length(found)
+    for i in alone:
+        out += _long_expected(lattice, score, b" " + found[i]) * counts[i]
     for first, group in _groups([found[i] for i in order]):
         weight = counts[[order[i] for i in range(first, first + len(group))]]
         alpha, arcs, starts, ends, columns = forward(lattice, score, group)
@@ -223,6 +297,7 @@ def _counts(docs: DataFrame) -> DataFrame:
         slots: dict[tuple[int, int], int] = {}
         held: list[tuple[int, int, bytes]] = []
         counts: list[int] = []
+        held_bytes = 0
 
         def out() -> pa.RecordBatch:
             h, k, w = zip(*held)
@@ -243,10 +318,12 @@ def _counts(docs: DataFrame) -> DataFrame:
                         if slot == len(counts):
                             held.append((x, int(k), part[a:b]))
                             counts.append(c)
+                            held_bytes += b - a
                         else:
                             counts[slot] += c
-                    if len(counts) >= 300_000:
+                    if len(counts) >= 300_000 or held_bytes >= HELD_BYTES:
                         yield out()
+                        held_bytes = 0
         if counts:
             yield out()
 
