@@ -12,12 +12,16 @@ through windows, of which each hands the next the last few sums, so its arcs are
 
 Words of the training texts are pieces too, each an arc over its whole lattice: a class of texts (their
 language, say) uses a word with its count less a discount, and spells words with the rest of the mass. A
-text's class is unknown when it is scored; its probability is the sum over classes, each with its share of
-training texts. All in all, texts' probabilities add up to one.
+text's class is unknown when it is scored; its probability is the sum over all classes, each with its share
+of training texts. All in all, texts' probabilities add up to one.
 
 Words are handled once each, not once per occurrence: counts of distinct words are summed, every word's
 lattice is computed in the task that holds it, and texts then look their words up. The words met most are
 sent to all tasks (a bounded number); rarer ones are joined.
+
+The most frequent classes have columns of their own. However many others there are, they are in a list of those that
+use a word, with their counts. A text of n words that a class only spells has n * a + b and the words' spelling for a logarithm; each
+use adds a gain. So a text meets only the classes it shares words with, and the others by their sum at its n.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from math import exp, fsum, log
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revisit.llm import words
@@ -38,12 +42,13 @@ from revisit.llm.common import remainder, stored
 HOT_WORDS = 200_000
 ROUNDS = 2
 CHUNK_WORDS = 40_000
-CLASSES = 8
+CLASSES = 8  # that have columns
 DISCOUNT = 0.5
 LATTICE_BYTES = words.CHUNK_BYTES  # of words that advance together
 LONG_WORD = 1 << 12  # bytes; from here on a word goes alone
 WINDOW = 1 << 13  # positions of a long word whose arcs are held at once
 HELD_BYTES = 1 << 26  # of distinct words before a task hands them on
+HELD_GAINS = 1 << 20  # of texts' words, added up or handed on at once
 
 
 def vocabulary(path: str) -> list[bytes]:
@@ -301,7 +306,7 @@ def _counts(docs: DataFrame) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             h, k, w = zip(*held)
-            batch = pa.RecordBatch.from_arrays([pa.array(np.array(h, dtype=np.uint64).view(np.int64)), pa.array(k, pa.int32()), pa.array(w, pa.binary()), pa.array(counts, pa.int64())], names=["hash", "class", "word", "n"])
+            batch = pa.RecordBatch.from_arrays([pa.array(np.array(h, dtype=np.uint64).view(np.int64)), pa.array(k, pa.int64()), pa.array(w, pa.binary()), pa.array(counts, pa.int64())], names=["hash", "class", "word", "n"])
             slots.clear(), held.clear(), counts.clear()
             return batch
 
@@ -327,40 +332,91 @@ def _counts(docs: DataFrame) -> DataFrame:
         if counts:
             yield out()
 
-    rows = docs.mapInArrow(run, "hash long, class int, word binary, n long")
+    rows = docs.mapInArrow(run, "hash long, class long, word binary, n long")
     return rows.groupBy("hash", "class").agg(F.first("word").alias("word"), F.sum("n").alias("n"))
 
 
+def _log_sum(rows: DataFrame, key: str, x: str) -> DataFrame:
+    """The logarithm of the sum of exp(x) for each key, as x."""
+    top = rows.withColumn("top", F.max(x).over(Window.partitionBy(key)))
+    return top.groupBy(key).agg((F.first("top") + F.log(F.sum(F.exp(F.col(x) - F.col("top"))))).alias(x))
+
+
+def _spelling(texts: DataFrame, known: DataFrame, n_texts: int) -> DataFrame:
+    """Classes with a and b: of n words that it only spells, a class has the log probability n * a + b and their spelling's."""
+    sizes = texts.groupBy("class").agg(F.count("*").alias("texts"))
+    sums = known.select(F.explode("others").alias("x")).groupBy("x.class").agg(F.sum("x.n").alias("used"), F.count("*").alias("v"))
+    own = F.col("used") + F.col("texts")
+    half = F.lit(log(0.5))  # of a class without words
+    return sizes.join(sums, "class", "left").select(
+        "class", "v", F.coalesce(F.log(F.col("v") * DISCOUNT / own), half).alias("a"),
+        (F.coalesce(F.log(F.col("texts") / own), half) + F.log(F.col("texts") / F.lit(float(n_texts)))).alias("b"),
+    )
+
+
+def _gains(rows: DataFrame, spelling: DataFrame) -> DataFrame:
+    """A row per class that uses a row's word, with what its use adds to the logarithm of spelling the word."""
+    pairs = rows.withColumn("x", F.explode("others")).withColumn("class", F.col("x.class")).join(spelling.select("class", "v"), "class")
+    x = F.log((F.col("x.n") - DISCOUNT) / (F.col("v") * DISCOUNT)) - F.col("q")
+    return pairs.withColumn("gain", F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))).drop("x", "v", "others")
+
+
+def _gained(owner: np.ndarray, at: np.ndarray, first: np.ndarray, class_: np.ndarray, gain: np.ndarray, n: int, n_classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Offsets of n texts, classes and sums of gains. Texts' words are given by owner and place; a place's classes start at first."""
+    key, times = np.unique(owner * (len(first) - 1) + at, return_counts=True)
+    owner, at = np.divmod(key, len(first) - 1) if len(key) else (key, key)
+    many = first[at + 1] - first[at]
+    ends = np.cumsum(many)
+    keys, sums, i = np.zeros(0, dtype=np.int64), np.zeros(0), 0
+    while i < len(at):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + HELD_GAINS, "right")))
+        of = words.ranges(first[at[i:j]], many[i:j])
+        key = np.concatenate((keys, np.repeat(owner[i:j], many[i:j]) * n_classes + class_[of]))
+        sums = np.concatenate((sums, np.repeat(times[i:j], many[i:j]) * gain[of]))
+        keys, place = np.unique(key, return_inverse=True)
+        sums, i = np.bincount(place, weights=sums, minlength=len(keys)), j
+    return np.searchsorted(keys, np.arange(n + 1) * n_classes), keys % max(1, n_classes), sums
+
+
+def _slices(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(i, max(1, n)) for batch in batches for i in range(0, batch.num_rows, max(1, n)))
+
+
 def scores(
     docs: DataFrame, training: Column, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang",
-    rounds: int = ROUNDS, hot_words: int = HOT_WORDS,
+    rounds: int = ROUNDS, hot_words: int = HOT_WORDS, classes: int = CLASSES,
 ) -> DataFrame:
     """Every row's log10 probability by the model and by a smoothed word unigram, both of the training rows.
 
     Tokens are words and then one end. Returns id_col, held_out, n_tokens, n_known (tokens met in training),
     train_tokens, base_score and score. A null or empty text is an end alone. Rows that repeat an id are
-    texts of their own, null ids are kept, a null class is one class, classes beyond the most frequent ones
-    share one. Without training rows all tokens are unknown and every text has the one class's spelling
+    texts of their own, null ids are kept, a null class is one class. Scores don't depend on `hot_words` and
+    `classes` (at least 1), which say how many words are sent to all tasks and how many classes have columns.
+    Without training rows all tokens are unknown and every text has the one class's spelling
     probability. An empty table gives an empty result. Other columns play no part.
     """
     spark = docs.sparkSession
     pieces = vocabulary(vocabulary_path)
     kind = F.col(class_col).cast("string") if class_col else F.lit("")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), kind.alias("kind"), F.coalesce(training, F.lit(False)).alias("train"))
-    sizes = rows.where("train").groupBy("kind").count().orderBy(F.desc("count"), F.col("kind").asc_nulls_last()).limit(CLASSES).collect()
-    place = F.lit(len(sizes))  # all others
+    sizes = rows.where("train").groupBy("kind").count().orderBy(F.desc("count"), F.col("kind").asc_nulls_last()).limit(classes).collect()
+    place = F.shiftrightunsigned(F.xxhash64("kind"), 2) + len(sizes)  # each of the others
     for k, row in reversed(list(enumerate(sizes))):
         place = F.when(F.col("kind").eqNullSafe(F.lit(row["kind"])), k).otherwise(place)
-    rows = rows.withColumn("class", F.when(F.col("train"), place).otherwise(-1).cast("int"))
+    rows = rows.withColumn("class", F.when(F.col("train"), place).otherwise(-1).cast("long"))
+    texts = {k: row["count"] for k, row in enumerate(sizes)}
+    n_texts = rows.where("train").count()
+    others = n_texts > sum(texts.values())
 
     counted = _counts(rows.select("text", "class"))
-    n_classes = len(sizes) + 1
+    n_classes = max(1, len(sizes))
     by_class = [F.coalesce(F.sum(F.when(F.col("class") == k, F.col("n"))), F.lit(0)).alias(f"c{k}") for k in range(n_classes)]
-    table = stored(counted.groupBy("hash").agg(F.first("word").alias("word"), *by_class).withColumn("c", sum((F.col(f"c{k}") for k in range(n_classes)), F.lit(0))))
-    per = table.agg(*[F.sum(f"c{k}").alias(f"n{k}") for k in range(n_classes)], *[F.sum((F.col(f"c{k}") > 0).cast("long")).alias(f"v{k}") for k in range(n_classes)], F.sum((F.col("c") > 0).cast("long")).alias("v")).first()
-    texts = {row["class"]: row["count"] for row in rows.where("train").groupBy("class").count().collect()}
-    n_texts = sum(texts.values())
-    tokens = sum((per[f"n{k}"] or 0) for k in range(n_classes)) + n_texts
+    by_class.append(F.coalesce(F.sum(F.when(F.col("class") >= 0, F.col("n"))), F.lit(0)).alias("c"))
+    if others:
+        by_class.append(F.collect_list(F.when(F.col("class") >= n_classes, F.struct("class", "n"))).alias("others"))
+    table = stored(counted.groupBy("hash").agg(F.first("word").alias("word"), *by_class))
+    per = table.agg(*[F.sum(f"c{k}").alias(f"n{k}") for k in range(n_classes)], *[F.sum((F.col(f"c{k}") > 0).cast("long")).alias(f"v{k}") for k in range(n_classes)], F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")).first()
+    tokens = (per["n"] or 0) + n_texts
     distinct = (per["v"] or 0) + (1 if n_texts else 0)
 
     # expectation maximisation over distinct training words; a step's sums are a row per piece
@@ -387,36 +443,50 @@ def scores(
             q = log_probabilities(lattice, final, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(q)], names=names)
 
-    names = ["hash", *[f"c{k}" for k in range(n_classes)], "c", "q"]
-    schema = ", ".join(f"{n} {'double' if n == 'q' else 'long'}" for n in names)
+    names = ["hash", *[f"c{k}" for k in range(n_classes)], "c", *["others"] * others, "q"]
+    kinds = {"q": "double", "others": "array<struct<class: long, n: long>>"}
+    schema = ", ".join(f"{n} {kinds.get(n, 'long')}" for n in names)
     known = stored(table.select("hash", "word", *names[1:-1]).mapInArrow(spell, schema))
 
     # a class's natural log probability of a word, of the end, and of the class itself
-    live = [k for k in range(n_classes) if texts.get(k)]
-    if not live:
-        live, texts = [0], {0: 1}
+    live = list(range(n_classes))
+    texts = texts or {0: 1}
     used = {k: per[f"n{k}"] or 0 for k in live}
     rest = {k: (per[f"v{k}"] or 0) * DISCOUNT / used[k] if used[k] else 1.0 for k in live}
     word_share = {k: used[k] / (used[k] + texts[k]) if used[k] else 0.5 for k in live}
     end_log = {k: float(np.log1p(-word_share[k])) for k in live}
-    prior_log = {k: float(np.log(texts[k] / sum(texts.values()))) for k in live}
+    prior_log = {k: float(np.log(texts[k] / max(1, n_texts))) for k in live}
 
     # the words met most, a bounded number, go to every task
-    hot = known.orderBy(F.desc("c"), "hash").limit(hot_words).toArrow()
+    most = known.orderBy(F.desc("c"), "hash")
+    hot = most.limit(hot_words).select(*[F.size(n).alias(n) if n == "others" else n for n in names]).toArrow()
+    if others:
+        # their gains go with them, of a bounded number too; words beyond are joined as rare ones
+        hot = hot.slice(0, int(np.searchsorted(np.cumsum(hot.column("others").to_numpy()), classes * hot_words, "right")))
+        spelling = stored(_spelling(rows.where(F.col("class") >= n_classes), known, n_texts))
+        sent = _gains(most.limit(len(hot)).select("hash", "q", "others"), spelling).select("hash", "class", "gain").toArrow()
     order = np.argsort(hot.column("hash").to_numpy().view(np.uint64))
     hot_hash = hot.column("hash").to_numpy().view(np.uint64)[order]
     hot_c, hot_q = hot.column("c").to_numpy()[order], hot.column("q").to_numpy()[order]
     hot_log = np.stack([_word_log(hot.column(f"c{k}").to_numpy()[order], hot_q, used[k], rest[k], word_share[k]) for k in live])
     hot_base = np.log10(hot_c + 1.0)
-    shared = spark.sparkContext.broadcast((hot_hash, hot_c, hot_log, hot_base))
+    hot_gains = None
+    if others:
+        hot_log = np.concatenate((hot_log, [hot_q]))
+        whose = np.searchsorted(hot_hash, sent.column("hash").to_numpy().view(np.uint64))
+        named, class_ = np.unique(sent.column("class").to_numpy(), return_inverse=True)
+        by_word = np.argsort(whose, kind="stable")
+        hot_gains = named, np.searchsorted(whose[by_word], np.arange(len(hot_hash) + 1)), class_[by_word], sent.column("gain").to_numpy()[by_word]
+    shared = spark.sparkContext.broadcast((hot_hash, hot_c, hot_log, hot_base, hot_gains))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hash_, c, logs, base = shared.value
+        hash_, c, logs, base, own_gains = shared.value
         row, part = 0, TaskContext.get().partitionId() << 36
-        for batch in batches:
+        for batch in _slices(batches, HELD_GAINS // max(1, len(own_gains[0]) if own_gains else 1)):
             n = batch.num_rows
             out = {"n": np.zeros(n, np.int64), "known": np.zeros(n, np.int64), "base": np.zeros(n), "logs": np.zeros((len(logs), n))}
             rare: list[list[np.ndarray]] = [[] for _ in range(n)]
+            met: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for first, hashes, offsets in words.hashed(words.as_bytes(batch.column(1))):
                 owner = first + np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
                 at = np.searchsorted(hash_, hashes)
@@ -428,36 +498,54 @@ def scores(
                 out["base"] += np.bincount(mine, weights=base[at], minlength=n)
                 for k in range(len(logs)):
                     out["logs"][k] += np.bincount(mine, weights=logs[k][at], minlength=n)
+                if own_gains:
+                    met.append(_gained(mine - first, at, *own_gains[1:], len(offsets) - 1, len(own_gains[0])))
                 left, whose = hashes[~hit], owner[~hit]
                 cuts = np.searchsorted(whose, np.arange(first, first + len(offsets)))
                 for i in range(len(offsets) - 1):
                     if cuts[i] < cuts[i + 1]:
                         rare[first + i].append(left[cuts[i] : cuts[i + 1]])
             flat = [np.concatenate(x).view(np.int64) if x else np.zeros(0, dtype=np.int64) for x in rare]
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(x) for x in flat]))).astype(np.int32)), pa.array(np.concatenate([*flat, np.zeros(0, np.int64)])))
+            lists = [pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(x) for x in flat]))).astype(np.int32)), pa.array(np.concatenate([*flat, np.zeros(0, np.int64)])))]
+            if own_gains:
+                ends = pa.array(np.concatenate(([0], np.cumsum(np.concatenate([*[np.diff(x[0]) for x in met], np.zeros(0, np.int64)])))).astype(np.int32))
+                lists.append(pa.ListArray.from_arrays(ends, pa.array(own_gains[0][np.concatenate([*[x[1] for x in met], np.zeros(0, np.int64)])])))
+                lists.append(pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*[x[2] for x in met], np.zeros(0)]))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + n) + part), batch.column(0), batch.column(2), pa.array(out["n"] + 1), pa.array(out["known"]), pa.array(out["base"]), *[pa.array(x) for x in out["logs"]], lists],
+                [pa.array(np.arange(row, row + n) + part), batch.column(0), batch.column(2), pa.array(out["n"] + 1), pa.array(out["known"]), pa.array(out["base"]), *[pa.array(x) for x in out["logs"]], *lists],
                 names=got)
             row += n
 
-    sums = [f"s{k}" for k in live]
-    got = ["row", "id", "train", "n_tokens", "known", "base", *sums, "rare"]
+    sums = [f"s{k}" for k in live] + ["sq"] * others
+    got = ["row", "id", "train", "n_tokens", "known", "base", *sums, "rare", *["class", "gain"] * others]
     id_type = rows.schema["id"].dataType.simpleString()
-    first_pass = stored(rows.select("id", "text", "train").mapInArrow(look_up, f"row long, id {id_type}, train boolean, n_tokens long, known long, base double, {', '.join(f'{s} double' for s in sums)}, rare array<long>"))
+    first_pass = stored(rows.select("id", "text", "train").mapInArrow(look_up, f"row long, id {id_type}, train boolean, n_tokens long, known long, base double, {', '.join(f'{s} double' for s in sums)}, rare array<long>{', class array<long>, gain array<double>' * others}"))
 
     spelled = [F.log((F.greatest(F.col(f"c{k}") - DISCOUNT, F.lit(0.0)) / float(used[k]) if used[k] else F.lit(0.0)) + F.lit(rest[k]) * F.exp("q")) + F.lit(float(np.log(word_share[k]))) for k in live]
     # a word not met by the class is spelled; its logarithm needs no sum
-    spelled = [F.when(F.col(f"c{k}") == 0, F.col("q") + F.lit(float(np.log(rest[k]) + np.log(word_share[k])))).otherwise(e) for k, e in zip(live, spelled)]
+    spelled = [F.when(F.col(f"c{k}") == 0, F.col("q") + F.lit(float(np.log(rest[k]) + np.log(word_share[k])))).otherwise(e) for k, e in zip(live, spelled)] + [F.col("q")] * others
+    rare_words = first_pass.select("row", "n_tokens", F.explode("rare").alias("hash")).groupBy("row", *["n_tokens"] * others, "hash").count()
     rare = (
-        first_pass.select("row", F.explode("rare").alias("hash")).groupBy("row", "hash").count()
-        .join(known, "hash").groupBy("row")
+        rare_words.join(known, "hash").groupBy("row")
         .agg(F.sum(F.when(F.col("c") > 0, F.col("count")).otherwise(0)).alias("rare_known"), F.sum(F.col("count") * F.log10(F.col("c") + F.lit(1.0))).alias("rare_base"),
-             *[F.sum(F.col("count") * e).alias(f"r{k}") for k, e in zip(live, spelled)])
+             *[F.sum(F.col("count") * e).alias(f"r{k}") for k, e in zip([*live, "q"], spelled)])
     )
     zero = F.lit(0.0)
     totals = [F.col(f"s{k}") + F.coalesce(F.col(f"r{k}"), zero) + F.lit(end_log[k] + prior_log[k]) for k in live]
+    found = first_pass.drop("rare", "class", "gain").join(rare, "row", "left")
+    if others:
+        g, spelt = F.col("gain"), F.col("a") * (F.col("n_tokens") - 1) + F.col("b")
+        met = first_pass.select("row", "n_tokens", F.explode(F.arrays_zip("class", "gain")).alias("x")).select("row", "n_tokens", "x.class", "x.gain")
+        met = met.unionByName(_gains(rare_words.join(known.select("hash", "q", "others"), "hash"), spelling).select("row", "n_tokens", "class", (F.col("count") * g).alias("gain")))
+        met = met.repartition("row").groupBy("row", "n_tokens", "class").agg(F.sum("gain").alias("gain")).join(spelling, "class")
+        # exp(spelt + gain) less exp(spelt), which the sum over all classes holds
+        more = spelt + F.when(g < 30, F.log(F.expm1(g))).otherwise(g + F.log1p(-F.exp(-g)))
+        met = _log_sum(met.select("row", more.alias("met")), "row", "met")
+        all_spelt = _log_sum(first_pass.select("n_tokens").distinct().crossJoin(spelling).select("n_tokens", spelt.alias("spelt")), "n_tokens", "spelt")
+        found = found.join(all_spelt, "n_tokens").join(met, "row", "left")
+        totals += [F.col("sq") + F.coalesce(F.col("rq"), zero) + x for x in (F.col("spelt"), F.coalesce(F.col("met"), F.lit(float("-inf"))))]
     return (
-        first_pass.drop("rare").join(rare, "row", "left")
+        found
         .withColumn("totals", F.array(*totals)).withColumn("top", F.array_max("totals"))
         .select(
             F.col("id").alias(id_col), (~F.col("train")).alias("held_out"), "n_tokens",
