@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.encounters import lookup_lines, raw_sql
 from revisit.plans import refresh
-from revisit.session import fresh_folder
+from revisit.session import fresh_folder, wide_rows
 
 _BUILT: dict[tuple[str, str], Built] = {}
 _RAW: dict[tuple[str, str], tuple[str, str]] = {}
@@ -24,8 +24,11 @@ def write_lines(spark: SparkSession, lines: list[str], path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
+    """Compressed files, small enough for as many tasks to read them."""
     options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.options(**options).csv(path)
+    options |= {"compression": "gzip", "maxRecordsPerFile": 50_000}
+    with wide_rows(df.sparkSession):
+        df.write.options(**options).csv(path)
 
 
 def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.util import inheritable_thread_target
 
 from revisit.plans import cleaning, kpis, ledgers, star
 from revisit.plans.staging import staged_encounters, staged_lookups
-from revisit.session import scratch_folder, wide_rows, write_table
+from revisit.session import released_shuffles, scratch_folder, wide_rows, write_table
 from revisit.sources.writers import replace_tables, write_tables
 
 # The names of the written tables.
@@ -58,7 +58,8 @@ def clean(tables: Tables, root: str) -> None:
     spark = tables["stg_encounters"].sparkSession
     compact = cleaning.compact(tables["stg_encounters"])
     with scratch_folder(spark) as scratch:
-        keys = write_table(cleaning.encounter_keys(compact), f"{scratch}/encounter_keys")
+        with released_shuffles(spark):
+            keys = write_table(cleaning.encounter_keys(compact), f"{scratch}/encounter_keys")
         narrow = {
             f"{scratch}/order": lambda: cleaning.patient_sequence(keys),
             f"{scratch}/fence": lambda: cleaning.fences(keys),

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_RELEASING: Counter[int] = Counter()  # writes under way, by session
+_BEFORE: dict[int, str | None] = {}
+_RELEASE = threading.Lock()
 
 
 def local_session(cores: int | str = "*", app_name: str = "revisit") -> SparkSession:
@@ -92,3 +97,25 @@ def wide_rows(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written in here go when its job has ended; put back when no other write is under way.
+
+    Otherwise they stay until the driver happens to collect garbage, and all steps of a refresh lie on disk at once.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    with _RELEASE:
+        _RELEASING[id(spark)] += 1
+        if _RELEASING[id(spark)] == 1:
+            _BEFORE[id(spark)] = spark.conf.get(name, None)
+            spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        with _RELEASE:
+            _RELEASING[id(spark)] -= 1
+            if not _RELEASING[id(spark)]:
+                before = _BEFORE.pop(id(spark))
+                spark.conf.unset(name) if before is None else spark.conf.set(name, before)

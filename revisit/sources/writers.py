@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from decimal import Decimal
 from fnmatch import fnmatchcase
+from hashlib import md5
+from itertools import pairwise
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.util import inheritable_thread_target
 
-from revisit.session import remove, write_table
+from revisit.session import released_shuffles, remove, write_table
 from revisit.sources.readers import read_text_csv
 
 
@@ -23,7 +29,7 @@ Build = Callable[[], DataFrame]
 def write_tables(spark: SparkSession, builds: Mapping[str, Build], at_once: int = 8) -> dict[str, DataFrame]:
     """Plan and write independent tables by path. Their jobs run side by side, so small ones do not queue."""
     write = inheritable_thread_target(spark)(lambda path: write_table(builds[path](), path))
-    with ThreadPoolExecutor(at_once) as pool:
+    with released_shuffles(spark), ThreadPoolExecutor(at_once) as pool:
         return dict(zip(builds, pool.map(write, builds)))
 
 
@@ -100,16 +106,17 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     is for report-sized tables only.
     """
     rows = df.repartition(1).sortWithinPartitions(*sort_order(df)) if single_file else ordered(df)
-    (
-        rows.write.mode("overwrite")
-        .option("header", True)
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    with released_shuffles(df.sparkSession):
+        (
+            rows.write.mode("overwrite")
+            .option("header", True)
+            .option("nullValue", "")
+            .option("emptyValue", "")
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(path)
+        )
 
 
 def export_tables(tables: Mapping[str, DataFrame], names: Iterable[str], root: str, single_file: bool = False) -> list[str]:
@@ -122,6 +129,16 @@ def export_tables(tables: Mapping[str, DataFrame], names: Iterable[str], root: s
     return paths
 
 
+def _cell_numbers(name: str, texts: pa.Array) -> np.ndarray:
+    """32 bits of the MD5 of a cell's column and text, 0 for NULL; any engine that has MD5 gets the same.
+
+    A text is hashed once per batch, however often it occurs there.
+    """
+    coded, start = texts.dictionary_encode(), f"{name}:".encode()
+    found = [int.from_bytes(md5(start + text).digest()[:4], "big") for text in coded.dictionary.cast(pa.large_binary()).to_pylist()]
+    return np.array([*found, 0], np.int64)[coded.indices.fill_null(len(found)).to_numpy()]
+
+
 def cell_number(name: str) -> Column:
     """32 bits of the MD5 of a cell's column and text, NULL for NULL; any engine that has MD5 gets the same."""
     text = F.concat(F.lit(f"{name}:"), F.col(f"`{name}`").cast("string")).cast("binary")
@@ -133,31 +150,110 @@ def checksum(columns: Iterable[str]) -> Column:
     return F.coalesce(F.sum(sum((F.coalesce(cell_number(c), F.lit(0)) for c in columns), F.lit(0))), F.lit(0)).cast("decimal(38,0)")
 
 
+def _compared(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Of each value but the first: is it smaller than the one before, and is it the same; NULL comes last, NaN before it."""
+    before, now = column[:-1], column[1:]
+    flags = lambda found: pc.fill_null(found, False).to_numpy(zero_copy_only=False)
+    none = column.is_null().to_numpy(zero_copy_only=False)
+    smaller = flags(pc.less(now, before)) | (none[:-1] & ~none[1:])
+    same = flags(pc.equal(now, before)) | (none[:-1] & none[1:])
+    if pa.types.is_floating(column.type):
+        odd = flags(pc.is_nan(column))
+        smaller |= odd[:-1] & ~odd[1:] & ~none[1:]
+        same |= odd[:-1] & odd[1:]
+    return smaller, same
+
+
+class _Block:
+    """What is known of a block of an export while its rows pass by."""
+
+    def __init__(self, file: str, start: int, names: Sequence[str]) -> None:
+        self.place, self.names = (file, start), names
+        self.rows = self.disorder = 0
+        self.first: list[bytes | None] = []
+        self.last: list[bytes | None] = []
+        self.typed: list[pa.Array] = []
+        self.filled, self.sums = [0] * len(names), [0] * len(names)
+
+    def add(self, texts: list[pa.Array], typed: list[pa.Array]) -> None:
+        """The next rows, as the texts of the file and as the values that they are ordered by."""
+        row = lambda at: [text[at : at + 1].cast(pa.large_binary())[0].as_py() for text in texts]
+        n = len(texts[0])
+        self.first, self.last = self.first or row(0), row(n - 1)
+        for i, (name, text) in enumerate(zip(self.names, texts)):
+            self.filled[i] += n - text.null_count
+            self.sums[i] += int(_cell_numbers(name, text).sum())
+        late, tied = 0, True
+        for i, column in enumerate(typed):
+            smaller, same = _compared(pa.concat_arrays([self.typed[i], column]) if self.rows else column)
+            late, tied = late | (tied & smaller), tied & same
+            if not np.any(tied):
+                break
+        self.disorder += int(np.sum(late))
+        self.typed = [column[n - 1 :] for column in typed]
+        self.rows += n
+
+
+BLOCK_SCHEMA = pa.schema(
+    [
+        ("file", pa.string()), ("start", pa.int64()), ("rows", pa.int64()), ("first", pa.list_(pa.binary())), ("last", pa.list_(pa.binary())),
+        ("disorder", pa.int64()), ("filled", pa.list_(pa.int64())), ("sums", pa.list_(pa.decimal128(38, 0))),
+    ]
+)
+BLOCK_COLUMNS = "file string, start bigint, rows bigint, first array<binary>, last array<binary>, disorder bigint, filled array<bigint>, sums array<decimal(38,0)>"
+
+
+def _found(block: _Block) -> pa.RecordBatch:
+    sums = [Decimal(n) for n in block.sums]
+    row = [*block.place, block.rows, block.first, block.last, block.disorder, block.filled, sums]
+    return pa.record_batch([pa.array([value], field.type) for value, field in zip(row, BLOCK_SCHEMA)], schema=BLOCK_SCHEMA)
+
+
+def _blocks(batches: Iterable[pa.RecordBatch], names: Sequence[str], typed: Sequence[int]) -> Iterator[pa.RecordBatch]:
+    """A row per block from rows that come block by block: its file and start, a text per column, and the typed values next to them.
+
+    ``typed`` says which column holds the values that column ``i`` is ordered by.
+    """
+    block: _Block | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        files, starts = batch.column(0).dictionary_encode(), batch.column(1).to_numpy()
+        turns = np.flatnonzero((np.diff(files.indices.to_numpy()) != 0) | (np.diff(starts) != 0)) + 1
+        for low, high in pairwise([0, *turns.tolist(), batch.num_rows]):
+            place = files[low].as_py(), int(starts[low])
+            if block is None or block.place != place:
+                if block is not None:
+                    yield _found(block)
+                block = _Block(*place, names)
+            columns = [column[low:high] for column in batch.columns]
+            block.add(columns[2 : 2 + len(names)], [columns[at] for at in typed])
+    if block is not None:
+        yield _found(block)
+
+
 def export_manifest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """What an export holds, from its files: a row per block that a task reads, in ``file`` and ``start``.
 
     ``rows``, ``first`` and ``last`` row, ``disorder`` (rows that are smaller than the one before, in the order of
-    :func:`ordered`), and per column ``filled`` cells and their ``sum``. Rows meet by block only, which
-    ``spark.sql.files.maxPartitionBytes`` bounds. In CSV empty text and NULL are one; both count as NULL here.
+    :func:`ordered`), and per column ``filled`` cells and their ``sum``. A task sees a block's rows in their order, so none
+    is shuffled. In CSV empty text and NULL are one; both count as NULL here.
     """
-    text = read_text_csv(spark, path, schema.fieldNames())
-    place = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at")]
-    nulls_last = F.struct(*[F.struct(F.col(f"`{f.name}`").cast(f.dataType).isNull().alias("none"), F.col(f"`{f.name}`").cast(f.dataType).alias("value")) for f in schema])
-    found = [F.struct(F.when(F.col(f"`{c}`").isNotNull(), 1).otherwise(0).alias("filled"), F.coalesce(cell_number(c), F.lit(0)).alias("sum")).alias(f"c{i}") for i, c in enumerate(schema.fieldNames())]
-    rows = text.select(*place, nulls_last.alias("row"), *found)
-    before = F.lag("row").over(W.partitionBy("file", "start").orderBy("at"))
-    columns = [
-        F.struct(F.lit(c).alias("name"), F.sum(f"c{i}.filled").alias("filled"), F.sum(f"c{i}.sum").cast("decimal(38,0)").alias("sum"))
-        for i, c in enumerate(schema.fieldNames())
-    ]
-    return (
-        rows.withColumn("late", F.coalesce((F.col("row") < before).cast("int"), F.lit(0)))
-        .groupBy("file", "start")
-        .agg(
-            F.count(F.lit(1)).alias("rows"), F.min_by("row", "at").alias("first"), F.max_by("row", "at").alias("last"),
-            F.sum("late").alias("disorder"), F.array(*columns).alias("columns"),
-        )
-    )
+    text, names = read_text_csv(spark, path, schema.fieldNames()), schema.fieldNames()
+    place = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+    others = [i for i, f in enumerate(schema) if f.dataType != T.StringType()]
+    values = [F.col(f"`{names[i]}`").cast(schema[i].dataType).alias(f"v{i}") for i in others]
+    at = {i: 2 + len(names) + n for n, i in enumerate(others)}
+    typed = [at.get(i, 2 + i) for i in range(len(names))]
+    rows = text.select(*place, *[F.col(f"`{c}`").alias(f"t{i}") for i, c in enumerate(names)], *values)
+    blocks = rows.mapInArrow(lambda batches: _blocks(batches, names, typed), BLOCK_COLUMNS)
+
+    def row(texts: str) -> Column:
+        cells = [F.col(texts)[i].cast("string").cast(f.dataType) for i, f in enumerate(schema)]
+        return F.struct(*[F.struct(cell.isNull().alias("none"), cell.alias("value")).alias(f"col{i}") for i, cell in enumerate(cells, start=1)])
+
+    columns = [F.struct(F.lit(c).alias("name"), F.col("filled")[i].alias("filled"), F.col("sums")[i].alias("sum")) for i, c in enumerate(names)]
+    return blocks.select("file", "start", "rows", row("first").alias("first"), row("last").alias("last"), "disorder", F.array(*columns).alias("columns"))
 
 
 def export_summary(manifest: DataFrame) -> DataFrame:

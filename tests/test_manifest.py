@@ -1,8 +1,12 @@
 """Exports are checked from their files: order across files and blocks, and content by column."""
 
+import datetime
+import decimal
 import hashlib
+import time
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revisit.sources.writers import checksum, export_csv, export_manifest, export_summary
@@ -66,3 +70,49 @@ def test_changed_cells_and_empty_exports(spark, tmp_path):
     assert left["n"] == right["n"] and left["word"].checksum != right["word"].checksum
     export_csv(spark.createDataFrame([], SCHEMA), str(tmp_path / "none"))
     assert summary(spark, tmp_path / "none") == {}
+
+
+def test_a_manifest_shuffles_no_rows(spark, tmp_path, small_blocks):
+    export_csv(spark.range(1000).select(F.col("id").cast("int").alias("n"), F.format_string("w%d", "id").alias("word")), str(tmp_path / "e"))
+    manifest = export_manifest(spark, str(tmp_path / "e"), SCHEMA)
+    plan = manifest._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    found = manifest.orderBy("file", "start").collect()
+    assert [r.first.col1.value for r in found][0] == 0 and [r.last.col2.value for r in found][-1] == "w999"
+
+
+def test_order_of_every_type(spark, tmp_path):
+    """Blocks come one after another in a task here; NaN is above all numbers and below NULL."""
+    day, nan = datetime.date(2020, 1, 1), float("nan")
+    schema = "b boolean, d date, x double, y decimal(9,2), n bigint, at timestamp"
+    rows = [
+        (b, day + datetime.timedelta(d), x, decimal.Decimal(y) if y else None, n, datetime.datetime(2020, 1, 1, 10))
+        for b in (False, True, None) for d in (0, 9) for x in (-1.5, 10.0, nan, None) for y in ("2.50", "10.00", None) for n in (9, 10)
+    ]
+    df = spark.createDataFrame(rows, schema)
+    for name, frame in (("up", df.repartition(3)), ("down", None)):
+        path = str(tmp_path / name)
+        if frame is None:
+            df.coalesce(1).selectExpr("*", "monotonically_increasing_id() AS i").sort(F.desc("i")).drop("i").coalesce(1).write.option("header", True).csv(path)
+        else:
+            export_csv(frame, path)
+        blocks = export_manifest(spark, path, df.schema).collect()
+        got = export_summary(export_manifest(spark, path, df.schema)).collect()
+        assert {r.in_order for r in got} == {name == "up"} and {r.rows for r in got} == {len(rows)}
+        assert sum(r.disorder for r in blocks) == (0 if name == "up" else len(rows) - 1)
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_an_export_leaves_no_shuffle_files(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffle_files(spark), spark.conf.get(name)
+    export_csv(spark.range(10_000).selectExpr("id * 7919 % 10007 AS id"), str(tmp_path / "e"))
+    until = time.monotonic() + 20
+    while shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(name) == setting
