@@ -213,7 +213,7 @@ def refresh_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     refresh.refresh(spark, *raw_files(spark, sf_dir), root)
     tables = refresh.refresh(spark, *raw_files(spark, sf_dir), root)
     names = writers.find_tables(tables, "stg_*", "cln_*", "fact_*", "dim_*", "a_*", "dq_*")
-    sums = {n: writers.checksum(tables[n].columns).cast("string").alias("checksum") for n in names}
+    sums = {n: writers.checksum(tables[n].columns, tables[n].schema).cast("string").alias("checksum") for n in names}
     return quality.union_all([tables[n].agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n"), sums[n]) for n in names])
 
 

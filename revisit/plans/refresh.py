@@ -11,7 +11,7 @@ from pyspark.util import inheritable_thread_target
 
 from revisit.plans import cleaning, kpis, ledgers, star
 from revisit.plans.staging import staged_encounters, staged_lookups
-from revisit.session import released_shuffles, scratch_folder, wide_rows, write_table
+from revisit.session import released_shuffles, scratch_folder, write_table
 from revisit.sources.writers import replace_tables, write_tables
 
 # The names of the written tables.
@@ -65,8 +65,7 @@ def clean(tables: Tables, root: str) -> None:
             f"{scratch}/fence": lambda: cleaning.fences(keys),
         }
         order, fence = write_tables(spark, narrow).values()
-        with wide_rows(spark):
-            tables |= replace_tables(spark, {"cln_encounters": lambda: cleaning.clean_encounters(compact, order, fence)}, root)
+        tables |= replace_tables(spark, {"cln_encounters": lambda: cleaning.clean_encounters(compact, order, fence)}, root)
 
 
 def model(tables: Tables, root: str) -> None:

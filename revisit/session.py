@@ -5,16 +5,14 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections import Counter
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
-_RELEASING: Counter[int] = Counter()  # writes under way, by session
-_BEFORE: dict[int, str | None] = {}
-_RELEASE = threading.Lock()
+_HELD: dict[tuple[int, str], tuple[int, str | None]] = {}  # uses under way and the value before, by session and setting
+_HOLD = threading.Lock()
 
 
 def local_session(cores: int | str = "*", app_name: str = "revisit") -> SparkSession:
@@ -85,37 +83,40 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 @contextmanager
-def wide_rows(spark: SparkSession) -> Iterator[None]:
+def _held(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting that steps running side by side share; the last one to end puts it back."""
+    key = (id(spark), name)
+    with _HOLD:
+        uses, before = _HELD.get(key, (0, None))
+        if not uses:
+            before = spark.conf.get(name, None)
+            spark.conf.set(name, value)
+        _HELD[key] = (uses + 1, before)
+    try:
+        yield
+    finally:
+        with _HOLD:
+            uses, before = _HELD.pop(key)
+            if uses > 1:
+                _HELD[key] = (uses - 1, before)
+            elif before is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, before)
+
+
+def wide_rows(spark: SparkSession) -> AbstractContextManager[None]:
     """Settings for stages that project many computed columns, put back afterwards.
 
     The JVM does not compile methods above 8,000 bytes. Without this limit the whole projection
     becomes one such method and runs interpreted, three times slower.
     """
-    name, before = "spark.sql.codegen.hugeMethodLimit", spark.conf.get("spark.sql.codegen.hugeMethodLimit")
-    spark.conf.set(name, "8000")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    return _held(spark, "spark.sql.codegen.hugeMethodLimit", "8000")
 
 
-@contextmanager
-def released_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of what is written in here go when its job has ended; put back when no other write is under way.
+def released_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Shuffle files of what is written in here go when its job has ended.
 
     Otherwise they stay until the driver happens to collect garbage, and all steps of a refresh lie on disk at once.
     """
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    with _RELEASE:
-        _RELEASING[id(spark)] += 1
-        if _RELEASING[id(spark)] == 1:
-            _BEFORE[id(spark)] = spark.conf.get(name, None)
-            spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        with _RELEASE:
-            _RELEASING[id(spark)] -= 1
-            if not _RELEASING[id(spark)]:
-                before = _BEFORE.pop(id(spark))
-                spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+    return _held(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.util import inheritable_thread_target
 
-from revisit.session import released_shuffles, remove, write_table
+from revisit.session import released_shuffles, remove, wide_rows, write_table
 from revisit.sources.readers import read_text_csv
 
 
@@ -29,7 +29,7 @@ Build = Callable[[], DataFrame]
 def write_tables(spark: SparkSession, builds: Mapping[str, Build], at_once: int = 8) -> dict[str, DataFrame]:
     """Plan and write independent tables by path. Their jobs run side by side, so small ones do not queue."""
     write = inheritable_thread_target(spark)(lambda path: write_table(builds[path](), path))
-    with released_shuffles(spark), ThreadPoolExecutor(at_once) as pool:
+    with wide_rows(spark), released_shuffles(spark), ThreadPoolExecutor(at_once) as pool:
         return dict(zip(builds, pool.map(write, builds)))
 
 
@@ -129,25 +129,34 @@ def export_tables(tables: Mapping[str, DataFrame], names: Iterable[str], root: s
     return paths
 
 
-def _cell_numbers(name: str, texts: pa.Array) -> np.ndarray:
+def _cell_numbers(name: str, cells: pa.Array) -> np.ndarray:
     """32 bits of the MD5 of a cell's column and text, 0 for NULL; any engine that has MD5 gets the same.
 
-    A text is hashed once per batch, however often it occurs there.
+    Cells are texts or whole numbers. A value is hashed once per batch, however often it occurs there.
     """
-    coded, start = texts.dictionary_encode(), f"{name}:".encode()
-    found = [int.from_bytes(md5(start + text).digest()[:4], "big") for text in coded.dictionary.cast(pa.large_binary()).to_pylist()]
+    coded, start = cells.dictionary_encode(), f"{name}:".encode()
+    texts = coded.dictionary.cast(pa.string()) if pa.types.is_integer(cells.type) else coded.dictionary
+    found = [int.from_bytes(md5(start + text).digest()[:4], "big") for text in texts.cast(pa.large_binary()).to_pylist()]
     return np.array([*found, 0], np.int64)[coded.indices.fill_null(len(found)).to_numpy()]
 
 
-def cell_number(name: str) -> Column:
-    """32 bits of the MD5 of a cell's column and text, NULL for NULL; any engine that has MD5 gets the same."""
-    text = F.concat(F.lit(f"{name}:"), F.col(f"`{name}`").cast("string")).cast("binary")
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("decimal(38,0)")
+PLAIN_TYPES = (T.StringType(), T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
 
 
-def checksum(columns: Iterable[str]) -> Column:
-    """Aggregate over all cells of the columns that does not depend on the order of rows, and adds up over parts."""
-    return F.coalesce(F.sum(sum((F.coalesce(cell_number(c), F.lit(0)) for c in columns), F.lit(0))), F.lit(0)).cast("decimal(38,0)")
+def checksum(columns: Iterable[str], schema: T.StructType | None = None) -> Column:
+    """Aggregate over all cells of the columns that does not depend on the order of rows, and adds up over parts.
+
+    With the ``schema``, whole numbers are made text once per value and not once per cell.
+    """
+    names = [*columns]
+    plain = {f.name for f in schema or [] if f.dataType in PLAIN_TYPES}
+
+    @F.arrow_udf(T.LongType())
+    def of_row(*cells: pa.Array) -> pa.Array:
+        return pa.array(sum(_cell_numbers(name, column) for name, column in zip(names, cells)))
+
+    rows = of_row(*[F.col(f"`{c}`") if c in plain else F.col(f"`{c}`").cast("string") for c in names]) if names else F.lit(0)
+    return F.coalesce(F.sum(rows.cast("decimal(28,0)")), F.lit(0)).cast("decimal(38,0)")
 
 
 def _compared(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -116,3 +116,19 @@ def test_an_export_leaves_no_shuffle_files(spark, tmp_path):
         time.sleep(0.2)
     assert not shuffle_files(spark) - before
     assert spark.conf.get(name) == setting
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_checksum_hashes_values_and_not_cells(spark, known):
+    """No digest per cell in the plan; the sums are those of the cells' texts as Spark writes them."""
+    schema = "a int, `b.c` bigint, s string, x double, y decimal(9,2), d date, t boolean"
+    day = datetime.date(2020, 1, 2)
+    rows = [(-3, 2**40, "\u00e4:", 1e-7, decimal.Decimal("2.50"), day, True), (None, -7, "", 2.0, None, None, False), (-3, 2**40, None, None, decimal.Decimal("2.50"), day, True)] * 50
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    total = df.agg(checksum(df.columns, df.schema if known else None).alias("c"))
+    plan = total._jdf.queryExecution().executedPlan().toString()
+    assert "md5(" not in plan and "conv(" not in plan
+    texts = df.select(*[F.col(f"`{c}`").cast("string") for c in df.columns]).collect()
+    assert total.first().c == sum(by_hand(c, [row[i] for row in texts]) for i, c in enumerate(df.columns))
+    nothing = df.where("a > 0").agg(checksum(df.columns, df.schema if known else None).alias("c"), checksum([]).alias("none")).first()
+    assert (nothing.c, nothing.none) == (0, 0)

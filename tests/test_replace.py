@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from revisit.session import remove, scratch_folder, shared_folder
+from revisit.session import remove, scratch_folder, shared_folder, wide_rows
 from revisit.sources import writers
 
 
@@ -64,3 +64,22 @@ class Elsewhere:
 def test_clusters_of_processes_need_a_shared_folder(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Elsewhere(spark))
+
+
+def test_settings_shared_by_steps_side_by_side_are_put_back(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    one, other = wide_rows(spark), wide_rows(spark)
+    one.__enter__()
+    other.__enter__()
+    one.__exit__(None, None, None)
+    assert spark.conf.get(name) == "8000"  # the other one is still under way
+    other.__exit__(None, None, None)
+    assert spark.conf.get(name) == before
+
+
+def test_tables_are_written_with_compiled_projections(spark, tmp_path):
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name)
+    writers.replace_tables(spark, {"one": lambda: seen.append(spark.conf.get(name)) or spark.range(3)}, str(tmp_path / "t"))
+    assert seen == ["8000"] and spark.conf.get(name) == before
